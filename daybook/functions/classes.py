@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from daybook.functions.text import case
+
 # Default class edges in UAH and their names.
 DEFAULT_EDGES = (0.0, 200.0, 600.0, math.inf)
 DEFAULT_LABELS = ("0-200 UAH", "200-600 UAH", "600+ UAH")
@@ -29,23 +30,21 @@ def spend_class(amount: Column, edges: Sequence[float] = DEFAULT_EDGES) -> Colum
 def name_of(code: Column, names: Sequence[str]) -> Column:
     """The name at a small integer code; null for codes without a name."""
     chain = F.when(code == 0, names[0])
-    for index, name in enumerate(names[1:], start=1):
-        chain = chain.when(code == index, name)
+    for index, label in enumerate(names[1:], start=1):
+        chain = chain.when(code == index, label)
     return chain
 
 
-def argmax_class(scores: Sequence[Column]) -> Column:
-    """Index of the largest score, the lowest index on ties."""
-    top = F.greatest(*scores)
-    chain = F.when(scores[0] == top, 0)
-    for index, score in enumerate(scores[1:], start=1):
-        chain = chain.when(score == top, index)
-    return chain
+def argmax_class(scores: Sequence[str]) -> str:
+    """Expression text: index of the largest score, the lowest index on ties."""
+    if len(scores) == 1:
+        return "0"
+    top = f"greatest({', '.join(scores)})"
+    return case([(f"({s}) = {top}", str(k)) for k, s in enumerate(scores)])
 
 
-def softmax(scores: Sequence[Column]) -> list[Column]:
-    """Class probabilities, shifted by the largest score before ``exp``."""
-    top = F.greatest(*scores) if len(scores) > 1 else scores[0]
-    weights = [F.exp(s - top) for s in scores]
-    total = reduce(lambda a, b: a + b, weights)
-    return [w / total for w in weights]
+def softmax(scores: Sequence[str]) -> list[str]:
+    """Expression texts: class probabilities, shifted by the largest score before ``exp``."""
+    top = f"greatest({', '.join(scores)})" if len(scores) > 1 else scores[0]
+    weights = [f"exp(({s}) - {top})" for s in scores]
+    return [f"({w} / ({' + '.join(weights)}))" for w in weights]

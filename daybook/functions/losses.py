@@ -1,67 +1,68 @@
-"""Loss, gradient and gain formulas as column expressions."""
+"""Loss, gradient and gain formulas as expression text; arguments and results are Spark SQL expressions."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+from collections.abc import Sequence
+
+from daybook.functions.text import number
 
 # The guard inside the logarithm and the floor of the second derivative.
 LOG_GUARD = 1e-9
 HESSIAN_FLOOR = 1e-6
 
 
-def is_class(label: Column, k: int) -> Column:
-    return (label == k).cast("double")
+def is_class(label: str, k: int) -> str:
+    return f"double(({label}) = {k})"
 
 
-def log_loss(probability: Column) -> Column:
+def log_loss(probability: str) -> str:
     """Cross-entropy of the probability given to the true class."""
-    return -F.log(probability + F.lit(LOG_GUARD))
+    return f"(-ln(({probability}) + {number(LOG_GUARD)}))"
 
 
-def squared_gradient(score: Column, target: Column) -> tuple[Column, Column]:
-    return score - target, F.lit(1.0)
+def squared_gradient(score: str, target: str) -> tuple[str, str]:
+    return f"(({score}) - ({target}))", "1D"
 
 
-def softmax_gradient(probability: Column, label: Column, k: int) -> tuple[Column, Column]:
-    return (
-        probability - is_class(label, k),
-        F.greatest(probability * (1 - probability), F.lit(HESSIAN_FLOOR)),
-    )
+def softmax_gradient(probability: str, label: str, k: int) -> tuple[str, str]:
+    p = f"({probability})"
+    return f"({p} - {is_class(label, k)})", f"greatest({p} * (1D - {p}), {number(HESSIAN_FLOOR)})"
 
 
-def _share(g: Column, h: Column, lam: Column | float) -> Column:
+def _share(g: str, h: str, lam: str) -> str:
     # An empty side has g = h = 0; with lam = 0 that is 0/0 and counts as nothing.
-    return F.coalesce(F.try_divide(g * g, h + lam), F.lit(0.0))
+    return f"coalesce(try_divide(({g}) * ({g}), ({h}) + ({lam})), 0D)"
 
 
-def newton_gain(
-    gl: Column, hl: Column, g: Column, h: Column, lam: Column | float = 1.0, gamma: Column | float = 0.0
-) -> Column:
+def newton_gain(gl: str, hl: str, g: str, h: str, lam: str = "1D", gamma: str = "0D") -> str:
     """Loss drop of cutting a node with sums (g, h) into a left part (gl, hl) and the rest."""
-    return 0.5 * (_share(gl, hl, lam) + _share(g - gl, h - hl, lam) - _share(g, h, lam)) - gamma
+    left, right = _share(gl, hl, lam), _share(f"({g}) - ({gl})", f"({h}) - ({hl})", lam)
+    return f"(0.5D * ({left} + {right} - {_share(g, h, lam)}) - ({gamma}))"
 
 
-def newton_leaf(g: Column, h: Column, lam: Column | float = 1.0) -> Column:
-    return F.coalesce(F.try_divide(-g, h + lam), F.lit(0.0))
+def newton_leaf(g: str, h: str, lam: str = "1D") -> str:
+    return f"coalesce(try_divide(-({g}), ({h}) + ({lam})), 0D)"
 
 
-def squared_gain(nl: Column, sl: Column, n: Column, s: Column) -> Column:
+def squared_gain(nl: str, sl: str, n: str, s: str) -> str:
     """Drop of the mean squared error; the sum of squares cancels out of the difference."""
-    nr, sr = n - nl, s - sl
-    return (F.try_divide(sl * sl, nl) + F.try_divide(sr * sr, nr) - s * s / n) / n
+    left, right = f"try_divide({sl} * {sl}, {nl})", f"try_divide(({s} - {sl}) * ({s} - {sl}), {n} - {nl})"
+    return f"(({left} + {right} - {s} * {s} / {n}) / {n})"
 
 
-def gini_gain(left: list[Column], total: list[Column]) -> Column:
+def gini_gain(left: Sequence[str], total: Sequence[str]) -> str:
     """Drop of the gini impurity from class counts of the left part and of the whole node."""
-    nl, n = sum(left[1:], left[0]), sum(total[1:], total[0])
-    nr = n - nl
-    sq_left = sum((c * c for c in left[1:]), left[0] * left[0])
-    right = [t - c for t, c in zip(total, left)]
-    sq_right = sum((c * c for c in right[1:]), right[0] * right[0])
-    sq_total = sum((c * c for c in total[1:]), total[0] * total[0])
-    return (F.try_divide(sq_left, nl) + F.try_divide(sq_right, nr) - sq_total / n) / n
+    right = [f"({t} - {c})" for t, c in zip(total, left)]
+
+    def squares(counts):
+        return "(" + " + ".join(f"{c} * {c}" for c in counts) + ")"
+
+    def size(counts):
+        return "(" + " + ".join(counts) + ")"
+
+    parts = f"try_divide({squares(left)}, {size(left)}) + try_divide({squares(right)}, {size(right)})"
+    return f"(({parts} - {squares(total)} / {size(total)}) / {size(total)})"
 
 
-def relu(z: Column) -> Column:
-    return F.greatest(F.lit(0.0), z)
+def relu(z: str) -> str:
+    return f"greatest(0D, {z})"

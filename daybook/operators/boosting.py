@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from daybook.functions.classes import argmax_class, softmax
 from daybook.functions.losses import softmax_gradient, squared_gradient
+from daybook.functions.text import name, number
 from daybook.operators.grower import Grower, Plan
 from daybook.operators.sampling import Goss, goss_weights
 from daybook.operators.splits import Ranges, plan_ranges
@@ -71,27 +72,25 @@ class BoostedModel:
         ]
         return model_table(spark, rows)
 
-    def scores(self, rounds: int | None = None) -> list[Column]:
-        """Raw score per output: start + learning rate times the sum of the trees."""
-        rate = F.lit(self.params.learning_rate)
+    def scores(self, rounds: int | None = None) -> list[str]:
+        """Raw score per output as text: start + learning rate times the sum of the trees."""
+        rate = number(self.params.learning_rate)
         columns = []
         for k in range(self.params.outputs):
-            score = F.lit(self.start)
-            for group in self.trees[:rounds]:
-                score = score + rate * group[k].value(self.features)
-            columns.append(score)
+            steps = [f"{rate} * {group[k].value(self.features)}" for group in self.trees[:rounds]]
+            columns.append(" + ".join([number(self.start), *steps]))
         return columns
 
     def predict(self, rows: DataFrame, rounds: int | None = None) -> DataFrame:
         """Adds ``pred``, and for classes the probabilities ``p0..``."""
         scores = self.scores(rounds)
         if self.params.task == "amount":
-            return rows.withColumn("pred", scores[0])
+            return rows.withColumn("pred", F.expr(scores[0]))
         names = [f"__f{k}" for k in range(len(scores))]
-        scored = rows.withColumns(dict(zip(names, scores)))
-        probabilities = {f"p{k}": p for k, p in enumerate(softmax([F.col(n) for n in names]))}
+        scored = rows.withColumns({n: F.expr(s) for n, s in zip(names, scores)})
+        probabilities = {f"p{k}": F.expr(p) for k, p in enumerate(softmax(names))}
         scored = scored.withColumns(probabilities)
-        return scored.withColumn("pred", argmax_class([F.col(p) for p in probabilities])).drop(*names)
+        return scored.withColumn("pred", F.expr(argmax_class(list(probabilities)))).drop(*names)
 
 
 def fit_boosted(
@@ -115,25 +114,25 @@ def fit_boosted(
     frame = train.select(*dict.fromkeys((*keys, *features, goal)))
     start, count = _start(frame, runs, goal)
     ranges = ranges or plan_ranges(frame, features)
-    models = {name: BoostedModel(name, p, features, start[name]) for name, p in runs.items()}
+    models = {run: BoostedModel(run, p, features, start[run]) for run, p in runs.items()}
     columns = {
-        name: [f"f{i}_{k}" for k in range(p.outputs)] for i, (name, p) in enumerate(runs.items())
+        run: [f"f{i}_{k}" for k in range(p.outputs)] for i, (run, p) in enumerate(runs.items())
     }
     frame = frame.withColumns(
-        {c: F.lit(start[name]) for name, group in columns.items() for c in group}
+        {c: F.lit(start[run]) for run, group in columns.items() for c in group}
     ).persist(StorageLevel.MEMORY_AND_DISK)
     cached = frame
     curve: list[tuple[str, int, str, float]] = []
     try:
-        for number in range(1, max(p.rounds for p in runs.values()) + 1):
-            active = {name: p for name, p in runs.items() if number <= p.rounds}
-            frame = _round(frame, features, models, active, columns, keys, goal, number, count, ranges)
-            if number % WRITE_EVERY == 0 and any(number < p.rounds for p in runs.values()):
+        for number_of_round in range(1, max(p.rounds for p in runs.values()) + 1):
+            active = {run: p for run, p in runs.items() if number_of_round <= p.rounds}
+            frame = _round(frame, features, models, active, columns, keys, goal, number_of_round, count, ranges)
+            if number_of_round % WRITE_EVERY == 0 and any(number_of_round < p.rounds for p in runs.values()):
                 frame = cut_lineage(frame).persist(StorageLevel.MEMORY_AND_DISK)
                 cached.unpersist()
                 cached = frame
-            if curve_every and number % curve_every == 0:
-                curve += _curve(frame, active, columns, goal, number)
+            if curve_every and number_of_round % curve_every == 0:
+                curve += _curve(frame, active, columns, goal, number_of_round)
     finally:
         cached.unpersist()
     return models, curve
@@ -153,22 +152,30 @@ def _start(frame: DataFrame, runs: dict[str, BoostParams], goal: str) -> tuple[d
     return start, row["n"]
 
 
-def _gradients(params: BoostParams, scores: list[str], goal: str) -> list[tuple[Column, Column]]:
+def _gradients(params: BoostParams, scores: list[str], goal: str) -> list[tuple[str, str]]:
     if params.task == "amount":
-        return [squared_gradient(F.col(scores[0]), F.col(goal))]
-    return [softmax_gradient(p, F.col(goal), k) for k, p in enumerate(softmax([F.col(s) for s in scores]))]
+        return [squared_gradient(scores[0], name(goal))]
+    return [softmax_gradient(p, name(goal), k) for k, p in enumerate(softmax(scores))]
 
 
-def _round(frame, features, models, active, columns, keys, goal, number, count, ranges) -> DataFrame:
+def _round(frame, features, models, active, columns, keys, goal, number_of_round, count, ranges) -> DataFrame:
     gradients: dict[tuple[str, int], tuple[str, str]] = {}
-    derived: dict[str, Column] = {}
-    for i, (name, params) in enumerate(active.items()):
-        for k, (g, h) in enumerate(_gradients(params, columns[name], goal)):
-            gradients[name, k] = (f"g{i}_{k}", f"h{i}_{k}")
-            derived[f"g{i}_{k}"], derived[f"h{i}_{k}"] = g, h
-    graded = frame.withColumns(derived)
-    weights = _weights(graded, gradients, active, keys, number, count)
-    plans = [_plan(active[name], *pair, weights.get((name, k))) for (name, k), pair in gradients.items()]
+    derived: list[str] = []
+    for i, (run, params) in enumerate(active.items()):
+        for k, (g, h) in enumerate(_gradients(params, columns[run], goal)):
+            gradients[run, k] = (f"g{i}_{k}", f"h{i}_{k}")
+            derived += [f"{g} AS g{i}_{k}", f"{h} AS h{i}_{k}"]
+    graded = frame.selectExpr("*", *derived)
+    weights = _weights(graded, gradients, active, keys, number_of_round, count)
+    if weights:
+        # Weights are comparisons of hashes; write them into the cached frame of this round once.
+        graded = graded.withColumns(
+            {f"w_{g}": weights[key] for key, (g, _) in gradients.items() if key in weights}
+        ).persist(StorageLevel.MEMORY_AND_DISK)
+    plans = [
+        _plan(active[run], g, h, f"w_{g}" if (run, k) in weights else None)
+        for (run, k), (g, h) in gradients.items()
+    ]
     params = next(iter(active.values()))
     grower = Grower(graded, features, params.kind, params.cut, ranges)
     if params.growth == "depth":
@@ -177,27 +184,29 @@ def _round(frame, features, models, active, columns, keys, goal, number, count,
         trees = grower.by_leaf(plans)
     else:
         trees = grower.by_level(plans, params.level_gain)
+    if weights:
+        graded.unpersist()
     updated = {}
-    for (name, k), tree in zip(gradients, trees):
+    for (run, k), tree in zip(gradients, trees):
         if k == 0:
-            models[name].trees.append([])
-        models[name].trees[-1].append(tree)
-        column = columns[name][k]
-        updated[column] = F.col(column) + F.lit(active[name].learning_rate) * tree.value(features)
+            models[run].trees.append([])
+        models[run].trees[-1].append(tree)
+        column = columns[run][k]
+        updated[column] = F.expr(f"{column} + {number(active[run].learning_rate)} * {tree.value(features)}")
     return frame.withColumns(updated)
 
 
-def _plan(params: BoostParams, g: str, h: str, weight: Column | None) -> Plan:
+def _plan(params: BoostParams, g: str, h: str, weight: str | None) -> Plan:
     limits = dict(
         max_depth=params.max_depth, num_leaves=params.num_leaves, min_rows=params.min_rows,
         lam=params.lam, gamma=params.gamma,
     )
     if params.kind == "mse":
-        return Plan({"n": F.lit(1.0), "s": -F.col(g)}, **limits)
+        return Plan({"n": "1D", "s": f"-{g}"}, **limits)
     if weight is None:
-        return Plan({"n": F.lit(1.0), "g": F.col(g), "h": F.col(h)}, **limits)
-    stats = {"n": F.lit(1.0), "g": F.col(g) * weight, "h": F.col(h) * weight}
-    return Plan(stats, where=weight.isNotNull(), **limits)
+        return Plan({"n": "1D", "g": g, "h": h}, **limits)
+    stats = {"n": "1D", "g": f"{g} * {weight}", "h": f"{h} * {weight}"}
+    return Plan(stats, where=f"{weight} IS NOT NULL", **limits)
 
 
 def _weights(graded, gradients, active, keys, number, count) -> dict[tuple[str, int], Column]:
@@ -222,8 +231,7 @@ def _curve(frame, active, columns, goal, number):
         if params.task == "amount":
             metrics[name] = F.avg(F.pow(F.col(goal) - F.col(columns[name][0]), F.lit(2)))
         else:
-            hit = argmax_class([F.col(c) for c in columns[name]]) == F.col(goal)
-            metrics[name] = F.avg(hit.cast("double"))
+            metrics[name] = F.expr(f"avg(double(({argmax_class(columns[name])}) = {goal}))")
     row = frame.agg(*[m.alias(f"m{i}") for i, m in enumerate(metrics.values())]).first()
     label = "mse" if next(iter(active.values())).task == "amount" else "accuracy"
     return [(name, number, label, float(row[f"m{i}"])) for i, name in enumerate(metrics)]

@@ -25,8 +25,8 @@ def rmse_units(
     return predictions.groupBy(*by).agg(mse.alias("mse"), F.sqrt(mse * span * span).alias("rmse"))
 
 
-def total_log_loss(predictions: DataFrame, true_probability: Column, by: Sequence[str] = ("part",)) -> DataFrame:
-    loss = log_loss(true_probability)
+def total_log_loss(predictions: DataFrame, true_probability: str, by: Sequence[str] = ("part",)) -> DataFrame:
+    loss = F.expr(log_loss(true_probability))
     return predictions.groupBy(*by).agg(F.sum(loss).alias("total_loss"), F.avg(loss).alias("mean_loss"))
 
 

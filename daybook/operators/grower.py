@@ -10,9 +10,10 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from daybook.functions.text import case, name, number
 from daybook.operators.splits import (
     Criterion,
     Ranges,
@@ -29,10 +30,10 @@ from daybook.operators.trees import Tree
 
 @dataclass
 class Plan:
-    """How one tree is to grow: its row statistics, the rows it sees, and its limits."""
+    """How one tree is to grow: its row statistics and the rows it sees (as expression text), and its limits."""
 
-    stats: dict[str, Column]
-    where: Column | None = None
+    stats: dict[str, str]
+    where: str | None = None
     max_depth: int = 3
     num_leaves: int = 15
     min_rows: int = 1
@@ -57,15 +58,12 @@ def leaf_of(kind: str, lam: float = 1.0, n_classes: int = 3) -> Callable[[dict[s
     return {"gini": majority, "mse": mean, "newton": step}[kind]
 
 
-def _per_tree(plans: Sequence[Plan], pick: Callable[[Plan], float]) -> Column:
-    """A plan setting as a column, constant where all trees agree."""
-    values = [pick(p) for p in plans]
+def _per_tree(plans: Sequence[Plan], pick: Callable[[Plan], float]) -> str:
+    """A plan setting as expression text, a constant where all trees agree."""
+    values = [number(pick(p)) for p in plans]
     if len(set(values)) == 1:
-        return F.lit(values[0])
-    chain = F.when(F.col("tree") == 0, values[0])
-    for tree, value in enumerate(values[1:], start=1):
-        chain = chain.when(F.col("tree") == tree, value)
-    return chain
+        return values[0]
+    return case([(f"tree = {tree}", value) for tree, value in enumerate(values)])
 
 
 def criterion_of(kind: str, plans: Sequence[Plan], n_classes: int = 3) -> Criterion:
@@ -95,28 +93,39 @@ class Grower:
         self.ranges = ranges
         self.n_classes = n_classes
 
-    def _node_rows(self, plans: Sequence[Plan], nodes: dict[int, Column]) -> DataFrame:
+    def _node_rows(self, plans: Sequence[Plan], nodes: dict[int, str]) -> DataFrame:
         """Rows times trees: the node each row is in and its statistics; rows of closed nodes are gone."""
         entries = []
         for tree, node in nodes.items():
             plan = plans[tree]
-            seen = node if plan.where is None else F.when(plan.where, node)
-            stats = [c.cast("double").alias(s) for s, c in plan.stats.items()]
-            entries.append(F.struct(F.lit(tree).alias("tree"), seen.alias("node"), *stats))
-        inputs = F.array(*self.features).alias("__inputs")
-        return self.rows.select(inputs, F.inline(F.array(*entries))).filter(F.col("node").isNotNull())
-
-    def _cells(self, plans: Sequence[Plan], nodes: dict[int, Column], stats: Sequence[str]) -> DataFrame:
-        values = F.posexplode("__inputs").alias("feature", "value")
-        return self._node_rows(plans, nodes).select("tree", "node", values, *stats)
-
-    def _search(self, plans: Sequence[Plan], nodes: dict[int, Column]) -> dict[tuple[int, int], dict]:
+            seen = node if plan.where is None else case([(plan.where, node)])
+            stats = [f"'{s}', double({c})" for s, c in plan.stats.items()]
+            entries.append(f"named_struct({', '.join([f"'tree', {tree}", f"'node', {seen}", *stats])})")
+        inputs = ", ".join(name(f) for f in self.features)
+        rows = self.rows.selectExpr(f"array({inputs}) AS __inputs", f"inline(array({', '.join(entries)}))")
+        return rows.filter("node IS NOT NULL")
+
+    def _cells(self, plans: Sequence[Plan], nodes: dict[int, str], stats: Sequence[str]) -> DataFrame:
+        rows = self._node_rows(plans, nodes)
+        return rows.selectExpr("tree", "node", "posexplode(__inputs) AS (feature, value)", *stats)
+
+    def _search(self, plans: Sequence[Plan], nodes: dict[int, str]) -> dict[tuple[int, int], dict]:
         criterion = criterion_of(self.kind, plans, self.n_classes)
         cells = self._cells(plans, nodes, criterion.stats)
         minimum = _per_tree(plans, lambda p: p.min_rows)
         cuts = with_gain(split_cuts(cells, ["tree", "node"], criterion, self.ranges), criterion, minimum)
-        best = best_cut(cuts, ["tree", "node"], criterion.stats).collect()
-        return {(r["tree"], r["node"]): r.asDict() for r in best}
+        # One row per node and feature: grouped as the running sums are, so it needs no further shuffle.
+        per_feature = cuts.withColumn("column", F.col("feature"))
+        best = best_cut(per_feature, ["tree", "node", "column"], criterion.stats).collect()
+        found: dict[tuple[int, int], dict] = {}
+        for r in sorted(best, key=lambda r: r["column"]):
+            seen = found.get((r["tree"], r["node"]))
+            if seen is None or (r["gain"] is not None and (seen["gain"] is None or r["gain"] > seen["gain"])):
+                totals = seen or r.asDict()
+                found[r["tree"], r["node"]] = {
+                    **r.asDict(), **{k: totals[k] for k in totals if k.startswith("t_")}
+                }
+        return found
 
     def _apply(self, tree: Tree, node_id: int, found: dict, left: int, right: int) -> None:
         value, after = found["value"], found["next_value"]
@@ -252,11 +261,10 @@ class Grower:
         if not found:
             return {}
         # The cut lies halfway to the next value among all train rows: one reduction for all trees.
-        above = [
-            F.min(F.when(F.col(self.features[c["feature"]]) > F.lit(c["value"]), F.col(self.features[c["feature"]])))
-            .alias(f"t{t}")
-            for t, c in found.items()
-        ]
+        above = []
+        for t, c in found.items():
+            column = name(self.features[c["feature"]])
+            above.append(F.expr(f"min({case([(f'{column} > {number(c["value"])}', column)])})").alias(f"t{t}"))
         row = self.rows.agg(*above).first()
         for t, cut in found.items():
             cut["next_value"] = row[f"t{t}"]

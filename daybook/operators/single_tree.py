@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from daybook.functions.classes import argmax_class
+from daybook.functions.text import name
 from daybook.operators.grower import Grower, Plan
 from daybook.operators.sampling import bag_samples
 from daybook.operators.splits import class_stats, plan_ranges
@@ -35,15 +35,12 @@ class TreeModel:
         """Adds ``pred``: the tree's value, or the class most trees name (the lowest on ties)."""
         values = [t.value(self.features) for t in self.trees]
         if self.task == "amount":
-            return rows.withColumn("pred", reduce(lambda a, b: a + b, values) / len(values))
+            return rows.withColumn("pred", F.expr(f"({' + '.join(values)}) / {len(values)}"))
         if len(values) == 1:
-            return rows.withColumn("pred", values[0].cast("int"))
-        named = rows.withColumns({f"vote_{t}": v.cast("int") for t, v in enumerate(values)})
-        votes = [
-            reduce(lambda a, b: a + b, [(F.col(f"vote_{t}") == k).cast("int") for t in range(len(values))])
-            for k in range(self.n_classes)
-        ]
-        return named.withColumn("pred", argmax_class(votes)).drop(*[f"vote_{t}" for t in range(len(values))])
+            return rows.withColumn("pred", F.expr(f"int({values[0]})"))
+        voted = rows.withColumn("__votes", F.expr(f"array({', '.join(f'int({v})' for v in values)})"))
+        counts = [f"size(filter(__votes, v -> v = {k}))" for k in range(self.n_classes)]
+        return voted.withColumn("pred", F.expr(argmax_class(counts))).drop("__votes")
 
 
 def tree_classify(
@@ -58,7 +55,7 @@ def tree_classify(
 def tree_regress(train: DataFrame, features: Sequence[str], target: str = "y", max_depth: int = 3) -> TreeModel:
     """Squared-error tree; a leaf is the mean of its rows."""
     grower = Grower(train, features, "mse", "observed", plan_ranges(train, features))
-    plan = Plan({"n": F.lit(1.0), "s": F.col(target)}, max_depth=max_depth)
+    plan = Plan({"n": "1D", "s": name(target)}, max_depth=max_depth)
     return TreeModel("tree", tuple(features), grower.by_depth([plan]), "amount")
 
 
@@ -86,7 +83,7 @@ def forest_classify(
     try:
         ranges = plan_ranges(frame, features)
         plans = [
-            Plan(class_stats(label, n_classes), F.col(f"in_{t}"), max_depth=max_depth) for t in range(n_trees)
+            Plan(class_stats(label, n_classes), f"in_{t}", max_depth=max_depth) for t in range(n_trees)
         ]
         if feature_fraction >= 1.0:
             trees = Grower(frame, features, "gini", "observed", ranges, n_classes).by_depth(plans)

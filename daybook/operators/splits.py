@@ -14,7 +14,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from daybook.functions.losses import gini_gain, newton_gain, newton_leaf, squared_gain
+from daybook.functions.losses import gini_gain, is_class, newton_gain, newton_leaf, squared_gain
+from daybook.functions.text import case, name, number
 
 # Gains are compared after rounding, because parallel sums differ in the last bits.
 GAIN_DIGITS = 9
@@ -25,10 +26,10 @@ _RANGES = 512
 
 @dataclass(frozen=True)
 class Criterion:
-    """Names of the additive statistics and the gain of a cut, given left and total statistics."""
+    """Names of the additive statistics, and the gain of a cut as text from left and total statistics."""
 
     stats: tuple[str, ...]
-    gain: Callable[[dict[str, Column], dict[str, Column]], Column]
+    gain: Callable[[dict[str, str], dict[str, str]], str]
 
 
 def gini_criterion(n_classes: int = 3) -> Criterion:
@@ -45,17 +46,16 @@ def mse_criterion() -> Criterion:
     )
 
 
-def newton_criterion(lam: Column | float = 1.0, gamma: Column | float = 0.0) -> Criterion:
+def newton_criterion(lam: str = "1D", gamma: str = "0D") -> Criterion:
     return Criterion(
         ("n", "g", "h"),
         lambda left, total: newton_gain(left["g"], left["h"], total["g"], total["h"], lam, gamma),
     )
 
 
-def class_stats(label: str, n_classes: int = 3) -> dict[str, Column]:
-    stats = {"n": F.lit(1.0)}
-    stats.update({f"c{k}": (F.col(label) == k).cast("double") for k in range(n_classes)})
-    return stats
+def class_stats(label: str, n_classes: int = 3) -> dict[str, str]:
+    """Row statistics as expression text: a one and a class indicator per class."""
+    return {"n": "1D", **{f"c{k}": is_class(name(label), k) for k in range(n_classes)}}
 
 
 @dataclass(frozen=True)
@@ -82,14 +82,14 @@ def plan_ranges(rows: DataFrame, features: Sequence[str], wide: int = WIDE_VALUE
     return Ranges(tuple(tuple(sorted(set(marks[f]))) if f in large else None for f in features))
 
 
-def _range_of(value: Column, edges: Sequence[float]) -> Column:
+def _range_of(value: str, edges: Sequence[float]) -> str:
     """Number of edges not above the value, by halving: depth log2 of the number of edges."""
 
-    def pick(low: int, high: int) -> Column:
+    def pick(low: int, high: int) -> str:
         if low == high:
-            return F.lit(low)
+            return str(low)
         middle = (low + high) // 2
-        return F.when(value < F.lit(edges[middle]), pick(low, middle)).otherwise(pick(middle + 1, high))
+        return case([(f"{value} < {number(edges[middle])}", pick(low, middle))], pick(middle + 1, high))
 
     return pick(0, len(edges))
 
@@ -104,83 +104,84 @@ def split_cuts(
     (``l_*``), the node totals (``t_*``) and the next distinct value of the node (``next_value``).
     """
     stats = criterion.stats
-    hist = cells.groupBy(*by, "feature", "value").agg(*[F.sum(s).alias(s) for s in stats])
+    hist = cells.groupBy(*by, "feature", "value").agg(*[F.expr(f"sum({s})").alias(s) for s in stats])
     group = [*by, "feature"]
+    keys = ", ".join(name(k) for k in group)
+    upto = "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
     if ranges is None or not ranges.needed:
-        ordered = Window.partitionBy(*group).orderBy("value")
-        upto = ordered.rowsBetween(Window.unboundedPreceding, 0)
-        whole = Window.partitionBy(*group)
-        return hist.withColumns(
-            {
-                **{f"l_{s}": F.sum(s).over(upto) for s in stats},
-                **{f"t_{s}": F.sum(s).over(whole) for s in stats},
-                "next_value": F.lead("value").over(ordered),
-            }
-        ).drop(*stats)
-
-    piece = F.lit(0)
-    for position, edges in enumerate(ranges.edges):
-        if edges:
-            piece = F.when(F.col("feature") == position, _range_of(F.col("value"), edges)).otherwise(piece)
-    hist = hist.withColumn("piece", piece)
+        ordered = f"OVER (PARTITION BY {keys} ORDER BY value"
+        return hist.selectExpr(
+            *[name(k) for k in group],
+            "value",
+            *[f"sum({s}) {ordered} {upto}) AS l_{s}" for s in stats],
+            *[f"sum({s}) OVER (PARTITION BY {keys}) AS t_{s}" for s in stats],
+            f"lead(value) {ordered}) AS next_value",
+        )
+
+    wide = [(f"feature = {i}", _range_of("value", e)) for i, e in enumerate(ranges.edges) if e]
+    hist = hist.withColumn("piece", F.expr(case(wide, "0")))
     # At most nodes * features * pieces rows.
-    pieces = hist.groupBy(*group, "piece").agg(*[F.sum(s).alias(s) for s in stats], F.min("value").alias("low"))
-    ordered = Window.partitionBy(*group).orderBy("piece")
-    before = ordered.rowsBetween(Window.unboundedPreceding, -1)
-    whole = Window.partitionBy(*group)
-    pieces = pieces.select(
-        *group,
+    sums = hist.groupBy(*group, "piece").agg(*[F.sum(s).alias(s) for s in stats], F.min("value").alias("low"))
+    ordered = f"OVER (PARTITION BY {keys} ORDER BY piece"
+    before = "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
+    sums = sums.selectExpr(
+        *[name(k) for k in group],
         "piece",
-        *[F.coalesce(F.sum(s).over(before), F.lit(0.0)).alias(f"b_{s}") for s in stats],
-        *[F.sum(s).over(whole).alias(f"t_{s}") for s in stats],
-        F.lead("low").over(ordered).alias("next_low"),
+        *[f"coalesce(sum({s}) {ordered} {before}), 0D) AS b_{s}" for s in stats],
+        *[f"sum({s}) OVER (PARTITION BY {keys}) AS t_{s}" for s in stats],
+        f"lead(low) {ordered}) AS next_low",
     )
-    inner = Window.partitionBy(*group, "piece").orderBy("value")
-    upto = inner.rowsBetween(Window.unboundedPreceding, 0)
-    return (
-        hist.withColumns(
-            {**{f"r_{s}": F.sum(s).over(upto) for s in stats}, "next_inner": F.lead("value").over(inner)}
-        )
-        .join(pieces, [*group, "piece"])
-        .select(
-            *group,
-            "value",
-            *[(F.col(f"b_{s}") + F.col(f"r_{s}")).alias(f"l_{s}") for s in stats],
-            *[f"t_{s}" for s in stats],
-            F.coalesce("next_inner", "next_low").alias("next_value"),
-        )
+    inner = f"OVER (PARTITION BY {keys}, piece ORDER BY value"
+    running = hist.selectExpr(
+        *[name(k) for k in group],
+        "piece",
+        "value",
+        *[f"sum({s}) {inner} {upto}) AS r_{s}" for s in stats],
+        f"lead(value) {inner}) AS next_inner",
+    )
+    return running.join(sums, [*group, "piece"]).selectExpr(
+        *[name(k) for k in group],
+        "value",
+        *[f"b_{s} + r_{s} AS l_{s}" for s in stats],
+        *[f"t_{s}" for s in stats],
+        "coalesce(next_inner, next_low) AS next_value",
     )
 
 
-def with_gain(cuts: DataFrame, criterion: Criterion, min_rows: Column | int = 1) -> DataFrame:
+def with_gain(cuts: DataFrame, criterion: Criterion, min_rows: str = "1") -> DataFrame:
     """Add ``gain``: null where a side has fewer than ``min_rows`` rows."""
-    left = {s: F.col(f"l_{s}") for s in criterion.stats}
-    total = {s: F.col(f"t_{s}") for s in criterion.stats}
-    minimum = F.lit(min_rows) if isinstance(min_rows, int) else min_rows
-    allowed = F.col("next_value").isNotNull() & (left["n"] >= minimum) & (total["n"] - left["n"] >= minimum)
-    return cuts.withColumn("gain", F.when(allowed, F.round(criterion.gain(left, total), GAIN_DIGITS)))
+    gain = criterion.gain({s: f"l_{s}" for s in criterion.stats}, {s: f"t_{s}" for s in criterion.stats})
+    allowed = f"next_value IS NOT NULL AND l_n >= {min_rows} AND t_n - l_n >= {min_rows}"
+    return cuts.withColumn("gain", F.expr(case([(allowed, f"round({gain}, {GAIN_DIGITS})")])))
 
 
 def best_cut(cuts: DataFrame, by: Sequence[str], stats: Sequence[str]) -> DataFrame:
-    """The cut with the largest gain per node; on ties the lowest feature, then the lowest value.
+    """The cut with the largest gain per group; on ties the lowest feature, then the lowest value.
 
-    Nodes without an allowed cut stay, with nulls and their totals.
+    Groups without an allowed cut stay, with nulls and their totals.
     """
-    payload = F.struct("feature", "value", "next_value", "gain", *[f"l_{s}" for s in stats])
-    rank = F.when(F.col("gain").isNotNull(), F.struct("gain", -F.col("feature"), -F.col("value")))
-    totals = F.struct(*[f"t_{s}" for s in stats])
+    payload = ", ".join(["feature", "value", "next_value", "gain", *[f"l_{s}" for s in stats]])
+    rank = case([("gain IS NOT NULL", "struct(gain, -feature, -value)")])
+    totals = ", ".join(f"t_{s}" for s in stats)
     return (
         cuts.groupBy(*by)
-        .agg(F.max_by(payload, rank).alias("cut"), F.min_by(totals, F.struct("feature", "value")).alias("totals"))
-        .select(*by, "cut.*", "totals.*")
+        .agg(
+            F.expr(f"max_by(struct({payload}), {rank})").alias("__cut"),
+            F.expr(f"min_by(struct({totals}), struct(feature, value))").alias("__totals"),
+        )
+        .select(*by, "__cut.*", "__totals.*")
     )
 
 
-def unpivot_features(rows: DataFrame, by: Sequence[str], features: Sequence[str], stats: dict[str, Column]) -> DataFrame:
+def unpivot_features(rows: DataFrame, by: Sequence[str], features: Sequence[str], stats: dict[str, str]) -> DataFrame:
     """One row per row and feature position with the statistics."""
-    values = F.posexplode(F.array(*[F.col(f).cast("double") for f in features])).alias("feature", "value")
-    named = rows.select(*by, *features, *[c.alias(f"__{s}") for s, c in stats.items()])
-    return named.select(*by, values, *[F.col(f"__{s}").alias(s) for s in stats])
+    inputs = ", ".join(f"double({name(f)})" for f in features)
+    named = rows.selectExpr(
+        *[name(k) for k in by], f"array({inputs}) AS __inputs", *[f"{c} AS __{s}" for s, c in stats.items()]
+    )
+    return named.selectExpr(
+        *[name(k) for k in by], "posexplode(__inputs) AS (feature, value)", *[f"__{s} AS {s}" for s in stats]
+    )
 
 
 def threshold(kind: str) -> Column:
@@ -196,7 +197,7 @@ def best_split(
     rows: DataFrame,
     by: Sequence[str],
     features: Sequence[str],
-    stats: dict[str, Column],
+    stats: dict[str, str],
     criterion: Criterion,
     kind: str = "observed",
     min_rows: int = 1,
@@ -204,7 +205,7 @@ def best_split(
 ) -> DataFrame:
     """Best cut of every node with a gain above zero."""
     cells = unpivot_features(rows, by, features, stats)
-    cuts = with_gain(split_cuts(cells, by, criterion, ranges), criterion, min_rows)
+    cuts = with_gain(split_cuts(cells, by, criterion, ranges), criterion, str(min_rows))
     best = best_cut(cuts, by, criterion.stats).filter(F.col("gain") > 0)
     names = F.element_at(F.array(*[F.lit(f) for f in features]), F.col("feature") + 1)
     return best.select(
@@ -222,13 +223,13 @@ def gini_best_split(rows, by, features, label="cls", n_classes=3, **options) ->
 
 
 def mse_best_split(rows, by, features, target="y", **options) -> DataFrame:
-    stats = {"n": F.lit(1.0), "s": F.col(target).cast("double")}
+    stats = {"n": "1D", "s": f"double({name(target)})"}
     return best_split(rows, by, features, stats, mse_criterion(), **options)
 
 
 def newton_best_split(rows, by, features, g="g", h="h", lam=1.0, gamma=0.0, kind="midpoint", **options) -> DataFrame:
-    stats = {"n": F.lit(1.0), "g": F.col(g), "h": F.col(h)}
-    return best_split(rows, by, features, stats, newton_criterion(lam, gamma), kind, **options)
+    stats = {"n": "1D", "g": name(g), "h": name(h)}
+    return best_split(rows, by, features, stats, newton_criterion(number(lam), number(gamma)), kind, **options)
 
 
 def oblivious_cuts(
@@ -267,8 +268,8 @@ def oblivious_best_split(
     level_gain: str = "owner",
 ) -> DataFrame:
     """The one cut that a level of an oblivious tree applies to all its nodes."""
-    criterion = newton_criterion(lam)
-    stats = {"n": F.lit(1.0), "g": F.col(g), "h": F.col(h)}
+    criterion = newton_criterion(number(lam))
+    stats = {"n": "1D", "g": name(g), "h": name(h)}
     cells = unpivot_features(rows, [*tree, node], features, stats)
     cuts = oblivious_cuts(cells, tree, node, criterion, level_gain)
     after = Window.partitionBy(*tree, "feature").orderBy("value")
@@ -289,7 +290,7 @@ def oblivious_best_split(
 
 def newton_leaf_values(rows: DataFrame, by: Sequence[str], g: str = "g", h: str = "h", lam: float = 1.0) -> DataFrame:
     return rows.groupBy(*by).agg(
-        F.count(F.lit(1)).alias("n"), newton_leaf(F.sum(g), F.sum(h), F.lit(float(lam))).alias("leaf_value")
+        F.count(F.lit(1)).alias("n"), F.expr(newton_leaf(f"sum({name(g)})", f"sum({name(h)})", number(lam))).alias("leaf_value")
     )
 
 

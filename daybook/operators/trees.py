@@ -9,10 +9,11 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from daybook.functions.text import case, name, number
+
 MODEL_SCHEMA = T.StructType(
     [
         T.StructField("model", T.StringType()),
@@ -65,24 +66,22 @@ class Tree:
             if node.is_leaf:
                 node.value = leaf_value(node.stats)
 
-    def walk(self, features: Sequence[str], at_leaf: Callable[[int], Column], node_id: int = 1) -> Column:
-        """One expression with ``at_leaf(id)`` in place of every leaf."""
+    def walk(self, features: Sequence[str], at_leaf: Callable[[int], str], node_id: int = 1) -> str:
+        """One expression text with ``at_leaf(id)`` in place of every leaf."""
         node = self.nodes[node_id]
         if node.is_leaf:
             return at_leaf(node_id)
-        return F.when(
-            F.col(features[node.feature]) <= F.lit(node.threshold), self.walk(features, at_leaf, node.left)
-        ).otherwise(self.walk(features, at_leaf, node.right))
+        test = f"{name(features[node.feature])} <= {number(node.threshold)}"
+        left, right = (self.walk(features, at_leaf, child) for child in (node.left, node.right))
+        return case([(test, left)], right)
 
-    def value(self, features: Sequence[str]) -> Column:
-        return self.walk(features, lambda i: F.lit(float(self.nodes[i].value)))
+    def value(self, features: Sequence[str]) -> str:
+        return self.walk(features, lambda i: number(self.nodes[i].value))
 
-    def leaf_id(self, features: Sequence[str], only: set[int] | None = None) -> Column:
+    def leaf_id(self, features: Sequence[str], only: set[int] | None = None) -> str:
         """The leaf a row falls into; null for leaves outside ``only``."""
-        nothing = F.lit(None).cast("long")
-        return self.walk(
-            features, lambda i: F.lit(i).cast("long") if only is None or i in only else nothing
-        )
+        text = self.walk(features, lambda i: str(i) if only is None or i in only else "NULL")
+        return f"bigint({text})"
 
     def rows(self, features: Sequence[str], model: str, round_no: int = 0, cls: int = 0) -> list[tuple]:
         table = []
