@@ -3,6 +3,7 @@ from daybook.sources.statement import (  # noqa: F401
     STATEMENT_SCHEMA,
     TIME_HEADER,
     coerce_amount,
+    format_timestamp,
     parse_timestamp,
     read_statement_csv,
     statement_from_events,

@@ -11,7 +11,6 @@ TIME_HEADER = "Дата i час операції"
 AMOUNT_HEADER = "Сума в валюті картки (UAH)"
 # Reads padded and unpadded parts alike.
 TIME_PATTERN = "d.M.yyyy H:m:s"
-TIME_PATTERN_OUT = "dd.MM.yyyy HH:mm:ss"
 
 MONEY = T.DecimalType(18, 2)
 
@@ -36,6 +35,13 @@ def parse_timestamp(text: Column, lenient: bool = False) -> Column:
     return F.to_timestamp_ntz(text, F.lit(TIME_PATTERN))
 
 
+def format_timestamp(ts: Column) -> Column:
+    """A timestamp without zone as ``dd.mm.yyyy hh:mm:ss``, untouched by the session zone."""
+    text = ts.cast("string")
+    day, month, year = F.substring(text, 9, 2), F.substring(text, 6, 2), F.substring(text, 1, 4)
+    return F.concat(F.concat_ws(".", day, month, year), F.lit(" "), F.substring(text, 12, 8))
+
+
 def read_statement_csv(
     spark: SparkSession,
     path: str,
@@ -67,7 +73,7 @@ def write_statement_csv(statement: DataFrame, path: str) -> None:
     """Write a statement in the file format that ``read_statement_csv`` takes."""
     statement.select(
         F.col("account_id"),
-        F.date_format("ts", TIME_PATTERN_OUT).alias(TIME_HEADER),
+        format_timestamp(F.col("ts")).alias(TIME_HEADER),
         F.col("amount").cast("string").alias(AMOUNT_HEADER),
     ).write.mode("errorifexists").option("header", True).csv(path)
 

@@ -28,11 +28,19 @@ def stream_parquet(spark: SparkSession, folder: str, table: str) -> DataFrame:
     return spark.readStream.schema(schema).option("pathGlobFilter", f"{table}.parquet").parquet(folder)
 
 
+def as_utc(ts: str) -> Column:
+    """A zone-free time as the same reading in UTC, whatever the session zone: watermarks need a zoned time."""
+    return F.expr(
+        f"timestamp_micros(bigint(unix_date(to_date({ts}))) * 86400000000 + hour({ts}) * 3600000000L"
+        f" + minute({ts}) * 60000000L + bigint(extract(SECOND FROM {ts}) * 1000000))"
+    )
+
+
 def events_stream(spark: SparkSession, folder: str) -> DataFrame:
     """Spending of the events table as a stream with a zoned time, as watermarks need one."""
     raw = stream_parquet(spark, folder, "events").filter((F.col("event_type") != "signup") & (F.col("value") > 0))
     return raw.select(
-        F.col("user_id").alias("account_id"), F.col("ts").cast("timestamp").alias("ts"),
+        F.col("user_id").alias("account_id"), as_utc("ts").alias("ts"),
         (-F.col("value")).cast(MONEY).alias("amount"),
     ).filter(F.col("amount") < 0)
 
@@ -46,7 +54,7 @@ def daily_totals(spending: DataFrame, delay: str = "1 day") -> DataFrame:
         .agg(F.sum("amount").alias("total"), F.count("amount").alias("n"))
         .select(
             "account_id",
-            F.to_date(F.col("w.start")).alias("day"),
+            F.expr("date_from_unix_date(int(unix_seconds(w.start) DIV 86400))").alias("day"),
             F.abs("total").cast("double").alias("amount"),
             "n",
         )
