@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from daybook.functions.classes import argmax_class, softmax
@@ -112,8 +112,8 @@ def fit_boosted(
     first = next(iter(runs.values()))
     goal = label if first.task == "class" else target
     frame = train.select(*dict.fromkeys((*keys, *features, goal)))
-    start, count = _start(frame, runs, goal)
-    ranges = ranges or plan_ranges(frame, features)
+    start, count, distinct = _start(frame, runs, goal, features)
+    ranges = ranges or plan_ranges(frame, features, distinct=distinct)
     models = {run: BoostedModel(run, p, features, start[run]) for run, p in runs.items()}
     columns = {
         run: [f"f{i}_{k}" for k in range(p.outputs)] for i, (run, p) in enumerate(runs.items())
@@ -121,20 +121,25 @@ def fit_boosted(
     frame = frame.withColumns(
         {c: F.lit(start[run]) for run, group in columns.items() for c in group}
     ).persist(StorageLevel.MEMORY_AND_DISK)
-    cached = frame
+    cached, written = frame, None
     curve: list[tuple[str, int, str, float]] = []
     try:
         for number_of_round in range(1, max(p.rounds for p in runs.values()) + 1):
             active = {run: p for run, p in runs.items() if number_of_round <= p.rounds}
             frame = _round(frame, features, models, active, columns, keys, goal, number_of_round, count, ranges)
             if number_of_round % WRITE_EVERY == 0 and any(number_of_round < p.rounds for p in runs.values()):
-                frame = cut_lineage(frame).persist(StorageLevel.MEMORY_AND_DISK)
+                older, written = written, cut_lineage(frame)
+                frame = written.rows.persist(StorageLevel.MEMORY_AND_DISK)
                 cached.unpersist()
                 cached = frame
+                if older is not None:
+                    older.drop()
             if curve_every and number_of_round % curve_every == 0:
                 curve += _curve(frame, active, columns, goal, number_of_round)
     finally:
         cached.unpersist()
+        if written is not None:
+            written.drop()
     return models, curve
 
 
@@ -144,12 +149,16 @@ def _check(runs: dict[str, BoostParams]) -> None:
         raise ValueError("runs that are fitted together share task, kind, growth, cut and classes")
 
 
-def _start(frame: DataFrame, runs: dict[str, BoostParams], goal: str) -> tuple[dict[str, float], int]:
-    row = frame.agg(F.count(F.lit(1)).alias("n"), F.avg(F.col(goal).cast("double")).alias("mean")).first()
+def _start(frame: DataFrame, runs: dict[str, BoostParams], goal: str, features: Sequence[str]):
+    """Start scores, row count and distinct values per feature, from one pass."""
+    row = frame.selectExpr(
+        "count(1) AS n", f"avg(double({name(goal)})) AS mean",
+        *[f"approx_count_distinct({name(f)}) AS d{i}" for i, f in enumerate(features)],
+    ).first()
     start = {
-        name: math.log(1.0 / p.n_classes) if p.task == "class" else float(row["mean"]) for name, p in runs.items()
+        run: math.log(1.0 / p.n_classes) if p.task == "class" else float(row["mean"]) for run, p in runs.items()
     }
-    return start, row["n"]
+    return start, row["n"], {f: row[f"d{i}"] for i, f in enumerate(features)}
 
 
 def _gradients(params: BoostParams, scores: list[str], goal: str) -> list[tuple[str, str]]:
@@ -169,9 +178,8 @@ def _round(frame, features, models, active, columns, keys, goal, number_of_round
     weights = _weights(graded, gradients, active, keys, number_of_round, count)
     if weights:
         # Weights are comparisons of hashes; write them into the cached frame of this round once.
-        graded = graded.withColumns(
-            {f"w_{g}": weights[key] for key, (g, _) in gradients.items() if key in weights}
-        ).persist(StorageLevel.MEMORY_AND_DISK)
+        drawn = [f"{weights[key]} AS w_{g}" for key, (g, _) in gradients.items() if key in weights]
+        graded = graded.selectExpr("*", *drawn).persist(StorageLevel.MEMORY_AND_DISK)
     plans = [
         _plan(active[run], g, h, f"w_{g}" if (run, k) in weights else None)
         for (run, k), (g, h) in gradients.items()
@@ -209,19 +217,19 @@ def _plan(params: BoostParams, g: str, h: str, weight: str | None) -> Plan:
     return Plan(stats, where=f"{weight} IS NOT NULL", **limits)
 
 
-def _weights(graded, gradients, active, keys, number, count) -> dict[tuple[str, int], Column]:
+def _weights(graded, gradients, active, keys, number_of_round, count) -> dict[tuple[str, int], str]:
     """Sample weights of the runs that sample, found by the same passes for all of them."""
     groups: dict[tuple[Goss, str], list[tuple[str, int]]] = {}
-    for name, k in gradients:
-        goss = active[name].goss
+    for run, k in gradients:
+        goss = active[run].goss
         if goss is not None:
-            groups.setdefault((goss, active[name].seed), []).append((name, k))
+            groups.setdefault((goss, active[run].seed), []).append((run, k))
     weights = {}
     for (goss, seed), members in groups.items():
-        named = {f"{name}-{k}": F.col(gradients[name, k][0]) for name, k in members}
-        seeds = {f"{name}-{k}": f"{seed}-{number}-{k}" for name, k in members}
+        named = {f"{run}-{k}": gradients[run, k][0] for run, k in members}
+        seeds = {f"{run}-{k}": f"{seed}-{number_of_round}-{k}" for run, k in members}
         found = goss_weights(graded, named, keys, goss, seeds, count)
-        weights.update({(name, k): found[f"{name}-{k}"] for name, k in members})
+        weights.update({(run, k): found[f"{run}-{k}"] for run, k in members})
     return weights
 
 

@@ -94,7 +94,11 @@ class Grower:
         self.n_classes = n_classes
 
     def _node_rows(self, plans: Sequence[Plan], nodes: dict[int, str]) -> DataFrame:
-        """Rows times trees: the node each row is in and its statistics; rows of closed nodes are gone."""
+        """Rows times trees: the node each row is in and its statistics; rows of closed nodes are gone.
+
+        The arrays are never empty; the outer form keeps Spark from testing their size, which would compute
+        every node expression twice.
+        """
         entries = []
         for tree, node in nodes.items():
             plan = plans[tree]
@@ -102,12 +106,12 @@ class Grower:
             stats = [f"'{s}', double({c})" for s, c in plan.stats.items()]
             entries.append(f"named_struct({', '.join([f"'tree', {tree}", f"'node', {seen}", *stats])})")
         inputs = ", ".join(name(f) for f in self.features)
-        rows = self.rows.selectExpr(f"array({inputs}) AS __inputs", f"inline(array({', '.join(entries)}))")
-        return rows.filter("node IS NOT NULL")
+        rows = self.rows.selectExpr(f"array({inputs}) AS __inputs", f"array({', '.join(entries)}) AS __trees")
+        return rows.selectExpr("__inputs", "inline_outer(__trees)").filter("node IS NOT NULL")
 
     def _cells(self, plans: Sequence[Plan], nodes: dict[int, str], stats: Sequence[str]) -> DataFrame:
         rows = self._node_rows(plans, nodes)
-        return rows.selectExpr("tree", "node", "posexplode(__inputs) AS (feature, value)", *stats)
+        return rows.selectExpr("tree", "node", "posexplode_outer(__inputs) AS (feature, value)", *stats)
 
     def _search(self, plans: Sequence[Plan], nodes: dict[int, str]) -> dict[tuple[int, int], dict]:
         criterion = criterion_of(self.kind, plans, self.n_classes)

@@ -20,12 +20,14 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import Window
 
 from daybook.functions.text import name
+from daybook.session import cut_lineage
 
 DIGITS = 9
 MAX_PIVOTS = 256
@@ -154,12 +156,14 @@ def _merge_copies(train: DataFrame, row_id: str, label: str, k: int) -> DataFram
 
 
 def _plan_cells(distinct: DataFrame, metric: str, k: int) -> tuple[DataFrame, _Cells]:
+    distinct = distinct.persist(StorageLevel.MEMORY_AND_DISK)
     count = distinct.count()
     wanted = max(1, min(MAX_PIVOTS, math.isqrt(count)))
     picked = distinct.select("__x").orderBy(F.xxhash64("__x"), "__x").limit(wanted).collect()
     pivots = np.array([r["__x"] for r in picked])
     placed = distinct.withColumn("__c", _cell_udf(pivots, metric)("__x")).select("__x", "members", "__c.*")
-    placed = placed.persist()
+    placed = cut_lineage(placed).rows
+    distinct.unpersist()
     near = Window.partitionBy("cell").orderBy("dist")
     nearest = (
         placed.select("cell", "dist")
@@ -189,9 +193,9 @@ def knn_pooled(
     distinct = _merge_copies(_vectors(train, vector), row_id, label, k)
     placed, cells = _plan_cells(distinct, metric, k)
     queries = _vectors(test, vector).select("__x").distinct()
-    visits = queries.select(
-        F.col("__x").alias("q"), F.explode(_visit_udf(cells, metric, k)("__x")).alias("cell")
-    ).persist()
+    visits = cut_lineage(
+        queries.select(F.col("__x").alias("q"), F.explode(_visit_udf(cells, metric, k)("__x")).alias("cell"))
+    ).rows
     asked = {r["cell"]: r["count"] for r in visits.groupBy("cell").count().collect()}
     train_parts = [max(1, math.ceil(s / train_block)) for s in cells.sizes]
     query_parts = [max(1, math.ceil(asked.get(j, 0) / query_block)) for j in range(len(cells.sizes))]

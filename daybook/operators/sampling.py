@@ -10,137 +10,156 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 from dataclasses import dataclass
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from daybook.functions.text import case, name, number
+
 _BUCKETS = 1024
 
 
 @dataclass(frozen=True)
 class Order:
-    """A lexicographic row order of double columns, a row filter and the number of rows wanted."""
+    """A lexicographic row order of double expressions, a row filter and the number of rows wanted (all as text)."""
 
-    columns: tuple[Column, ...]
+    columns: tuple[str, ...]
     want: int
-    where: Column | None = None
+    where: str = "TRUE"
+    low: float | None = None
+    high: float | None = None
 
 
-def hash_order(seed: str, keys: Sequence[str]) -> tuple[Column, Column]:
+def hash_order(seed: str, keys: Sequence[str]) -> tuple[str, str]:
     """Pseudo-random order of rows by the md5 text of seed and key, as two exact 52-bit numbers.
 
     Equals ordering by the md5 text itself up to its first 26 digits.
     """
-    text = F.md5(F.concat_ws("-", F.lit(seed), *[F.col(k).cast("string") for k in keys]))
-    return tuple(F.conv(F.substring(text, start, 13), 16, 10).cast("double") for start in (1, 14))
+    text = f"md5(concat_ws('-', '{seed}', {', '.join(f'string({name(k)})' for k in keys)}))"
+    return tuple(f"double(conv(substring({text}, {start}, 13), 16, 10))" for start in (1, 14))
+
+
+def by_hash(seed: str, keys: Sequence[str], want: int, where: str = "TRUE") -> Order:
+    return Order(hash_order(seed, keys), want, where, 0.0, float(2**52))
 
 
-def first_rows(df: DataFrame, orders: dict[str, Order]) -> dict[str, Column]:
+def first_rows(df: DataFrame, orders: dict[str, Order]) -> dict[str, str]:
     """A condition per order that holds for exactly its first ``want`` rows (all rows if there are fewer).
 
     The columns of an order must identify rows uniquely for the size to be exact.
     """
-    cuts: dict[str, list[float]] = {name: [] for name in orders}
-    open_orders = {name: o.want for name, o in orders.items() if o.want > 0}
+    cuts: dict[str, list[float]] = {key: [] for key in orders}
+    wanted = {key: o.want for key, o in orders.items() if o.want > 0}
     depth = 0
-    while open_orders:
-        open_orders = _cut_column(df, orders, cuts, open_orders, depth)
+    while wanted:
+        wanted = _cut_column(df, orders, cuts, wanted, depth)
         depth += 1
-    return {name: _below(orders[name], cuts[name]) for name in orders}
-
-
-def _scope(order: Order, cut: list[float]) -> Column:
-    parts = [c == F.lit(v) for c, v in zip(order.columns, cut)]
-    if order.where is not None:
-        parts.insert(0, order.where)
-    return reduce(lambda a, b: a & b, parts, F.lit(True))
+    return {key: _below(orders[key], cuts[key]) for key in orders}
 
 
-def _below(order: Order, cut: list[float]) -> Column:
+def _below(order: Order, cut: list[float]) -> str:
     if order.want <= 0:
-        return F.lit(False)
-    taken = F.lit(False)
+        return "FALSE"
+    taken = []
     for depth, value in enumerate(cut):
-        column = order.columns[depth]
-        last = depth == len(cut) - 1
-        here = column <= F.lit(value) if last else column < F.lit(value)
-        for earlier in range(depth):
-            here = (order.columns[earlier] == F.lit(cut[earlier])) & here
-        taken = taken | here
-    return taken if order.where is None else order.where & taken
+        ties = [f"{c} = {number(v)}" for c, v in zip(order.columns, cut[:depth])]
+        sign = "<=" if depth == len(cut) - 1 else "<"
+        taken.append("(" + " AND ".join([*ties, f"{order.columns[depth]} {sign} {number(value)}"]) + ")")
+    return f"(({order.where}) AND ({' OR '.join(taken) if taken else 'TRUE'}))"
 
 
 def _cut_column(df, orders, cuts, wanted, depth):
-    """Fix the next value of every open order; returns those that still have ties to resolve."""
-    scopes = {name: _scope(orders[name], cuts[name]) for name in wanted}
-    values = {name: F.when(scopes[name], orders[name].columns[depth]) for name in wanted}
-    ends = df.agg(
-        *[F.min(v).alias(f"{n}_lo") for n, v in values.items()],
-        *[F.max(v).alias(f"{n}_hi") for n, v in values.items()],
-    ).first()
-    ranges = {n: (ends[f"{n}_lo"], ends[f"{n}_hi"]) for n in wanted if ends[f"{n}_lo"] is not None}
+    """Fix the next value of every open order; returns those that still have ties to resolve.
+
+    The values of this depth are computed once and kept for the passes.
+    """
+    index = {key: i for i, key in enumerate(wanted)}
+    columns = []
+    for key, i in index.items():
+        order = orders[key]
+        scope = " AND ".join([f"({order.where})", *[f"{c} = {number(v)}" for c, v in zip(order.columns, cuts[key])]])
+        columns.append(f"{case([(scope, order.columns[depth])])} AS v{i}")
+    values = df.selectExpr(*columns).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return _find_cuts(values, orders, cuts, wanted, depth, index)
+    finally:
+        values.unpersist()
+
+
+def _find_cuts(values, orders, cuts, wanted, depth, index):
+    ranges: dict[str, tuple[float, float]] = {}
+    unknown = [key for key in wanted if depth > 0 or orders[key].low is None]
+    if unknown:
+        ends = values.selectExpr(
+            *[f"min(v{index[k]}) AS lo{index[k]}" for k in unknown], *[f"max(v{index[k]}) AS hi{index[k]}" for k in unknown]
+        ).first()
+    for key in wanted:
+        if key in unknown:
+            low, high = ends[f"lo{index[key]}"], ends[f"hi{index[key]}"]
+            if low is not None:
+                ranges[key] = (low, high)
+        else:
+            ranges[key] = (orders[key].low, orders[key].high)
     need = dict(wanted)
     found: dict[str, tuple[float, int]] = {}
     while ranges:
-        for name, rows in _histogram(df, values, ranges).items():
-            inside = sum(r[1] for r in rows)
-            if inside <= need[name]:
-                found[name] = (rows[-1][3], 0)
-                ranges.pop(name)
+        for key, rows in _histogram(values, index, ranges).items():
+            if sum(r[0] for r in rows) <= need[key]:
+                if rows:
+                    found[key] = (rows[-1][2], 0)
+                ranges.pop(key)
                 continue
-            for _, count, low, high in rows:
-                if need[name] > count:
-                    need[name] -= count
+            for count, low, high in rows:
+                if need[key] > count:
+                    need[key] -= count
                     continue
-                if low == high or need[name] == count:
-                    left = need[name] if need[name] < count else 0
-                    found[name] = (high, left)
-                    ranges.pop(name)
+                if low == high or need[key] == count:
+                    found[key] = (high, need[key] if need[key] < count else 0)
+                    ranges.pop(key)
                 else:
-                    ranges[name] = (low, high)
+                    ranges[key] = (low, high)
                 break
-    still_open = {}
-    for name, (value, left) in found.items():
-        cuts[name].append(value)
-        if left and depth + 1 < len(orders[name].columns):
-            still_open[name] = left
-    return still_open
+    following = {}
+    for key, (value, left) in found.items():
+        cuts[key].append(value)
+        if left and depth + 1 < len(orders[key].columns):
+            following[key] = left
+    return following
 
 
-def _histogram(df, values, ranges):
-    """Counts per equal-width bucket inside each range, in bucket order: (bucket, count, min, max)."""
+def _histogram(values, index, ranges):
+    """Counts per equal-width bucket inside each range, in bucket order: (count, min, max)."""
     cells = []
-    for name, (low, high) in ranges.items():
-        v = values[name]
-        width = (high - low) / _BUCKETS
+    for key, (low, high) in ranges.items():
+        v, width = f"v{index[key]}", (high - low) / _BUCKETS
         if width > 0 and math.isfinite(width):
-            bucket = F.least(F.floor((v - F.lit(low)) / F.lit(width)), F.lit(_BUCKETS - 1))
+            bucket = f"least(bigint(floor(({v} - {number(low)}) / {number(width)})), {_BUCKETS - 1})"
         else:
-            bucket = F.lit(0).cast("long")
-        inside = v.between(F.lit(low), F.lit(high))
-        cells.append(F.struct(F.lit(name).alias("name"), F.when(inside, bucket).alias("bucket"), v.alias("v")))
+            bucket = "0L"
+        inside = case([(f"{v} BETWEEN {number(low)} AND {number(high)}", bucket)])
+        cells.append(f"named_struct('order', {index[key]}, 'bucket', {inside}, 'v', {v})")
     counted = (
-        df.select(F.inline(F.array(*cells)))
-        .filter(F.col("bucket").isNotNull())
-        .groupBy("name", "bucket")
-        .agg(F.count(F.lit(1)).alias("rows"), F.min("v").alias("low"), F.max("v").alias("high"))
+        values.selectExpr(f"array({', '.join(cells)}) AS cells")
+        .selectExpr("inline_outer(cells)")
+        .filter("bucket IS NOT NULL")
+        .groupBy("order", "bucket")
+        .agg(F.expr("count(1)").alias("rows"), F.min("v").alias("low"), F.max("v").alias("high"))
         .collect()
     )
-    result: dict[str, list] = {name: [] for name in ranges}
-    for r in sorted(counted, key=lambda r: (r["name"], r["bucket"])):
-        result[r["name"]].append((r["bucket"], r["rows"], r["low"], r["high"]))
+    keys = {i: key for key, i in index.items()}
+    result: dict[str, list] = {key: [] for key in ranges}
+    for r in sorted(counted, key=lambda r: (r["order"], r["bucket"])):
+        result[keys[r["order"]]].append((r["rows"], r["low"], r["high"]))
     return result
 
 
 def bag_samples(
     rows: DataFrame, trees: int, keys: Sequence[str], share: float = 0.8, seed: str = "13", count: int | None = None
-) -> list[Column]:
+) -> list[str]:
     """One condition per tree that keeps exactly ``int(share * n)`` rows without replacement."""
     n = rows.count() if count is None else count
-    want = int(n * share)
-    orders = {f"t{t}": Order(hash_order(f"{seed}-{t}", keys), want) for t in range(trees)}
-    picks = first_rows(rows, orders)
+    picks = first_rows(rows, {f"t{t}": by_hash(f"{seed}-{t}", keys, int(n * share)) for t in range(trees)})
     return [picks[f"t{t}"] for t in range(trees)]
 
 
@@ -148,9 +167,11 @@ def bag_sample(
     rows: DataFrame, trees: int, keys: Sequence[str], share: float = 0.8, seed: str = "13"
 ) -> DataFrame:
     """The rows of every tree's sample, one row per tree and sampled row."""
+    rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
     picks = bag_samples(rows, trees, keys, share, seed)
-    tree = F.explode(F.array_compact(F.array(*[F.when(p, F.lit(t)) for t, p in enumerate(picks)])))
-    return rows.select("*", tree.alias("tree"))
+    rows.unpersist()
+    flags = ", ".join(case([(p, str(t))]) for t, p in enumerate(picks))
+    return rows.selectExpr("*", f"explode(array_compact(array({flags}))) AS tree")
 
 
 @dataclass(frozen=True)
@@ -167,35 +188,30 @@ class Goss:
 
 def goss_weights(
     rows: DataFrame,
-    gradients: dict[str, Column],
+    gradients: dict[str, str],
     keys: Sequence[str],
     goss: Goss,
     seeds: dict[str, str],
     count: int | None = None,
-) -> dict[str, Column]:
-    """Row weight per named gradient: 1 for the largest, ``goss.weight`` for the sampled rest, else null.
+) -> dict[str, str]:
+    """Row weight per gradient: 1 for the largest, ``goss.weight`` for the sampled rest, else null.
 
     Large means by absolute gradient rounded to 9 digits; equal ones go by the hash order of the rows.
     """
     n = rows.count() if count is None else count
     large, small = max(1, int(n * goss.top_rate)), max(1, int(n * goss.other_rate))
     by_size = {
-        name: Order((-F.round(F.abs(g), 9), *hash_order(f"{seeds[name]}-top", keys)), large)
-        for name, g in gradients.items()
+        key: Order((f"(-round(abs({g}), 9))", *hash_order(f"{seeds[key]}-top", keys)), large)
+        for key, g in gradients.items()
     }
     top = first_rows(rows, by_size)
     rest = first_rows(
-        rows,
-        {name: Order(hash_order(f"{seeds[name]}-rest", keys), small, ~top[name]) for name in gradients},
+        rows, {key: by_hash(f"{seeds[key]}-rest", keys, small, f"NOT {top[key]}") for key in gradients}
     )
-    return {
-        name: F.when(top[name], F.lit(1.0)).when(rest[name], F.lit(goss.weight)) for name in gradients
-    }
+    return {key: case([(top[key], "1D"), (rest[key], number(goss.weight))]) for key in gradients}
 
 
-def goss_sample(
-    rows: DataFrame, gradient: Column, keys: Sequence[str], goss: Goss = Goss(), seed: str = "0"
-) -> DataFrame:
+def goss_sample(rows: DataFrame, gradient: str, keys: Sequence[str], goss: Goss = Goss(), seed: str = "0") -> DataFrame:
     """The sampled rows with their ``weight``."""
     weight = goss_weights(rows, {"g": gradient}, keys, goss, {"g": seed})["g"]
-    return rows.withColumn("weight", weight).filter(F.col("weight").isNotNull())
+    return rows.withColumn("weight", F.expr(weight)).filter("weight IS NOT NULL")

@@ -76,8 +76,8 @@ def forest_classify(
     Every tree uses all features unless ``feature_fraction`` is below 1; then it draws its own subset.
     """
     picks = bag_samples(train, n_trees, keys, share, seed)
-    used = {c for c in (*features, label)}
-    frame = train.select(*used, *[p.alias(f"in_{t}") for t, p in enumerate(picks)]).persist(
+    used = [name(c) for c in dict.fromkeys((*features, label))]
+    frame = train.selectExpr(*used, *[f"{p} AS in_{t}" for t, p in enumerate(picks)]).persist(
         StorageLevel.MEMORY_AND_DISK
     )
     try:

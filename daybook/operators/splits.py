@@ -69,15 +69,27 @@ class Ranges:
         return any(e for e in self.edges)
 
 
-def plan_ranges(rows: DataFrame, features: Sequence[str], wide: int = WIDE_VALUES, pieces: int = _RANGES) -> Ranges:
+# For groups whose distinct values are bounded by nature, such as the days of one account.
+BOUNDED = Ranges(())
+
+
+def plan_ranges(
+    rows: DataFrame,
+    features: Sequence[str],
+    wide: int = WIDE_VALUES,
+    pieces: int = _RANGES,
+    distinct: dict[str, int] | None = None,
+) -> Ranges:
     """Decide once per fit which features need ranges. One aggregate, a few numbers per feature."""
-    distinct = rows.agg(*[F.approx_count_distinct(f).alias(f) for f in features]).first()
+    if distinct is None:
+        row = rows.selectExpr(*[f"approx_count_distinct({name(f)}) AS d{i}" for i, f in enumerate(features)]).first()
+        distinct = {f: row[f"d{i}"] for i, f in enumerate(features)}
     large = [f for f in features if distinct[f] > wide]
     if not large:
         return Ranges((None,) * len(features))
-    steps = [i / pieces for i in range(1, pieces)]
-    marks = rows.agg(
-        *[F.percentile_approx(F.col(f), steps, F.lit(10 * pieces)).alias(f) for f in large]
+    steps = ", ".join(number(i / pieces) for i in range(1, pieces))
+    marks = rows.selectExpr(
+        *[f"percentile_approx(double({name(f)}), array({steps}), {10 * pieces}) AS {name(f)}" for f in large]
     ).first()
     return Ranges(tuple(tuple(sorted(set(marks[f]))) if f in large else None for f in features))
 
@@ -180,7 +192,7 @@ def unpivot_features(rows: DataFrame, by: Sequence[str], features: Sequence[str]
         *[name(k) for k in by], f"array({inputs}) AS __inputs", *[f"{c} AS __{s}" for s, c in stats.items()]
     )
     return named.selectExpr(
-        *[name(k) for k in by], "posexplode(__inputs) AS (feature, value)", *[f"__{s} AS {s}" for s in stats]
+        *[name(k) for k in by], "posexplode_outer(__inputs) AS (feature, value)", *[f"__{s} AS {s}" for s in stats]
     )
 
 
@@ -203,7 +215,11 @@ def best_split(
     min_rows: int = 1,
     ranges: Ranges | None = None,
 ) -> DataFrame:
-    """Best cut of every node with a gain above zero."""
+    """Best cut of every node with a gain above zero.
+
+    The value ranges are planned from the data unless given; ``BOUNDED`` says that every node is small.
+    """
+    ranges = plan_ranges(rows, features) if ranges is None else ranges
     cells = unpivot_features(rows, by, features, stats)
     cuts = with_gain(split_cuts(cells, by, criterion, ranges), criterion, str(min_rows))
     best = best_cut(cuts, by, criterion.stats).filter(F.col("gain") > 0)

@@ -17,11 +17,12 @@ KEYS = ("account_id", "day")
 
 @dataclass
 class ModelFrame:
-    """A cached feature table of all accounts with the numbers needed to go back to units."""
+    """A kept feature table of all accounts with the numbers needed to go back to units."""
 
     rows: DataFrame
     bounds: dict[str, tuple[float, float]]
-    features: tuple[str, ...] = FEATURES
+    features: tuple[str, ...]
+    kept: DataFrame
 
     @property
     def train(self) -> DataFrame:
@@ -32,7 +33,8 @@ class ModelFrame:
         return self.rows.filter(F.col("part") == "test")
 
     def release(self) -> None:
-        self.rows.unpersist()
+        """Free the kept table; frames derived from it stay usable and are then computed from the source."""
+        self.kept.unpersist()
 
 
 def model_frame(
@@ -40,11 +42,13 @@ def model_frame(
     features: Sequence[str] = FEATURES,
     scale_features: bool = True,
 ) -> ModelFrame:
-    """Scale by bounds of all train rows and keep the frame (disk-backed) for the passes of a fit.
+    """Scale by bounds of all train rows; the unscaled table is kept (disk-backed) for the passes of a fit.
 
-    Adds ``y``, the amount scaled by its train bounds; ``amount`` stays in units.
+    The transactions are read once: bounds and all later passes come from the kept table, and scaling is
+    arithmetic on top of it. Adds ``y``, the amount scaled by its train bounds; ``amount`` stays in units.
     """
     columns = tuple(features)
+    table = table.persist(StorageLevel.MEMORY_AND_DISK)
     bounds = driver_bounds(table, (*columns, "amount"))
     low, high = bounds["amount"]
     frame = table.withColumn("y", scale(F.col("amount"), F.lit(low), F.lit(high)))
@@ -52,4 +56,4 @@ def model_frame(
         frame = minmax_scale(frame, columns, per_account=False, bounds=bounds)
     else:
         frame = frame.withColumns({c: F.col(c).cast("double") for c in columns})
-    return ModelFrame(frame.persist(StorageLevel.MEMORY_AND_DISK), bounds, columns)
+    return ModelFrame(frame, bounds, columns, table)

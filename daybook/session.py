@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -45,8 +46,22 @@ def new_folder(spark: SparkSession, purpose: str) -> str:
     return f"{shared_folder(spark)}/{purpose}-{uuid.uuid4().hex}"
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared folder and go on from the written table (survives lost executors)."""
+@dataclass(frozen=True)
+class WrittenFrame:
+    """A frame that lives as a table in the shared folder, so a lost executor only means reading again."""
+
+    rows: DataFrame
+    path: str
+
+    def drop(self) -> None:
+        """Delete the table; nothing may read ``rows`` afterwards."""
+        jvm, conf = self.rows.sparkSession._jvm, self.rows.sparkSession._jsc.hadoopConfiguration()
+        target = jvm.org.apache.hadoop.fs.Path(self.path)
+        target.getFileSystem(conf).delete(target, True)
+
+
+def cut_lineage(df: DataFrame) -> WrittenFrame:
+    """Write ``df`` to the shared folder and go on from the written table."""
     path = new_folder(df.sparkSession, "frame")
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return WrittenFrame(df.sparkSession.read.schema(df.schema).parquet(path), path)

@@ -237,7 +237,7 @@ def bag_sample(spark, folder):
 def goss_sample(spark, folder):
     train = model_frame(events(spark, folder))
     mean = float(train.train.agg(F.avg("y")).first()[0])
-    sample = S.goss_sample(train.train, F.lit(mean) - F.col("y"), KEYS, seed="42-1-0")
+    sample = S.goss_sample(train.train, f"({mean!r}D - y)", KEYS, seed="42-1-0")
     train.release()
     return sample.select("account_id", "day", "weight")
 
@@ -300,7 +300,7 @@ def _first_gradients(frame: ModelFrame) -> DataFrame:
 
 def gini_best_split(spark, folder):
     train = events(spark, folder).filter("part = 'train'")
-    return P.gini_best_split(train, ["account_id"], X).select(
+    return P.gini_best_split(train, ["account_id"], X, ranges=P.BOUNDED).select(
         "account_id", "feature", *r6("threshold", "gain"), "n_left", "n_right"
     )
 
@@ -313,7 +313,7 @@ def mse_best_split(spark, folder):
 
 def newton_best_split(spark, folder):
     frame = model_frame(events(spark, folder))
-    best = P.newton_best_split(_first_gradients(frame), ["account_id"], X, lam=1.0, gamma=0.0)
+    best = P.newton_best_split(_first_gradients(frame), ["account_id"], X, lam=1.0, gamma=0.0, ranges=P.BOUNDED)
     return _released(frame, best.select("account_id", "feature", *r6("threshold", "gain"), "n_left", "n_right"))
 
 
