@@ -8,7 +8,7 @@ from registry.sql_base import (
     FEATURES,
     LAGGED,
     STATEMENT,
-    STATS,
+    account_frame_ctes,
     amount_scores,
     boost_ctes,
     class_scores,
@@ -430,6 +430,20 @@ O["sweep_regularisation"] = query(
     ),
 )
 
+# One model per account.
+FRAME_ACCOUNT = account_frame_ctes("events")
+for key, kind, cast in (("tree_by_account", "gini", "CAST(o.value AS INTEGER)"), ("tree_regress_by_account", "mse", "round(o.value, 6)")):
+    O[key] = query(
+        [*FRAME_ACCOUNT, tree_rows(kind).replace("0 AS tree", "account_id AS tree"), *grow_depth("t", "r", kind, 3)],
+        f"SELECT o.account_id, o.day, r.part, {cast} AS pred FROM t_out o JOIN r ON r.account_id = o.account_id AND r.day = o.day",
+    )
+O["newton_regress_by_account"] = boosted(
+    "amount", 4, FRAME_ACCOUNT, kind="newton", growth="depth", rate=0.05, depth=3, lam=1.0, gamma=0.0, per_account=True
+)
+O["newton_classify_by_account"] = boosted(
+    "class", 2, FRAME_ACCOUNT, kind="newton", growth="depth", rate=0.1, depth=2, lam=2.0, gamma=0.0, per_account=True
+)
+
 # --- neighbours, linear, dense ---------------------------------------------------------------------------
 
 KNN_SCALED = f"sc AS MATERIALIZED (SELECT ft.account_id, ft.day, ft.part, ft.cls, " + ", ".join(

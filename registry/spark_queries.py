@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from daybook.functions import losses
 from daybook.functions.calendar import WEEKDAY_NAMES, with_calendar
 from daybook.functions.classes import DEFAULT_EDGES, DEFAULT_LABELS, argmax_class, name_of, softmax, spend_class
+from daybook.operators import account_models as A
 from daybook.operators import daily as D
 from daybook.operators import dense as N
 from daybook.operators import encode as E
@@ -481,6 +482,34 @@ def sweep_leaves(spark, folder):
     return _released(frame, result.select("task", "model", "metric", *r6("value")))
 
 
+# --- one model per account -------------------------------------------------------------------------------
+
+
+def _by_account(spark, folder):
+    """Features and amount scaled by each account's own train bounds."""
+    table = events(spark, folder).withColumn("y", F.col("amount"))
+    return D.minmax_scale(table, (*X, "y"))
+
+
+def tree_by_account(spark, folder):
+    return A.tree_by_account(_by_account(spark, folder), X)
+
+
+def tree_regress_by_account(spark, folder):
+    return A.tree_by_account(_by_account(spark, folder), X, task="amount").select("account_id", "day", "part", *r6("pred"))
+
+
+def newton_regress_by_account(spark, folder):
+    params = _short(OWN_R["newton"], rounds=4, gamma=0.0)
+    return A.boost_by_account(_by_account(spark, folder), X, params).select("account_id", "day", "part", *r6("pred"))
+
+
+def newton_classify_by_account(spark, folder):
+    params = _short(OWN_C["newton"], rounds=2, max_depth=2, gamma=0.0, learning_rate=0.1)
+    scored = A.boost_by_account(_by_account(spark, folder), X, params)
+    return scored.select("account_id", "day", "part", *r6("p0", "p1", "p2"), "pred")
+
+
 # --- neighbours, linear, dense ---------------------------------------------------------------------------
 
 
@@ -770,6 +799,10 @@ QUERIES = {
     "training_curve": training_curve,
     "sweep_regularisation": sweep_regularisation,
     "sweep_leaves": sweep_leaves,
+    "tree_by_account": tree_by_account,
+    "tree_regress_by_account": tree_regress_by_account,
+    "newton_regress_by_account": newton_regress_by_account,
+    "newton_classify_by_account": newton_classify_by_account,
     "knn_classify": knn_classify,
     "knn_vectors": knn_vectors,
     "knn_euclidean": knn_euclidean,

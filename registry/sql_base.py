@@ -77,6 +77,16 @@ def frame_ctes(source: str, scale: bool = True) -> list[str]:
     ]
 
 
+def account_frame_ctes(source: str) -> list[str]:
+    """Like ``frame_ctes`` with the bounds of every account's own train rows."""
+    pooled = frame_ctes(source)
+    bounds = ", ".join(
+        f"CAST(min({c}) AS DOUBLE) AS {c}_lo, CAST(max({c}) AS DOUBLE) AS {c}_hi" for c in (*FEATURES, "amount")
+    )
+    keyed = f"bounds AS MATERIALIZED (SELECT account_id, {bounds} FROM ft WHERE part = 'train' GROUP BY account_id)"
+    return [*pooled[:-2], keyed, pooled[-1].replace("CROSS JOIN bounds b", "JOIN bounds b ON b.account_id = ft.account_id")]
+
+
 def query(ctes: list[str], final: str) -> str:
     return "WITH " + ",\n".join(ctes) + "\n" + final
 
@@ -301,13 +311,23 @@ def boost_ctes(
     seed: str = "42",
     level_gain: str = "owner",
     prefix: str = "m",
+    per_account: bool = False,
 ) -> list[str]:
-    """CTEs of a boosted fit over ``frame``; ``<prefix>_f<round>`` holds (account_id, day, tree, f) of all rows."""
+    """CTEs of a boosted fit over ``frame``; ``<prefix>_f<round>`` holds (account_id, day, tree, f) of all rows.
+
+    ``per_account`` numbers the trees by account, so that accounts do not share any sums.
+    """
     trees = 3 if task == "class" else 1
-    start = "ln(1.0 / 3)" if task == "class" else "(SELECT avg(y) FROM frame WHERE part = 'train')"
+    if task == "class":
+        start = "ln(1.0 / 3)"
+    elif per_account:
+        start = "avg(CASE WHEN part = 'train' THEN y END) OVER (PARTITION BY account_id)"
+    else:
+        start = "(SELECT avg(y) FROM frame WHERE part = 'train')"
+    number_of_tree = f"t.tree + {trees} * account_id" if per_account else "t.tree"
     xs = ", ".join(f"r.x{i}" for i in range(len(FEATURES)))
     ctes = [
-        f"{prefix}_f0 AS MATERIALIZED (SELECT account_id, day, t.tree, CAST({start} AS DOUBLE) AS f "
+        f"{prefix}_f0 AS MATERIALIZED (SELECT account_id, day, {number_of_tree} AS tree, CAST({start} AS DOUBLE) AS f "
         f"FROM frame CROSS JOIN (SELECT unnest(range({trees})) AS tree) t)"
     ]
     for number in range(1, rounds + 1):
@@ -319,7 +339,7 @@ def boost_ctes(
                 f"sum(exp(f - top)) OVER (PARTITION BY account_id, day) AS p "
                 f"FROM (SELECT *, max(f) OVER (PARTITION BY account_id, day) AS top FROM {last}))"
             )
-            g = "(q.p - CASE WHEN r.cls = q.tree THEN 1 ELSE 0 END)"
+            g = "(q.p - CASE WHEN r.cls = q.tree % 3 THEN 1 ELSE 0 END)"
             h = "greatest(q.p * (1 - q.p), 1e-6)"
             source = f"{p}_p"
         else:
@@ -356,7 +376,7 @@ def amount_scores(prefix: str, rounds: int) -> str:
 
 def class_scores(prefix: str, rounds: int) -> str:
     """Probabilities to 6 digits, and the class of the largest (lowest on ties)."""
-    probabilities = ", ".join(f"max(CASE WHEN tree = {k} THEN p END) AS p{k}" for k in range(3))
+    probabilities = ", ".join(f"max(CASE WHEN tree % 3 = {k} THEN p END) AS p{k}" for k in range(3))
     return (
         f"SELECT account_id, day, part, round(p0, 6) AS p0, round(p1, 6) AS p1, round(p2, 6) AS p2, "
         f"CASE WHEN p0 >= p1 AND p0 >= p2 THEN 0 WHEN p1 >= p2 THEN 1 ELSE 2 END AS pred FROM ("
