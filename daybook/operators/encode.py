@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from daybook.functions.text import name, number
+
 # Fixed value: weight of the overall mean.
 PRIOR = 0.5
 
@@ -52,36 +54,26 @@ def ordered_target_encode_pooled(
 ) -> DataFrame:
     """Encode train rows of all accounts as one series in the order (day, slot, account).
 
-    A weekday holds a seventh of all rows, so no window may span a category. The running statistics are
-    built in three steps that each stay small: rows inside one (category, day, slot) group, slot totals
-    inside one (category, day), and day totals inside one category.
+    A weekday holds a seventh of all rows, so no window may span a category. The statistics of everything before
+    a (day, slot) group come from a running sum over the groups' totals, of which a category has at most days
+    times slots, whatever the number of rows; inside a group a window adds the rows before.
+    ``train`` is read once per category and once more; keep or write it first if it is costly to compute.
     """
     value = F.col(label).cast("double")
-    stats = train.agg(F.avg(value)).first()
-    mean = F.lit(float(stats[0]))
-    frame = train.withColumn("slot", day_slot(F.col("account_id"), slot_digits))
-    running = Window.unboundedPreceding
+    mean = F.lit(float(train.agg(F.avg(value)).first()[0]))
+    slotted = train.withColumn("slot", day_slot(F.col("account_id"), slot_digits))
+    before = "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
+    frame = slotted
     for c in categories:
-        slots = frame.groupBy(c, "day", "slot").agg(F.sum(value).alias("s"), F.count(F.lit(1)).alias("k"))
-        days = slots.groupBy(c, "day").agg(F.sum("s").alias("day_s"), F.sum("k").alias("day_k"))
-        earlier_days = Window.partitionBy(c).orderBy("day").rowsBetween(running, -1)
-        days = days.select(
-            c,
-            "day",
-            F.coalesce(F.sum("day_s").over(earlier_days), F.lit(0.0)).alias("base_s"),
-            F.coalesce(F.sum("day_k").over(earlier_days), F.lit(0)).alias("base_k"),
-        )
-        earlier_slots = Window.partitionBy(c, "day").orderBy("slot").rowsBetween(running, -1)
-        base = slots.join(days, [c, "day"]).select(
-            c,
-            "day",
-            "slot",
-            (F.col("base_s") + F.coalesce(F.sum("s").over(earlier_slots), F.lit(0.0))).alias("base_s"),
-            (F.col("base_k") + F.coalesce(F.sum("k").over(earlier_slots), F.lit(0))).alias("base_k"),
+        groups = slotted.groupBy(c, "day", "slot").agg(F.sum(value).alias("s"), F.count(F.lit(1)).alias("k"))
+        earlier = f"OVER (PARTITION BY {name(c)} ORDER BY day, slot {before})"
+        base = groups.selectExpr(
+            name(c), "day", "slot",
+            f"coalesce(sum(s) {earlier}, 0D) AS base_s", f"coalesce(sum(k) {earlier}, 0L) AS base_k",
         )
-        earlier_rows = Window.partitionBy(c, "day", "slot").orderBy("account_id").rowsBetween(running, -1)
-        seen_sum = F.col("base_s") + F.coalesce(F.sum(value).over(earlier_rows), F.lit(0.0))
-        seen = F.col("base_k") + F.count(F.lit(1)).over(earlier_rows)
+        inside = f"OVER (PARTITION BY {name(c)}, day, slot ORDER BY account_id {before})"
+        seen_sum = F.expr(f"base_s + coalesce(sum(double({name(label)})) {inside}, 0D)")
+        seen = F.expr(f"base_k + count(1) {inside}")
         frame = (
             frame.join(base, [c, "day", "slot"])
             .withColumn(f"{c}_enc", smoothed(seen_sum, seen, mean, prior))
@@ -90,35 +82,40 @@ def ordered_target_encode_pooled(
     return frame.drop("slot")
 
 
+def target_encode_by_account(
+    table: DataFrame, categories: Sequence[str], label: str, prior: float = PRIOR
+) -> DataFrame:
+    """Encode all rows from the train rows of their own account; a category not seen in training gets the mean.
+
+    Windows over the account's days take the place of joins, so a table that is partitioned by account stays so.
+    """
+    known = f"IF(part = 'train', double({name(label)}), NULL)"
+    mean = f"avg({known}) OVER (PARTITION BY account_id)"
+    encoded = {}
+    for c in categories:
+        over = f"OVER (PARTITION BY account_id, {name(c)})"
+        encoded[f"{c}_enc"] = F.expr(
+            f"(coalesce(sum({known}) {over}, 0D) + {number(prior)} * {mean}) / (count({known}) {over} + {number(prior)})"
+        )
+    return table.withColumns(encoded)
+
+
 def target_encode(
-    rows: DataFrame, train: DataFrame, categories: Sequence[str], label: str, prior: float = PRIOR,
-    keys: Sequence[str] = (),
+    rows: DataFrame, train: DataFrame, categories: Sequence[str], label: str, prior: float = PRIOR
 ) -> DataFrame:
     """Encode rows from all train rows; a category not seen in training gets the mean.
 
-    With ``keys`` every key has its own statistics. The statistics tables are small beside the rows; Spark
-    broadcasts them when their measured size allows and shuffles both sides by key otherwise.
+    The statistics have one row per category value. Spark broadcasts them when their measured size allows and
+    shuffles both sides otherwise.
     """
     value = F.col(label).cast("double")
+    mean = F.lit(float(train.agg(F.avg(value)).first()[0]))
     encoded = rows
-    if keys:
-        means = train.groupBy(*keys).agg(F.avg(value).alias("label_mean"))
-        encoded = encoded.join(means, list(keys), "left")
-    else:
-        encoded = encoded.withColumn("label_mean", F.lit(float(train.agg(F.avg(value)).first()[0])))
     for c in categories:
-        stats = target_stats(train, c, label, keys)
+        label_sum, count = F.coalesce(F.col("label_sum"), F.lit(0.0)), F.coalesce(F.col("label_count"), F.lit(0))
         encoded = (
-            encoded.join(stats, [*keys, c], "left")
-            .withColumn(
-                f"{c}_enc",
-                smoothed(
-                    F.coalesce(F.col("label_sum"), F.lit(0.0)),
-                    F.coalesce(F.col("label_count"), F.lit(0)),
-                    F.col("label_mean"),
-                    prior,
-                ),
-            )
+            encoded.join(target_stats(train, c, label), [c], "left")
+            .withColumn(f"{c}_enc", smoothed(label_sum, count, mean, prior))
             .drop("label_sum", "label_count")
         )
-    return encoded.drop("label_mean")
+    return encoded

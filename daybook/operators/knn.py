@@ -48,17 +48,18 @@ def knn_by_account(
 ) -> DataFrame:
     """Adds ``pred`` to the test rows: vote of the account's ``k`` nearest train days.
 
-    Neighbours are ordered by (distance, label, day). A test row meets its account's train days as one array,
-    one per account and bounded by the days of the calendar; pairs are never rows.
+    Neighbours are ordered by (distance, label, day). The days of an account, bounded by the calendar, are
+    gathered in one row; a test day meets the train days as an array, and pairs are never rows.
     """
     inputs = ", ".join(f"double({name(f)})" for f in features)
-    prepared = rows.withColumn("__x", F.expr(f"array({inputs})"))
-    train = (
-        prepared.filter(F.col("part") == "train")
-        .groupBy("account_id")
-        .agg(F.collect_list(F.struct("__x", F.col(label).alias("label"), "day")).alias("__train"))
+    own = ", ".join(f"'{c}', {name(c)}" for c in rows.columns)
+    accounts = rows.withColumn("__x", F.expr(f"array({inputs})")).groupBy("account_id").agg(
+        F.expr(
+            f"collect_list(IF(part = 'train', named_struct('x', __x, 'label', {name(label)}, 'day', day), NULL))"
+        ).alias("__train"),
+        F.expr(f"collect_list(IF(part = 'test', named_struct('x', __x, 'own', named_struct({own})), NULL))").alias("__test"),
     )
-    parts = [f"__x[{i}] - t.__x[{i}]" for i in range(len(features))]
+    parts = [f"__q.x[{i}] - t.x[{i}]" for i in range(len(features))]
     if metric == "manhattan":
         distance = " + ".join(f"abs({p})" for p in parts)
     elif metric == "euclidean":
@@ -69,13 +70,10 @@ def knn_by_account(
         f"slice(array_sort(transform(__train, t -> named_struct('d', round({distance}, {DIGITS}), "
         f"'label', t.label, 'day', t.day))), 1, {k})"
     )
-    nearest = F.expr(ranked)
     return (
-        prepared.filter(F.col("part") == "test")
-        .join(train, "account_id")
-        .withColumn("__near", nearest)
-        .withColumn("pred", F.expr(vote("__near", "array_distinct(transform(__near, x -> x.label))")))
-        .drop("__x", "__train", "__near")
+        accounts.selectExpr("__train", "explode(__test) AS __q")
+        .selectExpr("__q.own AS __own", f"{ranked} AS __near")
+        .selectExpr("__own.*", f"{vote('__near', 'array_distinct(transform(__near, x -> x.label))')} AS pred")
     )
 
 

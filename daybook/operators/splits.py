@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from daybook.functions.losses import gini_gain, is_class, newton_gain, newton_leaf, squared_gain
@@ -106,6 +106,12 @@ def _range_of(value: str, edges: Sequence[float]) -> str:
     return pick(0, len(edges))
 
 
+def _piece(ranges: Ranges) -> str:
+    """The value range a (feature, value) row belongs to."""
+    wide = [(f"feature = {i}", _range_of("value", e)) for i, e in enumerate(ranges.edges) if e]
+    return case(wide, "0")
+
+
 def split_cuts(
     cells: DataFrame, by: Sequence[str], criterion: Criterion, ranges: Ranges | None = None
 ) -> DataFrame:
@@ -130,8 +136,7 @@ def split_cuts(
             f"lead(value) {ordered}) AS next_value",
         )
 
-    wide = [(f"feature = {i}", _range_of("value", e)) for i, e in enumerate(ranges.edges) if e]
-    hist = hist.withColumn("piece", F.expr(case(wide, "0")))
+    hist = hist.withColumn("piece", F.expr(_piece(ranges)))
     # At most nodes * features * pieces rows.
     sums = hist.groupBy(*group, "piece").agg(*[F.sum(s).alias(s) for s in stats], F.min("value").alias("low"))
     ordered = f"OVER (PARTITION BY {keys} ORDER BY piece"
@@ -266,11 +271,34 @@ def oblivious_cuts(
     if level_gain != "sum":
         raise ValueError("level_gain is 'owner' or 'sum'")
     # After a node's last value all its rows are left, so its gain goes back to zero.
-    inner = Window.partitionBy(*by, "feature").orderBy("value")
-    step = F.col("gain") - F.coalesce(F.lag("gain").over(inner), F.lit(0.0))
-    steps = gained.withColumn("step", step).groupBy(*tree, "feature", "value").agg(F.sum("step").alias("step"))
-    upto = Window.partitionBy(*tree, "feature").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
-    return steps.withColumn("gain", F.round(F.sum("step").over(upto), GAIN_DIGITS)).drop("step")
+    keys, level = ", ".join(name(k) for k in by), ", ".join(name(k) for k in (*tree, "feature"))
+    if ranges is None or not ranges.needed:
+        last = f"lag(gain) OVER (PARTITION BY {keys}, feature ORDER BY value)"
+        steps = gained.withColumn("step", F.expr(f"gain - coalesce({last}, 0D)"))
+        steps = steps.groupBy(*tree, "feature", "value").agg(F.sum("step").alias("step"))
+        upto = f"OVER (PARTITION BY {level} ORDER BY value ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+        return steps.withColumn("gain", F.expr(f"round(sum(step) {upto}, {GAIN_DIGITS})")).drop("step")
+    # The same in value ranges: what a node had at the end of its range before, and the sums of earlier ranges.
+    gained = gained.withColumn("piece", F.expr(_piece(ranges)))
+    ends = gained.groupBy(*by, "feature", "piece").agg(F.max_by("gain", "value").alias("end"))
+    carried = ends.withColumn("carry", F.expr(f"lag(end) OVER (PARTITION BY {keys}, feature ORDER BY piece)")).drop("end")
+    last = f"lag(gain) OVER (PARTITION BY {keys}, feature, piece ORDER BY value)"
+    steps = (
+        gained.withColumn("last", F.expr(last))
+        .join(carried, [*by, "feature", "piece"])
+        .withColumn("step", F.expr("gain - coalesce(last, carry, 0D)"))
+        .groupBy(*tree, "feature", "piece", "value")
+        .agg(F.sum("step").alias("step"))
+    )
+    totals = steps.groupBy(*tree, "feature", "piece").agg(F.sum("step").alias("total"))
+    before = f"OVER (PARTITION BY {level} ORDER BY piece ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+    totals = totals.withColumn("base", F.expr(f"coalesce(sum(total) {before}, 0D)")).drop("total")
+    inside = f"OVER (PARTITION BY {level}, piece ORDER BY value ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+    return (
+        steps.withColumn("inside", F.expr(f"sum(step) {inside}"))
+        .join(totals, [*tree, "feature", "piece"])
+        .select(*tree, "feature", "value", F.expr(f"round(base + inside, {GAIN_DIGITS})").alias("gain"))
+    )
 
 
 def oblivious_best_split(
@@ -282,24 +310,33 @@ def oblivious_best_split(
     h: str = "h",
     lam: float = 3.0,
     level_gain: str = "owner",
+    ranges: Ranges | None = None,
 ) -> DataFrame:
-    """The one cut that a level of an oblivious tree applies to all its nodes."""
+    """The one cut that a level of an oblivious tree applies to all its nodes.
+
+    It lies halfway to the next value among all rows of the tree.
+    """
+    ranges = plan_ranges(rows, features) if ranges is None else ranges
     criterion = newton_criterion(number(lam))
-    stats = {"n": "1D", "g": name(g), "h": name(h)}
-    cells = unpivot_features(rows, [*tree, node], features, stats)
-    cuts = oblivious_cuts(cells, tree, node, criterion, level_gain)
-    after = Window.partitionBy(*tree, "feature").orderBy("value")
-    cuts = cuts.withColumn("next_value", F.lead("value").over(after)).filter(
-        F.col("next_value").isNotNull() & (F.col("gain") > 0)
+    cells = unpivot_features(rows, [*tree, node], features, {"n": "1D", "g": name(g), "h": name(h)})
+    cuts = oblivious_cuts(cells, tree, node, criterion, level_gain, ranges)
+    # A cut with a gain above zero has rows on its right, so a next value exists.
+    best = (
+        cuts.filter("gain > 0")
+        .groupBy(*tree)
+        .agg(F.expr("max_by(struct(feature, value, gain), struct(gain, -feature, -value))").alias("cut"))
+        .select(*tree, "cut.*")
     )
-    names = F.element_at(F.array(*[F.lit(f) for f in features]), F.col("feature") + 1)
-    best = cuts.groupBy(*tree).agg(
-        F.max_by(
-            F.struct("feature", "value", "next_value", "gain"),
-            F.struct("gain", -F.col("feature"), -F.col("value")),
-        ).alias("cut")
+    place = best.select(*tree, "feature", F.col("value").alias("cut_value"))
+    following = (
+        cells.select(*tree, "feature", "value")
+        .join(place, [*tree, "feature"])
+        .filter("value > cut_value")
+        .groupBy(*tree)
+        .agg(F.min("value").alias("next_value"))
     )
-    return best.select(*tree, "cut.*").select(
+    names = F.element_at(F.array(*[F.lit(f) for f in features]), F.col("feature") + 1)
+    return best.join(following, list(tree)).select(
         *tree, names.alias("feature"), threshold("midpoint").alias("threshold"), "gain"
     )
 

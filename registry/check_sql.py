@@ -189,6 +189,21 @@ LEFT JOIN s_month o ON o.account_id = t.account_id AND o.month = t.month WHERE t
 )
 
 
+O["target_encode_pooled"] = query(
+    [
+        *EVENTS,
+        *[
+            f"s_{c} AS (SELECT {c}, sum(cls) AS s, count(*) AS k FROM ft WHERE part = 'train' GROUP BY {c})"
+            for c in ("dow", "month")
+        ],
+        "m AS (SELECT avg(cls) AS m FROM ft WHERE part = 'train')",
+    ],
+    """SELECT t.account_id, t.day, round((coalesce(d.s, 0) + 0.5 * m.m) / (coalesce(d.k, 0) + 0.5), 6) AS dow_enc,
+  round((coalesce(o.s, 0) + 0.5 * m.m) / (coalesce(o.k, 0) + 0.5), 6) AS month_enc
+FROM ft t CROSS JOIN m LEFT JOIN s_dow d ON d.dow = t.dow LEFT JOIN s_month o ON o.month = t.month WHERE t.part = 'test'""",
+)
+
+
 def bagged(trees: int) -> str:
     """Membership of train days in the sample of every tree."""
     return (

@@ -25,7 +25,7 @@ from daybook.operators.trees import Node, Tree
 from daybook.plans import compare as C
 from daybook.plans import presets
 from daybook.plans.model_frame import KEYS, ModelFrame, model_frame
-from daybook.session import new_folder
+from daybook.session import cut_lineage, new_folder
 from daybook.sources import statement as src
 from daybook.streaming import daily as stream
 
@@ -217,19 +217,24 @@ def ordered_target_encode(spark, folder):
 
 
 def ordered_target_encode_pooled(spark, folder):
-    train = events(spark, folder).filter("part = 'train'")
+    train = cut_lineage(events(spark, folder).filter("part = 'train'")).rows
     encoded = E.ordered_target_encode_pooled(train, ["dow", "month"], "cls")
     return encoded.select("account_id", "day", *r6("dow_enc", "month_enc"))
 
 
 def target_encode_test(spark, folder):
     table = events(spark, folder)
-    encoded = E.target_encode(
-        table.filter("part = 'test'"), table.filter("part = 'train'"), ["dow", "month"], "cls", keys=["account_id"]
-    )
+    encoded = E.target_encode_by_account(table, ["dow", "month"], "cls").filter("part = 'test'")
     return encoded.select("account_id", "day", *r6("dow_enc", "month_enc"))
 
 
+def target_encode_pooled(spark, folder):
+    """Test rows encoded by the train rows of all accounts."""
+    table = events(spark, folder)
+    train, test = table.filter("part = 'train'"), table.filter("part = 'test'")
+    return E.target_encode(test, train, ["dow", "month"], "cls").select("account_id", "day", *r6("dow_enc", "month_enc"))
+
+
 def bag_sample(spark, folder):
     train = events(spark, folder).filter("part = 'train'")
     return S.bag_sample(train, 6, KEYS).select("tree", "account_id", "day")
@@ -327,7 +332,7 @@ def newton_leaf_values(spark, folder):
 def _oblivious_level(spark, folder, level_gain):
     frame = model_frame(events(spark, folder))
     rows = _first_gradients(frame).withColumn("node", F.when(F.col("n") > 0.2, 1).otherwise(0))
-    best = P.oblivious_best_split(rows, ["account_id"], "node", X, lam=3.0, level_gain=level_gain)
+    best = P.oblivious_best_split(rows, ["account_id"], "node", X, lam=3.0, level_gain=level_gain, ranges=P.BOUNDED)
     return _released(frame, best.select("account_id", "feature", *r6("threshold", "gain")))
 
 
@@ -765,6 +770,7 @@ QUERIES = {
     "ordered_target_encode": ordered_target_encode,
     "ordered_target_encode_pooled": ordered_target_encode_pooled,
     "target_encode_test": target_encode_test,
+    "target_encode_pooled": target_encode_pooled,
     "bag_sample": bag_sample,
     "goss_sample": goss_sample,
     "softmax_scores": softmax_scores,
