@@ -72,25 +72,29 @@ class BoostedModel:
         ]
         return model_table(spark, rows)
 
-    def scores(self, rounds: int | None = None) -> list[str]:
-        """Raw score per output as text: start + learning rate times the sum of the trees."""
-        rate = number(self.params.learning_rate)
-        columns = []
-        for k in range(self.params.outputs):
-            steps = [f"{rate} * {group[k].value(self.features)}" for group in self.trees[:rounds]]
-            columns.append(" + ".join([number(self.start), *steps]))
-        return columns
+    def score(self, rows: DataFrame, names: Sequence[str], rounds: int | None = None) -> DataFrame:
+        """Adds the raw scores: start + learning rate times the sum of the trees.
+
+        The tree values are first laid out as one array per output and then added up from it: Spark compiles the
+        elements of an array into separate methods, so long ensembles stay compiled.
+        """
+        arrays = []
+        for k in range(len(names)):
+            values = [group[k].value(self.features) for group in self.trees[:rounds]]
+            arrays.append(f"array({', '.join(values)}) AS __t{k}")
+        start, rate = number(self.start), number(self.params.learning_rate)
+        sums = [f"aggregate(__t{k}, {start}, (a, v) -> a + {rate} * v) AS {n}" for k, n in enumerate(names)]
+        return rows.selectExpr("*", *arrays).selectExpr("*", *sums).drop(*[f"__t{k}" for k in range(len(names))])
 
     def predict(self, rows: DataFrame, rounds: int | None = None) -> DataFrame:
         """Adds ``pred``, and for classes the probabilities ``p0..``."""
-        scores = self.scores(rounds)
         if self.params.task == "amount":
-            return rows.withColumn("pred", F.expr(scores[0]))
-        names = [f"__f{k}" for k in range(len(scores))]
-        scored = rows.withColumns({n: F.expr(s) for n, s in zip(names, scores)})
-        probabilities = {f"p{k}": F.expr(p) for k, p in enumerate(softmax(names))}
-        scored = scored.withColumns(probabilities)
-        return scored.withColumn("pred", F.expr(argmax_class(list(probabilities)))).drop(*names)
+            return self.score(rows, ["pred"], rounds)
+        names = [f"__f{k}" for k in range(self.params.outputs)]
+        probabilities = [f"p{k}" for k in range(len(names))]
+        scored = self.score(rows, names, rounds)
+        scored = scored.selectExpr("*", *[f"{e} AS {p}" for e, p in zip(softmax(names), probabilities)])
+        return scored.withColumn("pred", F.expr(argmax_class(probabilities))).drop(*names)
 
 
 def fit_boosted(

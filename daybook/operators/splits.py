@@ -165,11 +165,12 @@ def split_cuts(
     )
 
 
-def with_gain(cuts: DataFrame, criterion: Criterion, min_rows: str = "1") -> DataFrame:
+def with_gain(cuts: DataFrame, criterion: Criterion, min_rows: str = "1", rounded: bool = True) -> DataFrame:
     """Add ``gain``: null where a side has fewer than ``min_rows`` rows."""
     gain = criterion.gain({s: f"l_{s}" for s in criterion.stats}, {s: f"t_{s}" for s in criterion.stats})
     allowed = f"next_value IS NOT NULL AND l_n >= {min_rows} AND t_n - l_n >= {min_rows}"
-    return cuts.withColumn("gain", F.expr(case([(allowed, f"round({gain}, {GAIN_DIGITS})")])))
+    gain = f"round({gain}, {GAIN_DIGITS})" if rounded else gain
+    return cuts.withColumn("gain", F.expr(case([(allowed, gain)])))
 
 
 def best_cut(cuts: DataFrame, by: Sequence[str], stats: Sequence[str]) -> DataFrame:
@@ -264,7 +265,8 @@ def oblivious_cuts(
     level total is a running sum of the *changes* of each node's score.
     """
     by = [*tree, node]
-    gained = with_gain(split_cuts(cells, by, criterion, ranges), criterion)
+    # Gains that are added up are rounded only as a sum.
+    gained = with_gain(split_cuts(cells, by, criterion, ranges), criterion, rounded=level_gain == "owner")
     gained = gained.withColumn("gain", F.coalesce("gain", F.lit(0.0)))
     if level_gain == "owner":
         return gained.groupBy(*tree, "feature", "value").agg(F.max("gain").alias("gain"))

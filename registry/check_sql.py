@@ -277,7 +277,7 @@ def best_of(rows: str, kind: str, point: str, lam: float = 1.0, gamma: float = 0
 
 
 SPLIT_OUT = (
-    f"{FEATURE_NAME} AS feature, round(threshold, 6) AS threshold, round(gain, 6) AS gain, "
+    f"{FEATURE_NAME} AS feature, round(threshold, 9) AS threshold, round(gain, 9) AS gain, "
     "CAST(l_n AS BIGINT) AS n_left, CAST(t_n - l_n AS BIGINT) AS n_right"
 )
 O["gini_best_split"] = query(
@@ -314,7 +314,7 @@ def oblivious_level(level_gain: str) -> str:
     ) + "))"
     return query(
         [*FRAME, rows, nexts],
-        f"SELECT tree AS account_id, {FEATURE_NAME} AS feature, round((v + next_v) / 2, 6) AS threshold, round(gain, 6) AS gain "
+        f"SELECT tree AS account_id, {FEATURE_NAME} AS feature, round((v + next_v) / 2, 9) AS threshold, round(gain, 9) AS gain "
         f"FROM (SELECT g.*, t.next_v, row_number() OVER (PARTITION BY g.tree ORDER BY g.gain DESC, g.f, g.v) AS rn "
         f"FROM ({level_gain_sql('r', 3.0, level_gain)}) g JOIN t ON t.tree = g.tree AND t.f = g.f AND t.v = g.v "
         f"WHERE g.gain > 0 AND t.next_v IS NOT NULL) WHERE rn = 1",
@@ -343,7 +343,7 @@ def model_rows(prefix: str, bests: list[str], number: int) -> str:
     inner = " UNION ALL ".join(f"SELECT tree, node, f, cut FROM {b}" for b in bests)
     return (
         f"SELECT {number} AS round, CAST(tree AS INTEGER) AS class, node AS node_id, FALSE AS is_leaf, {FEATURE_NAME} AS feature, "
-        f"round(cut, 6) AS threshold, CAST(NULL AS DOUBLE) AS value FROM ({inner}) UNION ALL "
+        f"round(cut, 9) AS threshold, CAST(NULL AS DOUBLE) AS value FROM ({inner}) UNION ALL "
         f"SELECT {number}, CAST(tree AS INTEGER), node, TRUE, NULL, NULL, round(CAST(value AS DOUBLE), 6) FROM {prefix}_values"
     )
 
@@ -405,7 +405,7 @@ O["oblivious_tree"] = query(
      "FROM (SELECT unnest(range(1, 5)) AS level) l, (SELECT unnest(range(16)) AS i) i WHERE i.i < pow(2, l.level))",
      "cuts AS (" + " UNION ALL ".join(f"SELECT {i} AS level, f, cut FROM m1_cut{i}" for i in range(4)) + ")"],
     f"SELECT 1 AS round, 0 AS class, n.node AS node_id, c.cut IS NULL AS is_leaf, {FEATURE_NAME} AS feature, "
-    f"round(c.cut, 6) AS threshold, CASE WHEN c.cut IS NULL THEN round(coalesce(v.value, 0), 6) END AS value "
+    f"round(c.cut, 9) AS threshold, CASE WHEN c.cut IS NULL THEN round(coalesce(v.value, 0), 6) END AS value "
     f"FROM nodes n LEFT JOIN cuts c ON c.level = n.level LEFT JOIN m1_values v ON v.node = n.node "
     f"WHERE n.level <= (SELECT count(*) FROM cuts)",
 )

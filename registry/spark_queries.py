@@ -39,6 +39,11 @@ def r6(*columns: str) -> list:
     return [F.round(F.col(c), 6).alias(c) for c in columns]
 
 
+def r9(*columns: str) -> list:
+    """For thresholds and gains; gains are already rounded to 9 digits."""
+    return [F.round(F.col(c), 9).alias(c) for c in columns]
+
+
 def events(spark: SparkSession, folder: str) -> DataFrame:
     """Feature table of the events statement."""
     return D.feature_table(src.statement_from_events(spark, folder, spending_only=True), EVENT_EDGES)
@@ -307,20 +312,20 @@ def _first_gradients(frame: ModelFrame) -> DataFrame:
 def gini_best_split(spark, folder):
     train = events(spark, folder).filter("part = 'train'")
     return P.gini_best_split(train, ["account_id"], X, ranges=P.BOUNDED).select(
-        "account_id", "feature", *r6("threshold", "gain"), "n_left", "n_right"
+        "account_id", "feature", *r9("threshold", "gain"), "n_left", "n_right"
     )
 
 
 def mse_best_split(spark, folder):
     frame = model_frame(events(spark, folder))
     best = P.mse_best_split(frame.train, ["dow"], X[1:])
-    return _released(frame, best.select(F.round("dow", 6).alias("dow"), "feature", *r6("threshold", "gain"), "n_left", "n_right"))
+    return _released(frame, best.select(F.round("dow", 6).alias("dow"), "feature", *r9("threshold", "gain"), "n_left", "n_right"))
 
 
 def newton_best_split(spark, folder):
     frame = model_frame(events(spark, folder))
     best = P.newton_best_split(_first_gradients(frame), ["account_id"], X, lam=1.0, gamma=0.0, ranges=P.BOUNDED)
-    return _released(frame, best.select("account_id", "feature", *r6("threshold", "gain"), "n_left", "n_right"))
+    return _released(frame, best.select("account_id", "feature", *r9("threshold", "gain"), "n_left", "n_right"))
 
 
 def newton_leaf_values(spark, folder):
@@ -333,7 +338,7 @@ def _oblivious_level(spark, folder, level_gain):
     frame = model_frame(events(spark, folder))
     rows = _first_gradients(frame).withColumn("node", F.when(F.col("n") > 0.2, 1).otherwise(0))
     best = P.oblivious_best_split(rows, ["account_id"], "node", X, lam=3.0, level_gain=level_gain, ranges=P.BOUNDED)
-    return _released(frame, best.select("account_id", "feature", *r6("threshold", "gain")))
+    return _released(frame, best.select("account_id", "feature", *r9("threshold", "gain")))
 
 
 def oblivious_best_split(spark, folder):
@@ -355,7 +360,7 @@ def assign_nodes(spark, folder):
 
 
 def _tree_rows(table: DataFrame) -> DataFrame:
-    return table.select("round", "class", "node_id", "is_leaf", "feature", *r6("threshold", "value"))
+    return table.select("round", "class", "node_id", "is_leaf", "feature", *r9("threshold"), *r6("value"))
 
 
 def tree_classify(spark, folder):
