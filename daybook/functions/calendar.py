@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Weekday names by code.
-WEEKDAY_NAMES = ("Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday", "Sunday")
+# Weekday names by code, Monday first.
+WEEKDAY_NAMES = ("Понеділок", "Вівторок", "Середа", "Четвер", "Пятниця", "Субота", "Неділя")
+WEEKDAY_NAMES_ENGLISH = ("Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday", "Sunday")
 
 
 def day_of_week(day: Column) -> Column:

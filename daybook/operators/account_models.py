@@ -116,10 +116,14 @@ def boost_by_account(
     else:
         start = "avg(IF(held = 0, goal, NULL)) OVER (PARTITION BY account_id)"
     frame = rows.selectExpr("*", f"{start} AS f")
+    written = None
     for number_of_round in range(1, params.rounds + 1):
         frame = _round(frame, params, classes)
         if number_of_round % WRITE_EVERY == 0 and number_of_round < params.rounds:
-            frame = cut_lineage(frame).rows.repartition("account_id")
+            older, written = written, cut_lineage(frame)
+            frame = written.rows.repartition("account_id")
+            if older is not None:
+                older.drop()
     return _scores(frame, params, classes)
 
 

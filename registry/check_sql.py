@@ -32,7 +32,7 @@ FEATURE_NAME = "CASE f " + " ".join(f"WHEN {i} THEN {n}" for i, n in enumerate(N
 XS = ", ".join(f"x{i}" for i in range(6))
 DEFAULT = (0, 200, 600)
 LABELS = ("0-200 UAH", "200-600 UAH", "600+ UAH")
-WEEKDAYS = ("Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday", "Sunday")
+WEEKDAYS = ("Понеділок", "Вівторок", "Середа", "Четвер", "Пятниця", "Субота", "Неділя")
 
 
 def named(column: str, names) -> str:

@@ -180,3 +180,19 @@ def test_raw_amount_filter_reaches_the_scan(spark, tmp_path):
 def test_prefilter_keeps_the_exact_filter(spark, folder):
     full = D.keep_spending(statement_from_events(spark, folder)).count()
     assert D.keep_spending(statement_from_events(spark, folder, spending_only=True)).count() == full
+
+
+def test_account_models_never_shuffle_after_the_feature_table(spark, folder):
+    from registry.spark_queries import QUERIES
+
+    for query in ("tree_by_account", "newton_classify_by_account", "knn_classify", "target_encode_test", "minmax_scale"):
+        plan = plan_of(QUERIES[query](spark, folder))
+        assert plan.count("Exchange hashpartitioning") == 2, query
+        assert "Python" not in plan and "InPandas" not in plan
+
+
+def test_copies_are_limited_before_the_shuffle(spark):
+    from daybook.operators.knn import _merge_copies
+
+    rows = spark.createDataFrame([(1, [0.5], 2)], "id long, __x array<double>, label int")
+    assert plan_of(_merge_copies(rows, "id", "label", 3)).count("WindowGroupLimit") >= 1
