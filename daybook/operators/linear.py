@@ -4,9 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.classification import LogisticRegression, MultilayerPerceptronClassifier
+from pyspark.ml.classification import (
+    DecisionTreeClassifier,
+    LogisticRegression,
+    MultilayerPerceptronClassifier,
+    RandomForestClassifier,
+)
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import LinearRegression, RandomForestRegressor
+from pyspark.ml.regression import DecisionTreeRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -69,6 +74,28 @@ def forest_regress(
     return FittedEstimator("forest", estimator.fit(_with_vector(train, features)), features, False)
 
 
+def library_tree(
+    train: DataFrame, features: Sequence[str], as_class: bool = True, target: str | None = None, max_depth: int = 3
+) -> FittedEstimator:
+    """Library run of the single tree. Its thresholds come from at most 255 bins per feature."""
+    kind = DecisionTreeClassifier if as_class else DecisionTreeRegressor
+    estimator = kind(
+        featuresCol="__features", labelCol=target or ("cls" if as_class else "y"), maxDepth=max_depth, maxBins=255,
+        impurity="gini" if as_class else "variance",
+    )
+    return FittedEstimator("tree", estimator.fit(_with_vector(train, features)), features, as_class)
+
+
+def library_forest_classify(
+    train: DataFrame, features: Sequence[str], label: str = "cls", n_trees: int = 20, max_depth: int = 10, seed: int = 13
+) -> FittedEstimator:
+    """Library run of the forest: bootstrap rows, feature subsets, averaged probabilities."""
+    estimator = RandomForestClassifier(
+        featuresCol="__features", labelCol=label, numTrees=n_trees, maxDepth=max_depth, seed=seed
+    )
+    return FittedEstimator("forest", estimator.fit(_with_vector(train, features)), features, True)
+
+
 def perceptron_classify(
     train: DataFrame, features: Sequence[str], label: str = "cls", hidden: Sequence[int] = (10, 6), n_classes: int = 3,
     iterations: int = 100, seed: int = 42,

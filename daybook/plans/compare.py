@@ -9,10 +9,27 @@ from pyspark.sql import functions as F
 
 from daybook.operators.boosting import BoostParams, fit_boosted
 from daybook.operators.dense import dense_net_classify, dense_net_regress
-from daybook.operators.linear import forest_regress, linear_regress, logistic_classify, perceptron_classify
+from daybook.operators.evaluate import run_comparison
+from daybook.operators.knn import knn_by_account
+from daybook.operators.linear import (
+    forest_regress,
+    library_forest_classify,
+    library_tree,
+    linear_regress,
+    logistic_classify,
+    perceptron_classify,
+)
 from daybook.operators.single_tree import forest_classify, tree_classify, tree_regress
 from daybook.plans.model_frame import KEYS, ModelFrame
-from daybook.plans.presets import OWN_CLASSIFIERS, OWN_FOREST, OWN_REGRESSORS, TREE_DEPTH
+from daybook.plans.presets import (
+    KNN_NEIGHBOURS,
+    LIBRARY_CLASSIFIERS,
+    LIBRARY_FOREST,
+    OWN_CLASSIFIERS,
+    OWN_FOREST,
+    OWN_REGRESSORS,
+    TREE_DEPTH,
+)
 
 METRICS_SCHEMA = "task string, model string, metric string, value double"
 
@@ -64,7 +81,8 @@ def compare_models(
             add(model, fitted[model].predict(rows))
     if nets:
         class_row("dense", dense_net_classify(train, features, **limit).predict(rows, features))
-        class_row("perceptron", perceptron_classify(train, features).predict(rows))
+        steps = {} if epochs is None else {"iterations": epochs}
+        class_row("perceptron", perceptron_classify(train, features, **steps).predict(rows))
         amount_row("dense", dense_net_regress(train, features, **limit).predict(rows, features))
     return spark.createDataFrame(results, METRICS_SCHEMA)
 
@@ -81,3 +99,53 @@ def sweep(
     row = scored.agg(*hits).first()
     table = [("class", run, "accuracy", float(row[f"a{i}"])) for i, run in enumerate(models)]
     return spark.createDataFrame(table, METRICS_SCHEMA)
+
+
+def own_against_library(
+    spark: SparkSession,
+    frame: ModelFrame,
+    models: Sequence[str] = ("neighbours", "tree", "forest", "dense", "boosted", "newton", "leafwise", "oblivious"),
+    rounds: int | None = None,
+    epochs: int | None = None,
+) -> DataFrame:
+    """Test accuracy of own and library runs side by side, one row per model."""
+    train, rows, features = frame.train, frame.rows, frame.features
+    limit = {} if epochs is None else {"epochs": epochs}
+    steps = {} if epochs is None else {"iterations": epochs}
+    depth = LIBRARY_FOREST["max_depth"]
+
+    def boosted(presets, model):
+        fitted, _ = fit_boosted(train, features, {model: _shorter(presets[model], rounds)}, KEYS)
+        return fitted[model].predict(rows)
+
+    fits = {
+        "neighbours": (
+            lambda: knn_by_account(rows, features, KNN_NEIGHBOURS, "manhattan"),
+            lambda: knn_by_account(rows, features, KNN_NEIGHBOURS, "euclidean"),
+        ),
+        "tree": (
+            lambda: tree_classify(train, features, max_depth=TREE_DEPTH).predict(rows),
+            lambda: library_tree(train, features, max_depth=TREE_DEPTH).predict(rows),
+        ),
+        "forest": (
+            lambda: forest_classify(train, features, KEYS, **OWN_FOREST).predict(rows),
+            lambda: library_forest_classify(
+                train, features, n_trees=LIBRARY_FOREST["n_trees"], max_depth=depth
+            ).predict(rows),
+        ),
+        "dense": (
+            lambda: dense_net_classify(train, features, **limit).predict(rows, features),
+            lambda: perceptron_classify(train, features, **steps).predict(rows),
+        ),
+        **{
+            model: (lambda m=model: boosted(OWN_CLASSIFIERS, m), lambda m=model: boosted(LIBRARY_CLASSIFIERS, m))
+            for model in OWN_CLASSIFIERS
+        },
+    }
+    results = [
+        ("class", model, "accuracy", run, test_accuracy(fit()))
+        for model in models
+        for run, fit in zip(("own", "library"), fits[model])
+    ]
+    metrics = spark.createDataFrame(results, "task string, model string, metric string, run string, value double")
+    return run_comparison(metrics, ["own", "library"])

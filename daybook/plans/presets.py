@@ -41,7 +41,7 @@ LIBRARY_REGRESSORS = {
     ),
 }
 OWN_FOREST = {"n_trees": 6, "max_depth": 5, "share": 0.8, "seed": "13"}
-LIBRARY_FOREST = {"n_trees": 20, "max_depth": 30, "share": 0.8, "seed": "13"}
+LIBRARY_FOREST = {"n_trees": 20, "max_depth": 10, "seed": 13}
 TREE_DEPTH = 3
 KNN_NEIGHBOURS = 3
 LIBRARY_NETS = {"class": (10, 6), "amount": (6, 3)}

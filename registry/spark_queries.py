@@ -675,6 +675,17 @@ def run_comparison(spark, folder):
     return _released(frame, V.run_comparison(rows, ["depth1", "depth2"]))
 
 
+def own_against_library(spark, folder):
+    """Own and library runs of the neighbours and the tree."""
+    frame = model_frame(events(spark, folder))
+    table = C.own_against_library(spark, frame, models=("neighbours", "tree"))
+    return _released(frame, table)
+
+
+def tree_library(spark, folder):
+    return _library(spark, folder, L.library_tree)
+
+
 def compare_models(spark, folder):
     frame = model_frame(events(spark, folder))
     metrics = C.compare_models(spark, frame, rounds=1, epochs=2)
@@ -831,6 +842,8 @@ QUERIES = {
     "baseline_metrics": baseline_metrics,
     "leaderboard": leaderboard,
     "run_comparison": run_comparison,
+    "own_against_library": own_against_library,
+    "tree_library": tree_library,
     "compare_models": compare_models,
     "prediction_sample": prediction_sample,
     "amount_sample": amount_sample,

@@ -169,3 +169,11 @@ def test_pure_and_gainless_nodes(spark):
     tied = spark.createDataFrame([(1.0, 2), (1.0, 0)], "x double, cls int")
     assert tree_classify(tied, ["x"]).trees[0].nodes[1].value == 0.0
     assert tree_classify(tied, ["x"]).predict(tied).filter(F.col("pred") == 0).count() == 2
+
+
+def test_all_models_own_against_library(spark, frame):
+    from daybook.plans.compare import own_against_library
+
+    table = own_against_library(spark, frame, rounds=1, epochs=2).collect()
+    assert len(table) == 8
+    assert all(0.0 <= r["own"] <= 1.0 and 0.0 <= r["library"] <= 1.0 for r in table)
