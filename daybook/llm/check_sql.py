@@ -47,10 +47,10 @@ FROM r
 
 _TOPK = """
 WITH v AS (
-  SELECT vec_id, list_transform(embedding, x -> CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
-  WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+  SELECT vec_id, [CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
 ), s AS (
-  SELECT q.vec_id AS query_id, d.vec_id AS vec_id, CAST(list_sum(list_transform(list_zip(q.v, d.v), p -> p[1] * p[2])) AS BIGINT) AS score
+  SELECT q.vec_id AS query_id, d.vec_id AS vec_id, CAST(list_sum([p[1] * p[2] FOR p IN list_zip(q.v, d.v)]) AS BIGINT) AS score
   FROM v q JOIN v d ON q.vec_id <> d.vec_id WHERE q.vec_id % 20 = 0
 ), r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 20
@@ -58,16 +58,16 @@ SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank
 
 _SUBSTRING = r"""
 WITH d AS (
-  SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), w -> w <> '') AS words FROM documents
+  SELECT doc_id, [w FOR w IN regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+') IF w <> ''] AS words FROM documents
 ), w AS (
   SELECT doc_id, unnest(generate_series(1, len(words) - 19)) AS start, words FROM d WHERE len(words) >= 20
 ), h AS (SELECT doc_id, start, array_to_string(list_slice(words, start, start + 19), ' ') AS win FROM w
 ), r AS (SELECT doc_id, start, row_number() OVER (PARTITION BY win ORDER BY doc_id, start) AS nth FROM h
-), gone AS (SELECT DISTINCT doc_id, start + k AS at FROM r, (SELECT unnest(generate_series(0, 19)) AS k) WHERE nth > 1
-), u AS (SELECT doc_id, unnest(generate_series(1, len(words))) AS at, unnest(words) AS word FROM d WHERE len(words) > 0
+), gone AS (SELECT DISTINCT doc_id, start + k AS place FROM r, (SELECT unnest(generate_series(0, 19)) AS k) WHERE nth > 1
+), u AS (SELECT doc_id, unnest(generate_series(1, len(words))) AS place, unnest(words) AS word FROM d WHERE len(words) > 0
 ), kept AS (
-  SELECT u.doc_id, string_agg(word, ' ' ORDER BY at) FILTER (WHERE gone.at IS NULL) AS kept, count(gone.at) AS n_removed
-  FROM u LEFT JOIN gone USING (doc_id, at) GROUP BY u.doc_id
+  SELECT u.doc_id, string_agg(word, ' ' ORDER BY place) FILTER (WHERE gone.place IS NULL) AS kept, count(gone.place) AS n_removed
+  FROM u LEFT JOIN gone USING (doc_id, place) GROUP BY u.doc_id
 )
 SELECT d.doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
 FROM d LEFT JOIN kept USING (doc_id)
