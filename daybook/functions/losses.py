@@ -40,6 +40,11 @@ def newton_gain(gl: str, hl: str, g: str, h: str, lam: str = "1D", gamma: str =
     return f"(0.5D * ({left} + {right} - {_share(g, h, lam)}) - ({gamma}))"
 
 
+def newton_size(gl: str, hl: str, g: str, h: str, lam: str = "1D") -> str:
+    """What the parts of a Newton gain add up to before they cancel out."""
+    return f"(0.5D * ({_share(gl, hl, lam)} + {_share(f'({g}) - ({gl})', f'({h}) - ({hl})', lam)}))"
+
+
 def newton_leaf(g: str, h: str, lam: str = "1D") -> str:
     return f"coalesce(try_divide(-({g}), ({h}) + ({lam})), 0D)"
 
@@ -50,6 +55,11 @@ def squared_gain(nl: str, sl: str, n: str, s: str) -> str:
     return f"(({left} + {right} - {s} * {s} / {n}) / {n})"
 
 
+def squared_size(nl: str, sl: str, n: str, s: str) -> str:
+    """The same for the drop of the mean squared error."""
+    return f"((try_divide({sl} * {sl}, {nl}) + try_divide(({s} - {sl}) * ({s} - {sl}), {n} - {nl})) / {n})"
+
+
 def gini_gain(left: Sequence[str], total: Sequence[str]) -> str:
     """Drop of the gini impurity from class counts of the left part and of the whole node."""
     right = [f"({t} - {c})" for t, c in zip(total, left)]

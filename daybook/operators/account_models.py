@@ -18,7 +18,6 @@ from daybook.functions.losses import HESSIAN_FLOOR, newton_leaf
 from daybook.functions.text import case, name, number
 from daybook.operators.boosting import BoostParams
 from daybook.operators.splits import (
-    GAIN_DIGITS,
     Criterion,
     class_stats,
     gini_criterion,
@@ -59,9 +58,9 @@ def _next_level(rows: DataFrame, criterion: Criterion, cut: str, min_rows: int)
     )
     # A cut lies after the last of equal values of the train rows.
     allowed = f"held = 0 AND next_value > value AND l_n >= {min_rows} AND t_n - l_n >= {min_rows}"
-    gain = criterion.gain({s: f"l_{s}" for s in stats}, {s: f"t_{s}" for s in stats})
+    gain = criterion.settled({s: f"l_{s}" for s in stats}, {s: f"t_{s}" for s in stats})
     point = "value" if cut == "observed" else "(value + next_value) / 2"
-    gained = cells.selectExpr("*", f"{case([(allowed, f'round({gain}, {GAIN_DIGITS})')])} AS gain", f"{point} AS point")
+    gained = cells.selectExpr("*", f"{case([(allowed, gain)])} AS gain", f"{point} AS point")
     best = "max(IF(gain > 0, struct(gain, -feature AS f, -value AS v, point), NULL))"
     chosen = gained.selectExpr("*", f"{best} OVER (PARTITION BY {NODE}) AS best").filter("feature = 0")
     moved = "IF(best IS NULL, node, 2 * node + IF(x[-best.f] > best.point, 1, 0))"

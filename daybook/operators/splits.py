@@ -14,11 +14,12 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from daybook.functions.losses import gini_gain, is_class, newton_gain, newton_leaf, squared_gain
+from daybook.functions.losses import gini_gain, is_class, newton_gain, newton_leaf, newton_size, squared_gain, squared_size
 from daybook.functions.text import case, name, number
 
-# Gains are compared after rounding, because parallel sums differ in the last bits.
-GAIN_DIGITS = 9
+# Parallel sums differ in the last bits, so a gain counts only above this share of what its parts add up to, and
+# gains are compared as 24-bit numbers. Both are relative: units and outliers of the target don't matter.
+GAIN_SHARE = "1E-12D"
 # Up to this many distinct values one group of running sums is fine.
 WIDE_VALUES = 200_000
 _RANGES = 512
@@ -30,6 +31,15 @@ class Criterion:
 
     stats: tuple[str, ...]
     gain: Callable[[dict[str, str], dict[str, str]], str]
+    size: Callable[[dict[str, str], dict[str, str]], str]
+
+    def settled(self, left: dict[str, str], total: dict[str, str]) -> str:
+        """The gain as it is compared; 0 where it is lost in the last bits."""
+        return settled(self.gain(left, total), self.size(left, total))
+
+
+def settled(gain: str, size: str) -> str:
+    return f"IF({gain} > {GAIN_SHARE} * {size}, double(float({gain})), 0D)"
 
 
 def gini_criterion(n_classes: int = 3) -> Criterion:
@@ -37,12 +47,15 @@ def gini_criterion(n_classes: int = 3) -> Criterion:
     return Criterion(
         ("n", *names),
         lambda left, total: gini_gain([left[c] for c in names], [total[c] for c in names]),
+        lambda left, total: "1D",
     )
 
 
 def mse_criterion() -> Criterion:
     return Criterion(
-        ("n", "s"), lambda left, total: squared_gain(left["n"], left["s"], total["n"], total["s"])
+        ("n", "s"),
+        lambda left, total: squared_gain(left["n"], left["s"], total["n"], total["s"]),
+        lambda left, total: squared_size(left["n"], left["s"], total["n"], total["s"]),
     )
 
 
@@ -50,6 +63,7 @@ def newton_criterion(lam: str = "1D", gamma: str = "0D") -> Criterion:
     return Criterion(
         ("n", "g", "h"),
         lambda left, total: newton_gain(left["g"], left["h"], total["g"], total["h"], lam, gamma),
+        lambda left, total: newton_size(left["g"], left["h"], total["g"], total["h"], lam),
     )
 
 
@@ -165,12 +179,14 @@ def split_cuts(
     )
 
 
-def with_gain(cuts: DataFrame, criterion: Criterion, min_rows: str = "1", rounded: bool = True) -> DataFrame:
-    """Add ``gain``: null where a side has fewer than ``min_rows`` rows."""
-    gain = criterion.gain({s: f"l_{s}" for s in criterion.stats}, {s: f"t_{s}" for s in criterion.stats})
+def with_gain(cuts: DataFrame, criterion: Criterion, min_rows: str = "1", as_parts: bool = False) -> DataFrame:
+    """Add ``gain``: null where a side has fewer than ``min_rows`` rows. As parts: the bare gain and its ``size``."""
+    sides = {s: f"l_{s}" for s in criterion.stats}, {s: f"t_{s}" for s in criterion.stats}
     allowed = f"next_value IS NOT NULL AND l_n >= {min_rows} AND t_n - l_n >= {min_rows}"
-    gain = f"round({gain}, {GAIN_DIGITS})" if rounded else gain
-    return cuts.withColumn("gain", F.expr(case([(allowed, gain)])))
+    if as_parts:
+        parts = {"gain": criterion.gain(*sides), "size": criterion.size(*sides)}
+        return cuts.selectExpr("*", *[f"{case([(allowed, e)])} AS {c}" for c, e in parts.items()])
+    return cuts.withColumn("gain", F.expr(case([(allowed, criterion.settled(*sides))])))
 
 
 def best_cut(cuts: DataFrame, by: Sequence[str], stats: Sequence[str]) -> DataFrame:
@@ -265,42 +281,47 @@ def oblivious_cuts(
     level total is a running sum of the *changes* of each node's score.
     """
     by = [*tree, node]
-    # Gains that are added up are rounded only as a sum.
-    gained = with_gain(split_cuts(cells, by, criterion, ranges), criterion, rounded=level_gain == "owner")
-    gained = gained.withColumn("gain", F.coalesce("gain", F.lit(0.0)))
+    cuts = split_cuts(cells, by, criterion, ranges)
     if level_gain == "owner":
+        gained = with_gain(cuts, criterion).withColumn("gain", F.coalesce("gain", F.lit(0.0)))
         return gained.groupBy(*tree, "feature", "value").agg(F.max("gain").alias("gain"))
     if level_gain != "sum":
         raise ValueError("level_gain is 'owner' or 'sum'")
-    # After a node's last value all its rows are left, so its gain goes back to zero.
+    # Gains that are added up are settled only as a sum. After a node's last value all its rows are left, so its
+    # gain and size go back to zero.
+    parts = ("gain", "size")
+    gained = with_gain(cuts, criterion, as_parts=True).withColumns({p: F.coalesce(p, F.lit(0.0)) for p in parts})
     keys, level = ", ".join(name(k) for k in by), ", ".join(name(k) for k in (*tree, "feature"))
     if ranges is None or not ranges.needed:
-        last = f"lag(gain) OVER (PARTITION BY {keys}, feature ORDER BY value)"
-        steps = gained.withColumn("step", F.expr(f"gain - coalesce({last}, 0D)"))
-        steps = steps.groupBy(*tree, "feature", "value").agg(F.sum("step").alias("step"))
+        last = f"OVER (PARTITION BY {keys}, feature ORDER BY value)"
+        steps = gained.selectExpr(*tree, "feature", "value", *[f"{p} - coalesce(lag({p}) {last}, 0D) AS {p}" for p in parts])
+        steps = steps.groupBy(*tree, "feature", "value").agg(*[F.sum(p).alias(p) for p in parts])
         upto = f"OVER (PARTITION BY {level} ORDER BY value ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
-        return steps.withColumn("gain", F.expr(f"round(sum(step) {upto}, {GAIN_DIGITS})")).drop("step")
+        sums = steps.selectExpr(*tree, "feature", "value", *[f"sum({p}) {upto} AS {p}" for p in parts])
+        return sums.selectExpr(*tree, "feature", "value", f"{settled(*parts)} AS gain")
     # The same in value ranges: what a node had at the end of its range before, and the sums of earlier ranges.
     gained = gained.withColumn("piece", F.expr(_piece(ranges)))
-    ends = gained.groupBy(*by, "feature", "piece").agg(F.max_by("gain", "value").alias("end"))
-    carried = ends.withColumn("carry", F.expr(f"lag(end) OVER (PARTITION BY {keys}, feature ORDER BY piece)")).drop("end")
-    last = f"lag(gain) OVER (PARTITION BY {keys}, feature, piece ORDER BY value)"
+    ends = gained.groupBy(*by, "feature", "piece").agg(*[F.max_by(p, "value").alias(f"end_{p}") for p in parts])
+    carry = f"OVER (PARTITION BY {keys}, feature ORDER BY piece)"
+    carried = ends.selectExpr(*by, "feature", "piece", *[f"lag(end_{p}) {carry} AS carry_{p}" for p in parts])
+    last = f"OVER (PARTITION BY {keys}, feature, piece ORDER BY value)"
     steps = (
-        gained.withColumn("last", F.expr(last))
+        gained.selectExpr("*", *[f"lag({p}) {last} AS last_{p}" for p in parts])
         .join(carried, [*by, "feature", "piece"])
-        .withColumn("step", F.expr("gain - coalesce(last, carry, 0D)"))
+        .selectExpr(*tree, "feature", "piece", "value", *[f"{p} - coalesce(last_{p}, carry_{p}, 0D) AS {p}" for p in parts])
         .groupBy(*tree, "feature", "piece", "value")
-        .agg(F.sum("step").alias("step"))
+        .agg(*[F.sum(p).alias(p) for p in parts])
     )
-    totals = steps.groupBy(*tree, "feature", "piece").agg(F.sum("step").alias("total"))
+    totals = steps.groupBy(*tree, "feature", "piece").agg(*[F.sum(p).alias(f"total_{p}") for p in parts])
     before = f"OVER (PARTITION BY {level} ORDER BY piece ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
-    totals = totals.withColumn("base", F.expr(f"coalesce(sum(total) {before}, 0D)")).drop("total")
+    totals = totals.selectExpr(*tree, "feature", "piece", *[f"coalesce(sum(total_{p}) {before}, 0D) AS base_{p}" for p in parts])
     inside = f"OVER (PARTITION BY {level}, piece ORDER BY value ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
-    return (
-        steps.withColumn("inside", F.expr(f"sum(step) {inside}"))
+    sums = (
+        steps.selectExpr(*tree, "feature", "piece", "value", *[f"sum({p}) {inside} AS in_{p}" for p in parts])
         .join(totals, [*tree, "feature", "piece"])
-        .select(*tree, "feature", "value", F.expr(f"round(base + inside, {GAIN_DIGITS})").alias("gain"))
+        .selectExpr(*tree, "feature", "value", *[f"base_{p} + in_{p} AS {p}" for p in parts])
     )
+    return sums.selectExpr(*tree, "feature", "value", f"{settled(*parts)} AS gain")
 
 
 def oblivious_best_split(

@@ -134,6 +134,21 @@ def gain_sql(kind: str, lam: float = 1.0, gamma: float = 0.0) -> str:
     )
 
 
+def size_sql(kind: str, lam: float = 1.0) -> str:
+    """What the parts of a gain add up to before they cancel out."""
+    right = {s: f"(t_{s} - l_{s})" for s in STATS[kind]}
+    if kind == "gini":
+        return "1"
+    if kind == "mse":
+        return f"(l_s * l_s / l_n + {right['s']} * {right['s']} / {right['n']}) / t_n"
+    return f"0.5 * (l_g * l_g / (l_h + {lam}) + {right['g']} * {right['g']} / ({right['h']} + {lam}))"
+
+
+def settled_sql(gain: str, size: str) -> str:
+    """Gains count above 1e-12 of their size and are compared as 24-bit numbers."""
+    return f"CASE WHEN {gain} > 1e-12 * ({size}) THEN CAST(CAST({gain} AS FLOAT) AS DOUBLE) ELSE 0 END"
+
+
 def cuts_sql(rows: str, kind: str, lam: float = 1.0, gamma: float = 0.0, min_rows: int = 1) -> str:
     """All allowed cuts of all nodes with their gain."""
     stats = STATS[kind]
@@ -142,7 +157,7 @@ def cuts_sql(rows: str, kind: str, lam: float = 1.0, gamma: float = 0.0, min_row
     )
     total = ", ".join(f"sum({s}) OVER (PARTITION BY tree, node, f) AS t_{s}" for s in stats)
     return (
-        f"SELECT *, round({gain_sql(kind, lam, gamma)}, 9) AS gain FROM ("
+        f"SELECT *, {settled_sql(gain_sql(kind, lam, gamma), size_sql(kind, lam))} AS gain FROM ("
         f"SELECT tree, node, f, v, lead(v) OVER (PARTITION BY tree, node, f ORDER BY v) AS next_v, {left}, {total} "
         f"FROM ({_cells(rows, stats)})) WHERE next_v IS NOT NULL AND l_n >= {min_rows} AND t_n - l_n >= {min_rows}"
     )
@@ -232,7 +247,7 @@ def level_gain_sql(rows: str, lam: float, level_gain: str) -> str:
         f" - {share.format(g='t_g', h='t_h')})"
     )
     return (
-        f"SELECT tree, f, v, round(sum({gain}), 9) AS gain FROM ("
+        f"SELECT tree, f, v, {settled_sql(f'sum({gain})', f'sum({size_sql("newton", lam)})')} AS gain FROM ("
         f"SELECT p.tree, p.f, p.v, c.node, sum(CASE WHEN c.v <= p.v THEN c.g ELSE 0 END) AS l_g, "
         f"sum(CASE WHEN c.v <= p.v THEN c.h ELSE 0 END) AS l_h, sum(c.g) AS t_g, sum(c.h) AS t_h "
         f"FROM (SELECT DISTINCT tree, f, v FROM ({_cells(rows, STATS['newton'])})) p "

@@ -6,26 +6,32 @@ import math
 
 import numpy as np
 
-DIGITS = 9
+
+
+def settled(gain, size):
+    """Gains count above 1e-12 of their size and are compared as 24-bit numbers."""
+    return float(np.float32(gain)) if gain > 1e-12 * size else 0.0
 
 
 def node_gain(kind, left, right, lam, gamma):
+    """(gain, what its parts add up to before they cancel out)."""
     if kind == "gini":
         def impurity(y):
             return 1 - sum((np.mean(y == c)) ** 2 for c in range(3))
 
         whole = np.concatenate([left, right])
         n = len(whole)
-        return impurity(whole) - len(left) / n * impurity(left) - len(right) / n * impurity(right)
+        return impurity(whole) - len(left) / n * impurity(left) - len(right) / n * impurity(right), 1.0
     if kind == "mse":
         whole = np.concatenate([left, right])
         n = len(whole)
-        return whole.var() - len(left) / n * left.var() - len(right) / n * right.var()
+        return whole.var() - len(left) / n * left.var() - len(right) / n * right.var(), (left.sum() ** 2 / len(left) + right.sum() ** 2 / len(right)) / n
 
     def score(part):
         return part[:, 0].sum() ** 2 / (part[:, 1].sum() + lam)
 
-    return 0.5 * (score(left) + score(right) - score(np.concatenate([left, right]))) - gamma
+    size = 0.5 * (score(left) + score(right))
+    return size - 0.5 * score(np.concatenate([left, right])) - gamma, size
 
 
 def search(kind, x, stat, lam=1.0, gamma=0.0, cut="observed", min_rows=1):
@@ -37,7 +43,7 @@ def search(kind, x, stat, lam=1.0, gamma=0.0, cut="observed", min_rows=1):
             left = x[:, f] <= low
             if left.sum() < min_rows or (~left).sum() < min_rows:
                 continue
-            gain = round(float(node_gain(kind, stat[left], stat[~left], lam, gamma)), DIGITS)
+            gain = settled(*node_gain(kind, stat[left], stat[~left], lam, gamma))
             if gain > 0 and (best is None or gain > best[0]):
                 best = (gain, f, low if cut == "observed" else (low + high) / 2)
     return best
@@ -113,15 +119,15 @@ def level_tree(x, stat, depth, lam, mode):
         for f in range(x.shape[1]):
             values = np.unique(x[:, f])
             for low, high in zip(values, values[1:]):
-                gains = []
+                gains = [(0.0, 0.0)]
                 for k in np.unique(node):
                     rows = node == k
                     left = rows & (x[:, f] <= low)
                     right = rows & (x[:, f] > low)
                     owned = (x[rows, f] == low).any()
                     if left.any() and right.any() and (owned or mode == "sum"):
-                        gains.append(float(node_gain("newton", stat[left], stat[right], lam, 0.0)))
-                gain = round(sum(gains) if mode == "sum" else max(gains, default=0.0), DIGITS)
+                        gains.append(node_gain("newton", stat[left], stat[right], lam, 0.0))
+                gain = settled(*map(sum, zip(*gains))) if mode == "sum" else max(settled(*g) for g in gains)
                 if gain > 0 and (best is None or gain > best[0]):
                     best = (gain, f, (low + high) / 2)
         if best is None:

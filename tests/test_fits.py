@@ -177,3 +177,11 @@ def test_all_models_own_against_library(spark, frame):
     table = own_against_library(spark, frame, rounds=1, epochs=2).collect()
     assert len(table) == 8
     assert all(0.0 <= r["own"] <= 1.0 and 0.0 <= r["library"] <= 1.0 for r in table)
+
+
+def test_small_gains_beside_an_outlier(spark):
+    """One huge amount must not hide the clean cut among all others."""
+    rows = [(float(i), 1e-5 if i < 50 else 2e-5) for i in range(100)] + [(100.0, 1.0)]
+    frame = spark.createDataFrame(rows, "x double, y double")
+    tree = tree_regress(frame, ["x"], max_depth=2).trees[0]
+    assert {n.threshold for n in tree.nodes.values() if not n.is_leaf} == {99.0, 49.0}
