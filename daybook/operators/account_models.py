@@ -4,6 +4,8 @@ The rows of an account, at most one per calendar day, stay in one partition from
 of growing a tree is a window over (account, tree, node, ...): running sums give the cuts, a maximum over the node
 picks one, and the row itself moves to its child. So a whole fit is a chain of sorts and windows without any further
 shuffle, join or collected result, and rows that are only to be scored travel along without taking part.
+
+An account without train rows has no model: its predictions, and probabilities, are null.
 """
 
 from __future__ import annotations
@@ -89,10 +91,10 @@ def tree_by_account(
     """Every account's own tree with observed thresholds; adds ``pred`` for all its rows."""
     if task == "class":
         criterion, stats, goal = gini_criterion(n_classes), class_stats("goal", n_classes), label
-        leaf = argmax_class([f"leaf_c{k}" for k in range(n_classes)])
+        leaf = f"IF(leaf_n > 0, {argmax_class([f'leaf_c{k}' for k in range(n_classes)])}, NULL)"
     else:
         criterion, stats, goal = mse_criterion(), {"n": "1D", "s": "goal"}, target
-        leaf = "leaf_s / leaf_n"
+        leaf = "try_divide(leaf_s, leaf_n)"
     rows = _prepare(table, features, goal, 1).selectExpr("*", *_only_train(stats))
     return _grow(rows, criterion, max_depth, "observed", leaf).selectExpr(
         "account_id", "day", "part", "value AS pred"
@@ -111,7 +113,7 @@ def boost_by_account(
     classes = params.task == "class"
     rows = _prepare(table, features, label if classes else target, params.outputs)
     if classes:
-        start = f"ln(1D / {params.n_classes})"
+        start = f"IF(min(held) OVER (PARTITION BY account_id) = 0, ln(1D / {params.n_classes}), NULL)"
     else:
         start = "avg(IF(held = 0, goal, NULL)) OVER (PARTITION BY account_id)"
     frame = rows.selectExpr("*", f"{start} AS f")
@@ -142,7 +144,7 @@ def _round(frame: DataFrame, params: BoostParams, classes: bool) -> DataFrame:
     else:
         g, h = "f - goal", "1D"
     if params.kind == "mse":
-        criterion, stats, leaf = mse_criterion(), {"n": "1D", "s": f"-({g})"}, "leaf_s / leaf_n"
+        criterion, stats, leaf = mse_criterion(), {"n": "1D", "s": f"-({g})"}, "try_divide(leaf_s, leaf_n)"
     else:
         criterion = newton_criterion(number(params.lam), number(params.gamma))
         stats, leaf = {"n": "1D", "g": g, "h": h}, newton_leaf("leaf_g", "leaf_h", number(params.lam))
@@ -159,4 +161,4 @@ def _scores(frame: DataFrame, params: BoostParams, classes: bool) -> DataFrame:
     wide = _probabilities(frame).groupBy("account_id", "day", "part").agg(
         *[F.expr(f"max(IF(tree = {k}, p, NULL))").alias(n) for k, n in enumerate(names)]
     )
-    return wide.withColumn("pred", F.expr(argmax_class(names)))
+    return wide.withColumn("pred", F.expr(f"IF(p0 IS NULL, NULL, {argmax_class(names)})"))

@@ -450,7 +450,8 @@ FRAME_ACCOUNT = account_frame_ctes("events")
 for key, kind, cast in (("tree_by_account", "gini", "CAST(o.value AS INTEGER)"), ("tree_regress_by_account", "mse", "round(o.value, 6)")):
     O[key] = query(
         [*FRAME_ACCOUNT, tree_rows(kind).replace("0 AS tree", "account_id AS tree"), *grow_depth("t", "r", kind, 3)],
-        f"SELECT o.account_id, o.day, r.part, {cast} AS pred FROM t_out o JOIN r ON r.account_id = o.account_id AND r.day = o.day",
+        f"SELECT o.account_id, o.day, r.part, CASE WHEN bool_or(r.used) OVER (PARTITION BY o.account_id) THEN {cast} END AS pred "
+        "FROM t_out o JOIN r ON r.account_id = o.account_id AND r.day = o.day",
     )
 O["newton_regress_by_account"] = boosted(
     "amount", 4, FRAME_ACCOUNT, kind="newton", growth="depth", rate=0.05, depth=3, lam=1.0, gamma=0.0, per_account=True
@@ -469,8 +470,9 @@ KNN_NEAR = f"""near AS (SELECT * FROM (SELECT q.account_id, q.day, q.cls, t.cls
   FROM sc q JOIN sc t ON t.account_id = q.account_id WHERE q.part = 'test' AND t.part = 'train') WHERE rn <= 3)"""
 O["knn_classify"] = query(
     [*EVENTS, _bounds("account_id"), KNN_SCALED, KNN_NEAR],
-    """SELECT account_id, day, cls, label AS pred FROM (SELECT *, row_number() OVER (PARTITION BY account_id, day
-  ORDER BY votes DESC, label) AS o FROM (SELECT account_id, day, cls, label, count(*) AS votes FROM near GROUP BY ALL)) WHERE o = 1""",
+    """SELECT s.account_id, s.day, s.cls, v.label AS pred FROM sc s LEFT JOIN (SELECT *, row_number() OVER (PARTITION BY account_id, day
+  ORDER BY votes DESC, label) AS o FROM (SELECT account_id, day, cls, label, count(*) AS votes FROM near GROUP BY ALL)) v
+  ON v.account_id = s.account_id AND v.day = s.day AND v.o = 1 WHERE s.part = 'test'""",
 )
 
 

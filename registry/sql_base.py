@@ -84,7 +84,7 @@ def account_frame_ctes(source: str) -> list[str]:
         f"CAST(min({c}) AS DOUBLE) AS {c}_lo, CAST(max({c}) AS DOUBLE) AS {c}_hi" for c in (*FEATURES, "amount")
     )
     keyed = f"bounds AS MATERIALIZED (SELECT account_id, {bounds} FROM ft WHERE part = 'train' GROUP BY account_id)"
-    return [*pooled[:-2], keyed, pooled[-1].replace("CROSS JOIN bounds b", "JOIN bounds b ON b.account_id = ft.account_id")]
+    return [*pooled[:-2], keyed, pooled[-1].replace("CROSS JOIN bounds b", "LEFT JOIN bounds b ON b.account_id = ft.account_id")]
 
 
 def query(ctes: list[str], final: str) -> str:
@@ -333,7 +333,9 @@ def boost_ctes(
     ``per_account`` numbers the trees by account, so that accounts do not share any sums.
     """
     trees = 3 if task == "class" else 1
-    if task == "class":
+    if task == "class" and per_account:
+        start = "CASE WHEN bool_or(part = 'train') OVER (PARTITION BY account_id) THEN ln(1.0 / 3) END"
+    elif task == "class":
         start = "ln(1.0 / 3)"
     elif per_account:
         start = "avg(CASE WHEN part = 'train' THEN y END) OVER (PARTITION BY account_id)"
@@ -394,7 +396,7 @@ def class_scores(prefix: str, rounds: int) -> str:
     probabilities = ", ".join(f"max(CASE WHEN tree % 3 = {k} THEN p END) AS p{k}" for k in range(3))
     return (
         f"SELECT account_id, day, part, round(p0, 6) AS p0, round(p1, 6) AS p1, round(p2, 6) AS p2, "
-        f"CASE WHEN p0 >= p1 AND p0 >= p2 THEN 0 WHEN p1 >= p2 THEN 1 ELSE 2 END AS pred FROM ("
+        f"CASE WHEN p0 IS NULL THEN NULL WHEN p0 >= p1 AND p0 >= p2 THEN 0 WHEN p1 >= p2 THEN 1 ELSE 2 END AS pred FROM ("
         f"SELECT account_id, day, part, {probabilities} FROM (SELECT s.account_id, s.day, r.part, s.tree, exp(s.f - top) "
         f"/ sum(exp(s.f - top)) OVER (PARTITION BY s.account_id, s.day) AS p FROM (SELECT *, max(f) OVER "
         f"(PARTITION BY account_id, day) AS top FROM {prefix}_f{rounds}) s "

@@ -160,3 +160,25 @@ def test_written_frames(spark):
     written = cut_lineage(spark.range(10))
     assert written.path.startswith(shared_folder(spark)) and written.rows.count() == 10
     written.drop()
+
+
+def test_account_without_train_rows(spark):
+    """Three spending days leave one row, a test row: no model, so no prediction, and no error for the others."""
+    from datetime import date
+
+    from daybook.operators.account_models import boost_by_account, tree_by_account
+    from daybook.operators.boosting import BoostParams
+
+    rows = [(1, date(2024, 1, d), "train" if d < 9 else "test", float(d), float(d), d % 3) for d in range(1, 11)]
+    rows.append((2, date(2024, 1, 3), "test", None, None, 1))
+    frame = spark.createDataFrame(rows, "account_id long, day date, part string, x double, y double, cls int")
+    for scored in (
+        tree_by_account(frame, ["x"]),
+        tree_by_account(frame, ["x"], task="amount"),
+        boost_by_account(frame, ["x"], BoostParams("amount", rounds=2)),
+        boost_by_account(frame, ["x"], BoostParams("class", rounds=2)),
+        knn_by_account(frame, ["x"]),
+    ):
+        found = {(r.account_id, r.day.day): r.pred for r in scored.collect()}
+        assert found[2, 3] is None
+        assert all(v is not None for k, v in found.items() if k[0] == 1)
