@@ -31,13 +31,13 @@ class Order:
     high: float | None = None
 
 
-def hash_order(seed: str, keys: Sequence[str]) -> tuple[str, str]:
-    """Pseudo-random order of rows by the md5 text of seed and key, as two exact 52-bit numbers.
+def hash_order(seed: str, keys: Sequence[str]) -> tuple[str, str, str]:
+    """Pseudo-random order of rows by the md5 text of seed and key, as three exact numbers: 52, 52 and 24 bits.
 
-    Equals ordering by the md5 text itself up to its first 26 digits.
+    Equals ordering by the md5 text itself.
     """
     text = f"md5(concat_ws('-', '{seed}', {', '.join(f'string({name(k)})' for k in keys)}))"
-    return tuple(f"double(conv(substring({text}, {start}, 13), 16, 10))" for start in (1, 14))
+    return tuple(f"double(conv(substring({text}, {start}, {digits}), 16, 10))" for start, digits in ((1, 13), (14, 13), (27, 6)))
 
 
 def by_hash(seed: str, keys: Sequence[str], want: int, where: str = "TRUE") -> Order:

@@ -22,7 +22,8 @@ from daybook.functions.text import case, name, number
 GAIN_SHARE = "1E-12D"
 # Up to this many distinct values one group of running sums is fine.
 WIDE_VALUES = 200_000
-_RANGES = 512
+# Values that one range of a wide feature is to hold.
+_RANGE_VALUES = 50_000
 
 
 @dataclass(frozen=True)
@@ -91,16 +92,21 @@ def plan_ranges(
     rows: DataFrame,
     features: Sequence[str],
     wide: int = WIDE_VALUES,
-    pieces: int = _RANGES,
+    pieces: int | None = None,
     distinct: dict[str, int] | None = None,
 ) -> Ranges:
-    """Decide once per fit which features need ranges. One aggregate, a few numbers per feature."""
+    """Decide once per fit which features need ranges. One aggregate, a few numbers per feature.
+
+    Unless ``pieces`` is given, the number of ranges follows the number of distinct values.
+    """
     if distinct is None:
         row = rows.selectExpr(*[f"approx_count_distinct({name(f)}) AS d{i}" for i, f in enumerate(features)]).first()
         distinct = {f: row[f"d{i}"] for i, f in enumerate(features)}
     large = [f for f in features if distinct[f] > wide]
     if not large:
         return Ranges((None,) * len(features))
+    if pieces is None:
+        pieces = max(2, -(-max(distinct[f] for f in large) // _RANGE_VALUES))
     steps = ", ".join(number(i / pieces) for i in range(1, pieces))
     marks = rows.selectExpr(
         *[f"percentile_approx(double({name(f)}), array({steps}), {10 * pieces}) AS {name(f)}" for f in large]

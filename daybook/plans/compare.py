@@ -71,6 +71,7 @@ def compare_models(
 
     class_row("tree", tree_classify(train, features, max_depth=TREE_DEPTH).predict(rows))
     class_row("forest", forest_classify(train, features, KEYS, **OWN_FOREST).predict(rows))
+    class_row("neighbours", knn_by_account(rows, features, KNN_NEIGHBOURS))
     class_row("logistic", logistic_classify(train, features).predict(rows))
     amount_row("tree", tree_regress(train, features, max_depth=TREE_DEPTH).predict(rows))
     amount_row("linear", linear_regress(train, features).predict(rows))

@@ -323,6 +323,8 @@ def oblivious_level(level_gain: str) -> str:
 
 O["oblivious_best_split"] = oblivious_level("owner")
 O["oblivious_best_split_sum"] = oblivious_level("sum")
+O["oblivious_best_split_sum_ranges"] = O["oblivious_best_split_sum"]
+O["mse_best_split_ranges"] = O["mse_best_split"]
 O["assign_nodes"] = query(
     EVENTS,
     """SELECT account_id, day, CAST(8 + 4 * CASE WHEN prev1 > 75.5 THEN 1 ELSE 0 END + 2 * CASE WHEN n > 2 THEN 1 ELSE 0 END
@@ -383,21 +385,40 @@ def boosted(task: str, rounds: int, base=FRAME, **options) -> str:
 
 
 O["gb_regress"] = boosted("amount", 3, kind="mse", growth="depth", rate=0.05, depth=3, cut="observed")
-O["gb_classify"] = boosted("class", 2, kind="mse", growth="depth", rate=0.01, depth=3, cut="observed")
+O["gb_classify"] = boosted("class", 2, kind="mse", growth="depth", rate=0.01, depth=4, cut="observed")
 O["newton_regress"] = boosted("amount", 3, kind="newton", growth="depth", rate=0.05, depth=3, lam=1.0, gamma=0.1)
 O["newton_classify"] = boosted("class", 3, kind="newton", growth="depth", rate=0.01, depth=3, lam=2.0, gamma=0.5)
 O["ensemble_scores"] = boosted(
-    "amount", 5, FRAME_ORDERS, kind="newton", growth="depth", rate=0.05, depth=2, lam=1.0, gamma=0.0
+    "amount", 5, FRAME_ORDERS, kind="newton", growth="depth", rate=0.05, depth=3, lam=1.0, gamma=0.0
+)
+def accuracy_of(prefix: str, rounds: int, name: str) -> str:
+    return (
+        f"SELECT 'class' AS task, '{name}' AS model, 'accuracy' AS metric, round(avg(CASE WHEN s.pred = f.cls THEN 1.0 ELSE 0 "
+        f"END), 6) AS value FROM ({class_scores(prefix, rounds)}) s JOIN frame f ON f.account_id = s.account_id "
+        f"AND f.day = s.day WHERE f.part = 'test'"
+    )
+
+
+# Leaf limits of the sweep; fixed values.
+LEAVES = (4, 8, 15, 31, 63)
+O["sweep_leaves"] = query(
+    [*FRAME]
+    + [
+        c
+        for leaves in LEAVES
+        for c in boost_ctes("class", "newton", "leaf", 1, 0.05, lam=0.1, leaves=leaves, min_rows=5, goss=True, prefix=f"l{leaves}_")
+    ],
+    " UNION ALL ".join(accuracy_of(f"l{leaves}_", 1, f"num_leaves={leaves}") for leaves in LEAVES),
 )
 O["leafwise_tree"] = query(
-    [*FRAME, *boost_ctes("amount", "newton", "leaf", 1, 0.1, lam=0.1, leaves=6, min_rows=5)],
-    model_rows("m1", [f"m1_best{s}" for s in range(1, 6)], 1),
+    [*FRAME, *boost_ctes("amount", "newton", "leaf", 1, 0.1, lam=0.1, leaves=15, min_rows=5)],
+    model_rows("m1", [f"m1_best{s}" for s in range(1, 15)], 1),
 )
 O["leafwise_regress"] = boosted(
-    "amount", 2, kind="newton", growth="leaf", rate=0.05, lam=0.1, leaves=8, min_rows=5, goss=True
+    "amount", 2, kind="newton", growth="leaf", rate=0.05, lam=0.1, leaves=15, min_rows=5, goss=True
 )
 O["leafwise_classify"] = boosted(
-    "class", 2, kind="newton", growth="leaf", rate=0.01, lam=1.5, leaves=6, min_rows=20, goss=True
+    "class", 2, kind="newton", growth="leaf", rate=0.01, lam=1.5, leaves=15, min_rows=20, goss=True
 )
 O["oblivious_tree"] = query(
     [*FRAME_ORDERS, *boost_ctes("amount", "newton", "level", 1, 0.05, depth=4, lam=3.0),
@@ -412,7 +433,7 @@ O["oblivious_tree"] = query(
 O["oblivious_regress"] = boosted("amount", 3, kind="newton", growth="level", rate=0.05, depth=4, lam=3.0)
 O["oblivious_classify"] = boosted("class", 2, kind="newton", growth="level", rate=0.01, depth=4, lam=10.0)
 O["oblivious_regress_sum"] = boosted(
-    "amount", 2, kind="newton", growth="level", rate=0.05, depth=3, lam=3.0, level_gain="sum"
+    "amount", 2, kind="newton", growth="level", rate=0.05, depth=4, lam=3.0, level_gain="sum"
 )
 O["training_curve"] = query(
     [*FRAME, *boost_ctes("amount", "newton", "depth", 3, 0.05, depth=3, lam=1.0, gamma=0.1)],
@@ -424,14 +445,6 @@ O["training_curve"] = query(
 )
 
 
-def accuracy_of(prefix: str, rounds: int, name: str) -> str:
-    return (
-        f"SELECT 'class' AS task, '{name}' AS model, 'accuracy' AS metric, round(avg(CASE WHEN s.pred = f.cls THEN 1.0 ELSE 0 "
-        f"END), 6) AS value FROM ({class_scores(prefix, rounds)}) s JOIN frame f ON f.account_id = s.account_id "
-        f"AND f.day = s.day WHERE f.part = 'test'"
-    )
-
-
 SWEEP = ((0.0, 0.0), (0.1, 0.0), (1.0, 0.0), (1.0, 0.1), (2.0, 0.5))
 O["sweep_regularisation"] = query(
     [*FRAME]
@@ -457,7 +470,7 @@ O["newton_regress_by_account"] = boosted(
     "amount", 4, FRAME_ACCOUNT, kind="newton", growth="depth", rate=0.05, depth=3, lam=1.0, gamma=0.0, per_account=True
 )
 O["newton_classify_by_account"] = boosted(
-    "class", 2, FRAME_ACCOUNT, kind="newton", growth="depth", rate=0.1, depth=2, lam=2.0, gamma=0.0, per_account=True
+    "class", 2, FRAME_ACCOUNT, kind="newton", growth="depth", rate=0.1, depth=3, lam=2.0, gamma=0.0, per_account=True
 )
 
 # --- neighbours, linear, dense ---------------------------------------------------------------------------

@@ -322,6 +322,14 @@ def mse_best_split(spark, folder):
     return _released(frame, best.select(F.round("dow", 6).alias("dow"), "feature", *r9("threshold", "gain"), "n_left", "n_right"))
 
 
+def mse_best_split_ranges(spark, folder):
+    """The same search in value ranges, as for features of very many distinct values."""
+    frame = model_frame(events(spark, folder))
+    ranges = P.plan_ranges(frame.train, X[1:], wide=20, pieces=16)
+    best = P.mse_best_split(frame.train, ["dow"], X[1:], ranges=ranges)
+    return _released(frame, best.select(F.round("dow", 6).alias("dow"), "feature", *r9("threshold", "gain"), "n_left", "n_right"))
+
+
 def newton_best_split(spark, folder):
     frame = model_frame(events(spark, folder))
     best = P.newton_best_split(_first_gradients(frame), ["account_id"], X, lam=1.0, gamma=0.0, ranges=P.BOUNDED)
@@ -334,13 +342,18 @@ def newton_leaf_values(spark, folder):
     return _released(frame, leaves.select("account_id", "n", *r6("leaf_value")))
 
 
-def _oblivious_level(spark, folder, level_gain):
+def _oblivious_level(spark, folder, level_gain, wide=None):
     frame = model_frame(events(spark, folder))
     rows = _first_gradients(frame).withColumn("node", F.when(F.col("n") > 0.2, 1).otherwise(0))
-    best = P.oblivious_best_split(rows, ["account_id"], "node", X, lam=3.0, level_gain=level_gain, ranges=P.BOUNDED)
+    ranges = P.BOUNDED if wide is None else P.plan_ranges(rows, X, wide=wide, pieces=16)
+    best = P.oblivious_best_split(rows, ["account_id"], "node", X, lam=3.0, level_gain=level_gain, ranges=ranges)
     return _released(frame, best.select("account_id", "feature", *r9("threshold", "gain")))
 
 
+def oblivious_best_split_sum_ranges(spark, folder):
+    return _oblivious_level(spark, folder, "sum", wide=20)
+
+
 def oblivious_best_split(spark, folder):
     return _oblivious_level(spark, folder, "owner")
 
@@ -422,7 +435,7 @@ def gb_regress(spark, folder):
 
 
 def gb_classify(spark, folder):
-    return _classes(spark, folder, _short(OWN_C["boosted"], rounds=2, max_depth=3))
+    return _classes(spark, folder, _short(OWN_C["boosted"], rounds=2))
 
 
 def newton_regress(spark, folder):
@@ -434,22 +447,22 @@ def newton_classify(spark, folder):
 
 
 def ensemble_scores(spark, folder):
-    return _amounts(spark, folder, _short(OWN_R["newton"], rounds=5, max_depth=2, gamma=0.0), orders)
+    return _amounts(spark, folder, _short(OWN_R["newton"], rounds=5, gamma=0.0), orders)
 
 
 def leafwise_tree(spark, folder):
     frame = model_frame(events(spark, folder))
-    params = BoostParams("amount", growth="leaf", rounds=1, num_leaves=6, min_rows=5, lam=0.1)
+    params = BoostParams("amount", growth="leaf", rounds=1, num_leaves=15, min_rows=5, lam=0.1)
     models, _ = fit_boosted(frame.train, X, {"m": params}, KEYS)
     return _released(frame, _tree_rows(models["m"].table(spark)))
 
 
 def leafwise_regress(spark, folder):
-    return _amounts(spark, folder, _short(OWN_R["leafwise"], rounds=2, num_leaves=8))
+    return _amounts(spark, folder, _short(OWN_R["leafwise"], rounds=2))
 
 
 def leafwise_classify(spark, folder):
-    return _classes(spark, folder, _short(OWN_C["leafwise"], rounds=2, num_leaves=6))
+    return _classes(spark, folder, _short(OWN_C["leafwise"], rounds=2))
 
 
 def oblivious_tree(spark, folder):
@@ -468,7 +481,7 @@ def oblivious_classify(spark, folder):
 
 
 def oblivious_regress_sum(spark, folder):
-    return _amounts(spark, folder, _short(OWN_R["oblivious"], rounds=2, max_depth=3, level_gain="sum"))
+    return _amounts(spark, folder, _short(OWN_R["oblivious"], rounds=2, level_gain="sum"))
 
 
 def training_curve(spark, folder):
@@ -515,7 +528,7 @@ def newton_regress_by_account(spark, folder):
 
 
 def newton_classify_by_account(spark, folder):
-    params = _short(OWN_C["newton"], rounds=2, max_depth=2, gamma=0.0, learning_rate=0.1)
+    params = _short(OWN_C["newton"], rounds=2, gamma=0.0, learning_rate=0.1)
     scored = A.boost_by_account(_by_account(spark, folder), X, params)
     return scored.select("account_id", "day", "part", *r6("p0", "p1", "p2"), "pred")
 
@@ -676,9 +689,9 @@ def run_comparison(spark, folder):
 
 
 def own_against_library(spark, folder):
-    """Own and library runs of the neighbours and the tree."""
+    """Own and library runs of all eight models, few rounds and epochs."""
     frame = model_frame(events(spark, folder))
-    table = C.own_against_library(spark, frame, models=("neighbours", "tree"))
+    table = C.own_against_library(spark, frame, rounds=1, epochs=2)
     return _released(frame, table)
 
 
@@ -796,9 +809,11 @@ QUERIES = {
     "gradients_softmax": gradients_softmax,
     "gini_best_split": gini_best_split,
     "mse_best_split": mse_best_split,
+    "mse_best_split_ranges": mse_best_split_ranges,
     "newton_best_split": newton_best_split,
     "newton_leaf_values": newton_leaf_values,
     "oblivious_best_split": oblivious_best_split,
+    "oblivious_best_split_sum_ranges": oblivious_best_split_sum_ranges,
     "oblivious_best_split_sum": oblivious_best_split_sum,
     "assign_nodes": assign_nodes,
     "tree_classify": tree_classify,
