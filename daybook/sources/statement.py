@@ -13,6 +13,7 @@ AMOUNT_HEADER = "Сума в валюті картки (UAH)"
 TIME_PATTERN = "d.M.yyyy H:m:s"
 
 MONEY = T.DecimalType(18, 2)
+CORRUPT = "_corrupt_record"
 
 STATEMENT_SCHEMA = T.StructType(
     [
@@ -50,22 +51,28 @@ def read_statement_csv(
     time_header: str = TIME_HEADER,
     amount_header: str = AMOUNT_HEADER,
     header_names: list[str] | None = None,
+    keep_corrupt: bool = False,
 ) -> DataFrame:
     """Scan statement files.
 
     ``account`` is either a constant id or the name of a column that holds it. All columns are read as
-    text under a fixed schema taken from the header line, so nothing is inferred from the data.
-    With ``lenient`` unreadable rows keep null fields, otherwise they raise.
+    text under a fixed schema taken from the header line, or from ``header_names`` without a look at a file, so nothing
+    is inferred from the data. Every file's header line must have those names in that order, else the read raises: columns
+    are never bound by position alone. With ``lenient`` unreadable rows keep null fields, otherwise they raise;
+    ``keep_corrupt`` adds ``_corrupt_record``, the line of a row with too few or too many fields.
     """
-    reader = spark.read.option("header", True)
-    if header_names is not None:
-        reader = reader.schema(T.StructType([T.StructField(c, T.StringType()) for c in header_names]))
-    raw = reader.option("mode", "PERMISSIVE").csv(path)
+    names = header_names or spark.read.option("header", True).csv(path).columns
+    fields = [T.StructField(c, T.StringType()) for c in (*names, *([CORRUPT] if keep_corrupt else []))]
+    raw = (
+        spark.read.schema(T.StructType(fields)).option("header", True).option("enforceSchema", False)
+        .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT).csv(path)
+    )
     owner = F.col(f"`{account}`").cast("long") if isinstance(account, str) else F.lit(account).cast("long")
     return raw.select(
         owner.alias("account_id"),
         parse_timestamp(F.col(f"`{time_header}`"), lenient).alias("ts"),
         coerce_amount(F.col(f"`{amount_header}`"), lenient).alias("amount"),
+        *([F.col(CORRUPT)] if keep_corrupt else []),
     )
 
 

@@ -61,15 +61,21 @@ def daily_totals(spending: DataFrame, delay: str = "1 day") -> DataFrame:
     )
 
 
-def run_to_folder(stream: DataFrame, purpose: str) -> str:
-    """Process all that is available into Parquet files and return their folder."""
+def run_to_folder(stream: DataFrame, purpose: str, target: str | None = None, progress: str | None = None) -> str:
+    """Process all that is available into Parquet files and return their folder.
+
+    With the same ``target`` and ``progress`` folders the next call goes on where the last one ended; without them
+    both are new.
+    """
+    if (target is None) != (progress is None):
+        raise ValueError("a stream goes on only with both its target and its progress folder")
     spark = stream.sparkSession
-    target = new_folder(spark, purpose)
+    target = target or new_folder(spark, purpose)
     query = (
         stream.writeStream.format("parquet")
         .outputMode("append")
         .option("path", target)
-        .option("checkpointLocation", new_folder(spark, f"{purpose}-progress"))
+        .option("checkpointLocation", progress or new_folder(spark, f"{purpose}-progress"))
         .trigger(availableNow=True)
         .start()
     )
@@ -103,9 +109,11 @@ def stream_lags(closed_days: DataFrame) -> DataFrame:
     )
 
 
-def stream_daily_spend(spark: SparkSession, folder: str, delay: str = "1 day") -> DataFrame:
+def stream_daily_spend(
+    spark: SparkSession, folder: str, delay: str = "1 day", target: str | None = None, progress: str | None = None
+) -> DataFrame:
     """Run the daily totals of the events table as a stream and return the closed days with calendar columns."""
-    target = run_to_folder(daily_totals(events_stream(spark, folder), delay), "daily")
+    target = run_to_folder(daily_totals(events_stream(spark, folder), delay), "daily", target, progress)
     return with_calendar(spark.read.schema(CLOSED_DAY_SCHEMA).parquet(target))
 
 

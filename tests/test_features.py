@@ -134,6 +134,27 @@ def test_unseen_category_gets_the_mean(spark):
     assert got["dow_enc"] == pytest.approx(1.0)
 
 
+def test_csv_columns_are_bound_by_name(spark, tmp_path):
+    from daybook.sources.statement import AMOUNT_HEADER, TIME_HEADER
+
+    path = tmp_path / "swapped.csv"
+    path.write_text(f"{AMOUNT_HEADER},{TIME_HEADER}\n-5.00,01.02.2024 10:00:00\n-6.00\n", encoding="utf-8")
+    rows = read_statement_csv(spark, str(path), lenient=True, keep_corrupt=True).collect()
+    assert [(r.amount is not None, r.ts is not None, r._corrupt_record) for r in rows] == [(True, True, None), (True, False, "-6.00")]
+    with pytest.raises(Exception, match="CSV header does not conform"):
+        read_statement_csv(spark, str(path), lenient=True, header_names=[TIME_HEADER, AMOUNT_HEADER]).collect()
+
+
+def test_stream_goes_on(spark, tmp_path):
+    from daybook.streaming.daily import run_to_folder
+
+    source, target, progress = (str(tmp_path / n) for n in ("in", "out", "progress"))
+    for n in (3, 4):
+        spark.range(n).write.mode("append").parquet(source)
+        run_to_folder(spark.readStream.schema("id long").parquet(source), "x", target, progress)
+    assert spark.read.parquet(target).count() == 7
+
+
 def test_csv_round_trip_and_bad_rows(spark, tmp_path):
     rows = [(1, "2024-02-03 04:05:06", -12.5), (2, "2024-11-30 23:59:59", 7)]
     path = str(tmp_path / "csv")
