@@ -22,6 +22,8 @@ _FAMILY = (
     (0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93),
 )
 _CHUNK = 1 << 20
+#: Texts that are settled among themselves before they ask the rest of the corpus.
+SLICE_BYTES, SLICE_DOCUMENTS = 8 << 20, 4096
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -143,7 +145,7 @@ def repeated_samples(docs: DataFrame, length: int, window: int, id_column: str,
     kind = docs.schema[id_column].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, "text", 8 << 20):
+        for part in slices(batches, "text", SLICE_BYTES, SLICE_DOCUMENTS):
             piece = _Slice([word_hashes((t or "").encode()) for t in part.column(2).to_pylist()])
             hashes, _, sampled = piece.samples(length, window)
             at = np.flatnonzero(sampled)
@@ -155,35 +157,49 @@ def repeated_samples(docs: DataFrame, length: int, window: int, id_column: str,
             head = np.r_[True, found[1:] != found[:-1]]
             count = np.diff(np.r_[np.flatnonzero(head), len(found)])
             many = np.repeat(count, count) > 1
+            # each hash asks once: for its document, or for nobody where it repeats here and is alive already
+            asks, ask_owner = found[head], pa.array(owner[head], mask=many[head])
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(asks.view(np.int64)), part.column(0).take(ask_owner), part.column(1).take(ask_owner),
+                    pa.array(np.where(many[head], 2, 1).astype(np.int8)), pa.nulls(len(asks), pa.list_(pa.int64())),
+                ],
+                names,
+            )
             pair = many & (head | np.r_[True, owner[1:] != owner[:-1]])
-            single = head & ~many
-            # asks of single hashes; one notice per hash that repeats here; what is known of their documents
-            rows = np.concatenate([np.flatnonzero(single), np.flatnonzero(head & many), np.flatnonzero(pair)])
-            spread = np.concatenate([np.zeros(int(single.sum() + (head & many).sum()), np.int32), 1 + owner[pair].astype(np.int32)])
-            notice = np.zeros(len(rows), bool)
-            notice[single.sum() : single.sum() + (head & many).sum()] = True
-            take = pa.array(owner[rows], mask=notice)
+            docs_here, lists = _per_owner(owner[pair], found[pair].view(np.int64))
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(found[rows].view(np.int64)),
-                    pa.array(spread),
-                    part.column(0).take(take),
-                    part.column(1).take(take),
-                    pa.array(np.where(notice, 2, 1).astype(np.int8)),
+                    _spread(part, docs_here), part.column(0).take(docs_here), part.column(1).take(docs_here),
+                    pa.array(np.zeros(len(docs_here), np.int8)), lists,
                 ],
-                ["h", "spread", "doc", "tie", "n"],
+                names,
             )
 
-    rows = _keyed(docs, id_column, text_column).mapInArrow(run, f"h long, spread int, doc {kind}, tie int, n byte")
-    all_of = Window.partitionBy("h", "spread")
+    names = ["h", "doc", "tie", "n", "known"]
+    rows = _keyed(docs, id_column, text_column).mapInArrow(run, f"h long, doc {kind}, tie int, n byte, known array<long>")
     return (
-        rows.withColumn("total", F.sum("n").over(all_of))
-        .where("tie IS NOT NULL AND (spread > 0 OR total > 1)")
+        rows.withColumn("total", F.sum("n").over(Window.partitionBy("h")))
+        .where("tie IS NOT NULL AND (known IS NOT NULL OR total > 1)")
         .groupBy("doc", "tie")
-        .agg(F.collect_list("h").alias("alive"))
+        .agg(F.collect_list(F.expr("IF(known IS NULL, h, NULL)")).alias("asked"), F.flatten(F.collect_list("known")).alias("known"))
+        .select("doc", "tie", F.concat("asked", "known").alias("alive"))
     )
 
 
+def _per_owner(owner: np.ndarray, values: np.ndarray) -> tuple[pa.Array, pa.ListArray]:
+    """(owners, their values as lists)."""
+    order = np.argsort(owner, kind="stable")
+    owners, starts = np.unique(owner[order], return_index=True)
+    return pa.array(owners), pa.ListArray.from_arrays(pa.array(np.r_[starts, len(owner)], pa.int32()), pa.array(values[order]))
+
+
+def _spread(part: pa.RecordBatch, owners: pa.Array) -> pa.Array:
+    """Keys of rows that ask nothing, so that they don't meet anywhere."""
+    tie = part.column(1).take(owners).to_numpy(zero_copy_only=False).astype(np.uint64)
+    return pa.array(_mix(tie << np.uint64(32) | owners.to_numpy().astype(np.uint64)).view(np.int64))
+
+
 def _keyed(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
     """Id, tie and text of each document; identical rows count as one document."""
     tie = F.expr(f"cast(xxhash64(`{text_column}`) & 2147483647 AS int)")
@@ -191,17 +207,18 @@ def _keyed(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
 
 
 def _with_lists(packed: DataFrame, lists: DataFrame, id_column: str, how: str) -> DataFrame:
-    side = lists.select(F.col("doc").alias("__doc"), F.col("tie").alias("__its"), F.col(lists.columns[2]).alias("__list"))
+    """Join what is known of each document; its columns get a leading ``__``."""
+    side = lists.select(F.col("doc").alias("__doc"), F.col("tie").alias("__its"), *[F.col(c).alias(f"__{c}") for c in lists.columns[2:]])
     return packed.join(side, packed[id_column].eqNullSafe(side["__doc"]) & (packed["__tie"] == side["__its"]), how)
 
 
 def extended_samples(packed: DataFrame, alive: DataFrame, shorter: int, window: int, id_column: str) -> DataFrame:
     """The next level: of windows whose sample of ``shorter`` words is alive, those whose sample of twice that length is."""
     kind = packed.schema[id_column].dataType.simpleString()
-    joined = _with_lists(packed, alive, id_column, "inner").select(F.col(id_column).alias("doc"), F.col("__tie").alias("tie"), "__blob", "__list")
+    joined = _with_lists(packed, alive, id_column, "inner").select(F.col(id_column).alias("doc"), F.col("__tie").alias("tie"), "__blob", "__alive")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, "__blob", 4 << 20):
+        for part in slices(batches, "__blob", SLICE_BYTES // 2, SLICE_DOCUMENTS):
             piece, candidate = _candidates(part, shorter, window)
             hashes, least, _ = piece.samples(2 * shorter, window)
             wanted = np.unique(least[candidate])
@@ -233,17 +250,17 @@ def _candidates(part: pa.RecordBatch, length: int, window: int) -> tuple[_Slice,
 
 
 def later_windows(packed: DataFrame, alive: DataFrame, length: int, window: int, id_column: str) -> DataFrame:
-    """(doc, tie, starts array<int>): windows of full length whose words also start earlier.
+    """(doc, tie, starts array<int>, spans array<int>): windows of full length whose words also start earlier.
 
     Order: id (none: last), tie, start. Windows are compared by 128 bits. Of equal windows in a slice all but the first
-    are known to be later; only the first asks the rest of the corpus, so a passage that many documents share has a row
-    per slice.
+    are known to be later and come as spans of words (begin, end, begin, end, ...); only the first asks the rest of the
+    corpus, so a passage that many documents share has a row per slice.
     """
     kind = packed.schema[id_column].dataType.simpleString()
-    joined = _with_lists(packed, alive, id_column, "inner").select(F.col(id_column).alias("doc"), F.col("__tie").alias("tie"), "__blob", "__list")
+    joined = _with_lists(packed, alive, id_column, "inner").select(F.col(id_column).alias("doc"), F.col("__tie").alias("tie"), "__blob", "__alive")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, "__blob", 4 << 20):
+        for part in slices(batches, "__blob", SLICE_BYTES // 2, SLICE_DOCUMENTS):
             piece, at = _candidates(part, length, window)
             if not len(at):
                 continue
@@ -255,26 +272,44 @@ def later_windows(packed: DataFrame, alive: DataFrame, length: int, window: int,
             one, two, owner, start, rank = one[order], two[order], owner[order], start[order], rank[order]
             head = np.r_[True, (one[1:] != one[:-1]) | (two[1:] != two[:-1])]
             first = np.flatnonzero(head)[np.cumsum(head) - 1]
+            mine = pa.array(owner[head])
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(one[head].view(np.int64)), pa.array(two[head].view(np.int64)), part.column(0).take(mine),
+                    part.column(1).take(mine), pa.array(start[head].astype(np.int32)), pa.nulls(int(head.sum()), pa.list_(pa.int32())),
+                ],
+                names,
+            )
             # the same window of an identical row isn't a later one
-            use = head | (rank != rank[first]) | (start != start[first])
-            one, two, owner, start, head = one[use], two[use], owner[use], start[use], head[use]
-            spread = np.where(head, 0, 1 + owner).astype(np.int32)
-            # a document's own later windows travel together
-            one = np.where(head, one, np.uint64(0))
-            two = np.where(head, two, np.uint64(0))
+            later = ~head & ((rank != rank[first]) | (start != start[first]))
+            docs_here, spans = _spans(owner[later], start[later], window)
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(one.view(np.int64)), pa.array(two.view(np.int64)), pa.array(spread),
-                    part.column(0).take(pa.array(owner)), part.column(1).take(pa.array(owner)), pa.array(start.astype(np.int32)),
+                    _spread(part, docs_here), pa.array(np.zeros(len(docs_here), np.int64)), part.column(0).take(docs_here),
+                    part.column(1).take(docs_here), pa.nulls(len(docs_here), pa.int32()), spans,
                 ],
-                ["h", "g", "spread", "doc", "tie", "start"],
+                names,
             )
 
-    rows = joined.mapInArrow(run, f"h long, g long, spread int, doc {kind}, tie int, start int")
-    asks = Window.partitionBy("h", "g", "away").orderBy(F.col("doc").asc_nulls_last(), "tie", "start")
-    away = F.when(F.col("spread") > 0, F.xxhash64("doc", "tie", "start")).otherwise(F.lit(0).cast("long"))
-    ranked = rows.withColumn("away", away).withColumn("nth", F.rank().over(asks))
-    return ranked.where("spread > 0 OR nth > 1").groupBy("doc", "tie").agg(F.collect_list("start").alias("starts"))
+    names = ["h", "g", "doc", "tie", "start", "spans"]
+    rows = joined.mapInArrow(run, f"h long, g long, doc {kind}, tie int, start int, spans array<int>")
+    asks = Window.partitionBy("h", "g").orderBy(F.col("doc").asc_nulls_last(), "tie", "start")
+    ranked = rows.withColumn("nth", F.rank().over(asks))
+    return (
+        ranked.where("spans IS NOT NULL OR nth > 1")
+        .groupBy("doc", "tie")
+        .agg(F.collect_list("start").alias("starts"), F.flatten(F.collect_list("spans")).alias("spans"))
+    )
+
+
+def _spans(owner: np.ndarray, start: np.ndarray, window: int) -> tuple[pa.Array, pa.ListArray]:
+    """Per owner the spans of words (begin, end, ...) that windows at ``start`` cover."""
+    order = np.lexsort((start, owner))
+    owner, start = owner[order], start[order]
+    opens = np.flatnonzero(np.r_[True, (owner[1:] != owner[:-1]) | (start[1:] > start[:-1] + 1)]) if len(owner) else np.empty(0, np.int64)
+    closes = np.r_[opens[1:], len(owner)] - 1 if len(opens) else opens
+    pairs = np.stack([start[opens], start[closes] + window], axis=1).astype(np.int32).ravel()
+    return _per_owner(np.repeat(owner[opens], 2), pairs)
 
 
 def _order_of(part: pa.RecordBatch) -> np.ndarray:
@@ -284,11 +319,11 @@ def _order_of(part: pa.RecordBatch) -> np.ndarray:
     return np.array([place[key] for key in keys], np.int64)
 
 
-def covered(n_words: int, starts: np.ndarray, window: int) -> np.ndarray:
-    """Which words lie in a window that begins at one of ``starts``."""
+def covered(n_words: int, begins: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Which words lie in one of the spans."""
     edge = np.zeros(n_words + 1, np.int64)
-    np.add.at(edge, starts, 1)
-    np.add.at(edge, np.minimum(starts + window, n_words), -1)
+    np.add.at(edge, begins, 1)
+    np.add.at(edge, np.minimum(ends, n_words), -1)
     return np.cumsum(edge[:-1]) > 0
 
 
@@ -316,16 +351,18 @@ def without_repeats(docs: DataFrame, window: int = 20, doublings: int = 1, keep_
         + [T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType())]
     )
     names = [f.name for f in docs.schema]
-    ready = joined.select(*[F.col(f"`{n}`") if n != text_column else F.col("__blob") for n in names], "__list")
+    ready = joined.select(*[F.col(f"`{n}`") if n != text_column else F.col("__blob") for n in names], "__starts", "__spans")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         blob = names.index(text_column)
         for part in slices(batches, "__blob"):
             texts, n_words, n_removed = [], [], []
-            for data, starts in zip(_unpacked(part.column(blob)), part.column(len(names)).to_pylist()):
+            later, spans = part.column(len(names)).to_pylist(), part.column(len(names) + 1).to_pylist()
+            for data, starts, pairs in zip(_unpacked(part.column(blob)), later, spans):
                 words = data.split()
-                if starts:
-                    gone = covered(len(words), np.array(starts), window)
+                if starts or pairs:
+                    starts, pairs = np.array(starts, np.int64), np.array(pairs, np.int64)
+                    gone = covered(len(words), np.r_[starts, pairs[::2]], np.r_[starts + window, pairs[1::2]])
                     left = [word for word, out in zip(words, gone.tolist()) if not out]
                 else:
                     left = words

@@ -31,13 +31,13 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str, target_bytes: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+def slices(batches: Iterator[pa.RecordBatch], column: str, target_bytes: int = 4 << 20, rows: int = SLICE_ROWS) -> Iterator[pa.RecordBatch]:
     """Cut incoming batches so that one slice holds about ``target_bytes`` of ``column``, one row at least."""
     for batch in batches:
         if not batch.num_rows:
             continue
         per_row = max(1, batch.column(batch.schema.get_field_index(column)).nbytes // batch.num_rows)
-        step = max(1, min(SLICE_ROWS, target_bytes // per_row))
+        step = max(1, min(rows, target_bytes // per_row))
         for start in range(0, batch.num_rows, step):
             yield batch.slice(start, step)
 
