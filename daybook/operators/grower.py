@@ -254,16 +254,22 @@ class Grower:
         cells = self._cells(plans, nodes, criterion.stats)
         cuts = oblivious_cuts(cells, ["tree"], "node", criterion, level_gain, self.ranges)
         rank = F.struct("gain", -F.col("feature"), -F.col("value"))
+        payload = ["feature", "value", "gain"]
+        wide = self.ranges is not None and self.ranges.needed
+        if not wide:
+            # Every value of the level has a row, so the next one is at hand.
+            cuts = cuts.withColumn("next_value", F.expr("lead(value) OVER (PARTITION BY tree, feature ORDER BY value)"))
+            payload.append("next_value")
         best = (
             cuts.filter(F.col("gain") > 0)
             .groupBy("tree")
-            .agg(F.max_by(F.struct("feature", "value", "gain"), rank).alias("cut"))
+            .agg(F.max_by(F.struct(*payload), rank).alias("cut"))
             .select("tree", "cut.*")
             .collect()
         )
         found = {r["tree"]: r.asDict() for r in best}
-        if not found:
-            return {}
+        if not found or not wide:
+            return {t: c for t, c in found.items() if c["next_value"] is not None}
         # The cut lies halfway to the next value among all train rows: one reduction for all trees.
         above = []
         for t, c in found.items():

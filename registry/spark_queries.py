@@ -298,8 +298,16 @@ def gradients_softmax(spark, folder):
 # --- splits ----------------------------------------------------------------------------------------------
 
 
+_HELD: list[ModelFrame] = []
+
+
 def _released(frame: ModelFrame, result: DataFrame) -> DataFrame:
-    frame.release()
+    """The result is lazy, so its kept table stays until another query has one of its own."""
+    while _HELD:
+        held = _HELD.pop()
+        if held.rows.sparkSession is frame.rows.sparkSession:
+            held.release()
+    _HELD.append(frame)
     return result
 
 
