@@ -4,18 +4,38 @@ from __future__ import annotations
 
 import os
 from functools import cache
-
-import numpy as np
+from itertools import chain
+from struct import pack
 
 #: Chunks kept per worker; beyond it the cache starts anew.
-CACHED = 300_000
+CACHED = 800_000
+_MARKS = frozenset(".,;:!?")
+
+
+def _core(chunk: str) -> tuple[str, str]:
+    """A chunk without the case of its ASCII letters, and the mark split off that follows a letter: tokens of their own."""
+    if len(chunk) > 1 and chunk[-1] in _MARKS and chunk[-2].isalpha() and len(chunk[-2].lower()) == 1:
+        chunk, mark = chunk[:-1], chunk[-1]
+    else:
+        mark = ""
+    return (chunk.lower() if chunk.isascii() else chunk), mark
+
+
+class _Known(dict):
+    """Ids by core; other chunks are put together from theirs."""
+
+    def __missing__(self, chunk: str) -> bytes:
+        core, mark = _core(chunk)
+        ids = self[chunk] = self[core] + self[mark] if mark else self[core]
+        return ids
 
 
 class Pieces:
     """Encodes texts chunk by chunk.
 
-    The tokenizer drops white space and never lets a token cross it, so a text's ids are those of its chunks in a row.
-    Only spaces and line feeds cut here; any other white space stays inside a chunk, where the tokenizer sees it.
+    The tokenizer drops white space, lowers case and never lets a token cross white space or join a letter to a mark, so
+    a text's ids are those of its chunks in a row. Only spaces and line feeds cut here; any other white space stays
+    inside a chunk, where the tokenizer sees it.
     """
 
     def __init__(self, path: str):
@@ -24,7 +44,8 @@ class Pieces:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.known: dict[str, bytes] = {}
+        self.model = self.tokenizer.model
+        self.known = _Known()
 
     @staticmethod
     @cache
@@ -33,15 +54,23 @@ class Pieces:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit numbers."""
-        chunks = [text.replace("\n", " ").split(" ") for text in texts]
-        known = self.known
-        unseen = list({c for row in chunks for c in row if c not in known})
-        if unseen:
-            if len(known) + len(unseen) > CACHED:
-                known.clear()
-                unseen = list({c for row in chunks for c in row})
-            for start in range(0, len(unseen), 1000):
-                part = unseen[start : start + 1000]
-                for chunk, found in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                    known[chunk] = np.array(found.ids, "<u4").tobytes()
-        return [b"".join([known[c] for c in row]) for row in chunks]
+        rows = [text.replace("\n", " ").split(" ") for text in texts]
+        found = set(chain.from_iterable(rows))
+        if len(self.known) + len(found) > CACHED:
+            self.known.clear()
+        cores = ({core for core, _ in map(_core, found - self.known.keys())} | _MARKS) - self.known.keys()
+        # A word of ASCII letters is one pre-token as it stands: the library's model takes it directly.
+        plain = {core for core in cores if core.isascii() and core.isalpha()}
+        for core in plain:
+            self.known[core] = _packed([token.id for token in self.model.tokenize(core)])
+        others = list(cores - plain)
+        for start in range(0, len(others), 1000):
+            part = others[start : start + 1000]
+            for core, encoded in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
+                self.known[core] = _packed(encoded.ids)
+        ids_of = self.known.__getitem__
+        return [b"".join(map(ids_of, row)) for row in rows]
+
+
+def _packed(ids: list[int]) -> bytes:
+    return pack(f"<{len(ids)}I", *ids)
