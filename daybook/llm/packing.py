@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from daybook.llm.tables import slices, texts_of, written
+from daybook.llm.tables import slices, texts_of
 from daybook.llm.tokens import Pieces
 
 #: Pieces of one length that are numbered together.
@@ -68,7 +68,7 @@ def pieces_of(docs: DataFrame, vocabulary: str, end_id: int, capacity: int, id_c
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = Pieces.of(vocabulary)
         closing = np.array([end_id], "<u4").tobytes()
-        for part in slices(batches, "text", 1 << 20):
+        for part in slices(batches, "text", 4 << 20, 2048):
             rows, starts, totals, parts = [], [], [], []
             for row, data in enumerate(tokens.encode(texts_of(part))):
                 ids = np.frombuffer(data + closing, "<u4").view(np.int32)
@@ -91,32 +91,27 @@ def pack(pieces: DataFrame, capacity: int) -> DataFrame:
 
     The lengths' counts, ``capacity`` numbers at most, are planned on the driver. Pieces of a length are numbered in
     shares of about 20,000, so that a length which a third of all pieces have is many small tasks; a piece's number
-    says which window of the plan it fills. Rows are told apart by id, start and share; repeated rows all get a place.
+    says which window of the plan it fills. Repeated rows all get a place.
     """
     spark = pieces.sparkSession
-    # Shares follow the number of pieces; a share is a hash of the id, so it is the same each time it is computed.
-    n = pieces.count()
-    shares = max(1, n // _SHARE)
-    dealt = pieces.withColumn("__share", F.pmod(F.xxhash64("id", "start"), F.lit(shares)).cast("int"))
+    counts = {r[0]: r[1] for r in pieces.groupBy("length").count().collect()}
+    plans = _slots(plan_windows(counts, capacity))
+    # One row per length: a bounded table, whatever the input.
+    lengths = F.broadcast(
+        spark.createDataFrame(
+            [(length, max(1, counts[length] // _SHARE), plan) for length, plan in plans.items()],
+            "length long, __shares long, __plan array<struct<low: long, high: long, each: long, window: long, at: long>>",
+        )
+    )
+    # A share is a hash of the piece's key, so it is the same each time it is computed.
+    dealt = pieces.join(lengths, "length").withColumn("__share", F.pmod(F.xxhash64("id", "start"), F.col("__shares")).cast("int"))
     sums = dealt.groupBy("length", "__share").agg(F.count("*").alias("n"))
     before = Window.partitionBy("length").orderBy("__share").rowsBetween(Window.unboundedPreceding, -1)
-    firsts = written(sums.withColumn("first", F.coalesce(F.sum("n").over(before), F.lit(0))), "packing")
-    counts = {r[0]: r[1] for r in firsts.groupBy("length").agg(F.sum("n")).collect()}
-    slots = spark.createDataFrame(
-        _slots(plan_windows(counts, capacity)) or [(0, 0, 0, 0, 0, 0)],
-        "length long, low long, high long, each long, window long, at long",
-    )
+    firsts = sums.select("length", "__share", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("__first"))
     own = Window.partitionBy("length", "__share").orderBy("id", "start")
-    numbered = (
-        dealt.withColumn("__nth", F.row_number().over(own) - 1)
-        .join(firsts.select("length", "__share", "first"), ["length", "__share"])
-        .withColumn("__nth", F.col("__nth") + F.col("first"))
-    )
-    # The plan has a few rows per length: a bounded table, whatever the input.
-    table = F.broadcast(slots.groupBy("length").agg(F.sort_array(F.collect_list(F.struct("low", "high", "each", "window", "at"))).alias("__plan")))
-    placed = numbered.join(table, "length").withColumn(
-        "__slot", F.expr("filter(__plan, s -> __nth >= s.low AND __nth < s.high)[0]")
-    )
+    numbered = dealt.withColumn("__nth", F.row_number().over(own) - 1).join(firsts, ["length", "__share"])
+    numbered = numbered.withColumn("__nth", F.col("__nth") + F.col("__first"))
+    placed = numbered.withColumn("__slot", F.expr("filter(__plan, s -> __nth >= s.low AND __nth < s.high)[0]"))
     within = "(__nth - __slot.low)"
     return placed.select(
         *[F.col(f"`{c}`") for c in pieces.columns],
@@ -125,15 +120,16 @@ def pack(pieces: DataFrame, capacity: int) -> DataFrame:
     )
 
 
-def _slots(plan: list[tuple[int, dict[int, int]]]) -> list[tuple[int, int, int, int, int, int]]:
-    """Per length and filling: numbers [low, high) of its pieces, pieces per window, first window, first offset."""
-    rows, used, window = [], {}, 0
+def _slots(plan: list[tuple[int, dict[int, int]]]) -> dict[int, list[tuple[int, int, int, int, int]]]:
+    """Per length its fillings: numbers [low, high) of its pieces, pieces per window, first window, first offset."""
+    rows: dict[int, list] = {}
+    window = 0
     for times, filling in plan:
         at = 0
         for length, each in sorted(filling.items(), reverse=True):
-            low = used.get(length, 0)
-            rows.append((length, low, low + each * times, each, window, at))
-            used[length] = low + each * times
+            own = rows.setdefault(length, [])
+            low = own[-1][1] if own else 0
+            own.append((low, low + each * times, each, window, at))
             at += each * length
         window += times
     return rows
