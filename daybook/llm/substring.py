@@ -158,11 +158,13 @@ def repeated_samples(docs: DataFrame, length: int, window: int, id_column: str,
             count = np.diff(np.r_[np.flatnonzero(head), len(found)])
             many = np.repeat(count, count) > 1
             # each hash asks once: for its document, or for nobody where it repeats here and is alive already
-            asks, ask_owner = found[head], pa.array(owner[head], mask=many[head])
+            # in the order of documents, whose repeated ids then compress well
+            rows = np.flatnonzero(head)[np.argsort(owner[head], kind="stable")]
+            asks, ask_owner = found[rows], pa.array(owner[rows], mask=many[rows])
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(asks.view(np.int64)), part.column(0).take(ask_owner), part.column(1).take(ask_owner),
-                    pa.array(np.where(many[head], 2, 1).astype(np.int8)), pa.nulls(len(asks), pa.list_(pa.int64())),
+                    pa.array(np.where(many[rows], 2, 1).astype(np.int8)), pa.nulls(len(asks), pa.list_(pa.int64())),
                 ],
                 names,
             )
@@ -272,11 +274,12 @@ def later_windows(packed: DataFrame, alive: DataFrame, length: int, window: int,
             one, two, owner, start, rank = one[order], two[order], owner[order], start[order], rank[order]
             head = np.r_[True, (one[1:] != one[:-1]) | (two[1:] != two[:-1])]
             first = np.flatnonzero(head)[np.cumsum(head) - 1]
-            mine = pa.array(owner[head])
+            rows = np.flatnonzero(head)[np.lexsort((start[head], owner[head]))]  # in the order of documents
+            mine = pa.array(owner[rows])
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(one[head].view(np.int64)), pa.array(two[head].view(np.int64)), part.column(0).take(mine),
-                    part.column(1).take(mine), pa.array(start[head].astype(np.int32)), pa.nulls(int(head.sum()), pa.list_(pa.int32())),
+                    pa.array(one[rows].view(np.int64)), pa.array(two[rows].view(np.int64)), part.column(0).take(mine),
+                    part.column(1).take(mine), pa.array(start[rows].astype(np.int32)), pa.nulls(len(rows), pa.list_(pa.int32())),
                 ],
                 names,
             )
