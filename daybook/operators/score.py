@@ -45,12 +45,13 @@ def score_new_days(
     features: Sequence[str] = FEATURES,
     labels: Sequence[str] = DEFAULT_LABELS,
     encode: Callable[[DataFrame], DataFrame] | None = None,
+    encode_amount: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Answer every request with the day's name, class, class name and amount in units.
 
     Models are functions that add ``pred`` (and ``p0..`` if they know probabilities). Features are scaled by the
-    bounds the models were trained with; with ``encode`` categories are encoded instead of scaled. The amount is
-    always brought back to units.
+    bounds the models were trained with; with ``encode`` categories are encoded instead of scaled, for the amount model by
+    ``encode_amount`` where it was trained on another encoding. The amount is always brought back to units.
     """
     full = complete_requests(requests, usual_count)
     kept = [f"__raw_{c}" for c in ("dow", "month")]
@@ -62,6 +63,8 @@ def score_new_days(
     else:
         inputs = encode(full)
     classed = class_model(inputs).withColumnRenamed("pred", "cls")
+    if encode_amount is not None:
+        classed = encode_amount(classed.withColumns({c: F.col(f"__raw_{c}") for c in ("dow", "month")}))
     amounts = amount_model(classed)
     low, high = bounds["amount"]
     probabilities = [c for c in ("p0", "p1", "p2") if c in amounts.columns]

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from daybook.functions.scaling import scale
 from daybook.operators.daily import FEATURES, driver_bounds, minmax_scale
+from daybook.operators.encode import ordered_target_encode_pooled, target_encode
 
 KEYS = ("account_id", "day")
 
@@ -57,3 +58,28 @@ def model_frame(
     else:
         frame = frame.withColumns({c: F.col(c).cast("double") for c in columns})
     return ModelFrame(frame, bounds, columns, table)
+
+
+def encoded_frame(
+    table: DataFrame, label: str = "cls", categories: Sequence[str] = ("dow", "month"), features: Sequence[str] = FEATURES
+) -> ModelFrame:
+    """The frame of the category-encoding learners: encoded categories, all other features in their own units.
+
+    Train rows are encoded from earlier train rows only, test rows from all train rows; ``label`` is the class, or
+    ``y``, the scaled amount.
+    """
+    frame = model_frame(table, features, scale_features=False)
+    train = ordered_target_encode_pooled(frame.train, categories, label)
+    test = target_encode(frame.test, frame.train, categories, label)
+    rows = train.unionByName(test).withColumns({c: F.col(f"{c}_enc") for c in categories})
+    return ModelFrame(rows.drop(*[f"{c}_enc" for c in categories]), frame.bounds, frame.features, frame.kept)
+
+
+def encode_requests(frame: ModelFrame, label: str = "cls", categories: Sequence[str] = ("dow", "month")):
+    """A function that encodes new days as ``encoded_frame`` encodes test rows. ``frame`` is unencoded and unscaled."""
+
+    def encode(requests: DataFrame) -> DataFrame:
+        encoded = target_encode(requests, frame.train, categories, label)
+        return encoded.withColumns({c: F.col(f"{c}_enc") for c in categories}).drop(*[f"{c}_enc" for c in categories])
+
+    return encode

@@ -435,6 +435,30 @@ O["oblivious_classify"] = boosted("class", 2, kind="newton", growth="level", rat
 O["oblivious_regress_sum"] = boosted(
     "amount", 2, kind="newton", growth="level", rate=0.05, depth=4, lam=3.0, level_gain="sum"
 )
+
+
+def encoded_ctes(label: str) -> list[str]:
+    """Up to ``frame``: categories encoded by ``label``, all other features unscaled."""
+    *head, plain = frame_ctes("events", scale=False)
+    slot = "substr(md5(CAST(account_id AS VARCHAR)), 1, 3)"
+    mean = f"(SELECT avg({label}) FROM plain WHERE part = 'train')"
+    columns = []
+    for x in ("x0", "x1"):
+        known = f"CASE WHEN part = 'train' THEN CAST({label} AS DOUBLE) END"
+        before = f"OVER (PARTITION BY part, {x} ORDER BY day, {slot}, account_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+        everyone = f"OVER (PARTITION BY {x})"
+        columns.append(
+            f"CASE WHEN part = 'train' THEN (coalesce(sum({known}) {before}, 0) + 0.5 * {mean}) / (count({known}) {before} + 0.5) "
+            f"ELSE (coalesce(sum({known}) {everyone}, 0) + 0.5 * {mean}) / (count({known}) {everyone} + 0.5) END AS {x}"
+        )
+    return [
+        *head, plain.replace("frame AS MATERIALIZED", "plain AS MATERIALIZED", 1),
+        f"frame AS MATERIALIZED (SELECT account_id, day, part, cls, amount, {', '.join(columns)}, x2, x3, x4, x5, y FROM plain)",
+    ]
+
+
+O["oblivious_encoded_regress"] = boosted("amount", 2, encoded_ctes("y"), kind="newton", growth="level", rate=0.05, depth=4, lam=3.0)
+O["oblivious_encoded_classify"] = boosted("class", 2, encoded_ctes("cls"), kind="newton", growth="level", rate=0.01, depth=4, lam=10.0)
 O["training_curve"] = query(
     [*FRAME, *boost_ctes("amount", "newton", "depth", 3, 0.05, depth=3, lam=1.0, gamma=0.1)],
     " UNION ALL ".join(

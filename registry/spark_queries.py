@@ -24,7 +24,7 @@ from daybook.operators.sampling import Goss
 from daybook.operators.trees import Node, Tree
 from daybook.plans import compare as C
 from daybook.plans import presets
-from daybook.plans.model_frame import KEYS, ModelFrame, model_frame
+from daybook.plans.model_frame import KEYS, ModelFrame, encode_requests, encoded_frame, model_frame
 from daybook.session import cut_lineage, new_folder
 from daybook.sources import statement as src
 from daybook.streaming import daily as stream
@@ -488,6 +488,40 @@ def oblivious_classify(spark, folder):
     return _classes(spark, folder, _short(OWN_C["oblivious"], rounds=2))
 
 
+def _encoded(spark, folder, params, label):
+    frame = encoded_frame(events(spark, folder), label)
+    rows = cut_lineage(frame.rows).rows  # encoded once, read by every pass
+    models, _ = fit_boosted(rows.filter("part = 'train'"), X, {"m": params}, KEYS)
+    return frame, models["m"].predict(rows)
+
+
+def oblivious_encoded_regress(spark, folder):
+    """Categories encoded by the scaled amount, other features unscaled."""
+    frame, scored = _encoded(spark, folder, _short(OWN_R["oblivious"], rounds=2), "y")
+    return _released(frame, scored.select("account_id", "day", "part", *r6("pred")))
+
+
+def oblivious_encoded_classify(spark, folder):
+    frame, scored = _encoded(spark, folder, _short(OWN_C["oblivious"], rounds=2), "cls")
+    return _released(frame, scored.select("account_id", "day", "part", *r6("p0", "p1", "p2"), "pred"))
+
+
+def score_new_days_fitted(spark, folder):
+    """New days scored by fitted models, each on its own encoding: by class, and by scaled amount."""
+    table = events(spark, folder)
+    plain = model_frame(table, scale_features=False)
+    models = {}
+    for label, params in (("cls", _short(OWN_C["oblivious"], rounds=1)), ("y", _short(OWN_R["oblivious"], rounds=1))):
+        rows = cut_lineage(encoded_frame(table, label).train).rows
+        models[label] = fit_boosted(rows, X, {"m": params}, KEYS)[0]["m"].predict
+    usual = D.default_count(plain.rows).first()[0]
+    scored = Z.score_new_days(
+        Z.next_day_requests(daily_events(spark, folder)), usual, plain.bounds, models["cls"], models["y"],
+        encode=encode_requests(plain, "cls"), encode_amount=encode_requests(plain, "y"),
+    )
+    return _released(plain, scored.select("account_id", "day", "weekday_name", "month", "cls", "cls_name", *r6("p0", "p1", "p2", "amount")))
+
+
 def oblivious_regress_sum(spark, folder):
     return _amounts(spark, folder, _short(OWN_R["oblivious"], rounds=2, level_gain="sum"))
 
@@ -841,6 +875,9 @@ QUERIES = {
     "oblivious_regress": oblivious_regress,
     "oblivious_classify": oblivious_classify,
     "oblivious_regress_sum": oblivious_regress_sum,
+    "oblivious_encoded_regress": oblivious_encoded_regress,
+    "oblivious_encoded_classify": oblivious_encoded_classify,
+    "score_new_days_fitted": score_new_days_fitted,
     "training_curve": training_curve,
     "sweep_regularisation": sweep_regularisation,
     "sweep_leaves": sweep_leaves,

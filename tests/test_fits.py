@@ -185,3 +185,16 @@ def test_small_gains_beside_an_outlier(spark):
     frame = spark.createDataFrame(rows, "x double, y double")
     tree = tree_regress(frame, ["x"], max_depth=2).trees[0]
     assert {n.threshold for n in tree.nodes.values() if not n.is_leaf} == {99.0, 49.0}
+
+
+def test_model_comparison(spark, frame):
+    from daybook.plans.compare import compare_models
+
+    table = compare_models(spark, frame, rounds=1, epochs=2).collect()
+    found = {(r["task"], r["model"]) for r in table}
+    boosted = {"boosted", "newton", "leafwise", "oblivious"}
+    assert found == {("class", m) for m in boosted | {"tree", "forest", "neighbours", "logistic", "dense", "perceptron"}} | {
+        ("amount", m) for m in boosted | {"tree", "linear", "forest", "dense"}
+    }
+    assert all(0.0 <= r["value"] <= 1.0 for r in table if r["task"] == "class")
+    assert all(r["value"] >= 0.0 for r in table)

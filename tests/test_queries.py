@@ -7,7 +7,8 @@ from registry.compare import compare, duck
 
 QUERIES = entry.queries()
 ORACLES = entry.oracle_sql()
-SLOW = {"compare_models", "perceptron_classify", "sweep_leaves"}
+# Long: the comparison is tested on a small frame in test_fits.py, the sweep has check SQL.
+SLOW = {"compare_models", "sweep_leaves"}
 
 
 @pytest.fixture(scope="module")
