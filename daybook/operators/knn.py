@@ -30,7 +30,8 @@ from daybook.functions.text import name
 from daybook.session import cut_lineage
 
 DIGITS = 9
-MAX_PIVOTS = 256
+# Numbers that one step of a task holds at once.
+STEP_NUMBERS = 4_000_000
 TRAIN_BLOCK = 2048
 QUERY_BLOCK = 4096
 
@@ -104,14 +105,24 @@ def _distance_code():
     return distances
 
 
+def _steps(rows: int, width: int):
+    """Slices of ``rows`` rows that hold about ``STEP_NUMBERS`` numbers at ``width`` numbers a row."""
+    step = max(1, STEP_NUMBERS // max(1, width))
+    return [slice(start, start + step) for start in range(0, rows, step)]
+
+
 def _cell_udf(pivots: np.ndarray, metric: str):
     distances = _distance_code()
 
     @F.pandas_udf("cell int, dist double")
     def nearest_pivot(vectors: pd.Series) -> pd.DataFrame:
-        d = distances(np.stack(vectors.to_numpy()), pivots, metric)
-        cell = d.argmin(axis=1)
-        return pd.DataFrame({"cell": cell.astype("int32"), "dist": d[np.arange(len(d)), cell]})
+        x = np.stack(vectors.to_numpy())
+        cell, dist = np.empty(len(x), np.int32), np.empty(len(x))
+        for part in _steps(len(x), len(pivots)):
+            d = distances(x[part], pivots, metric)
+            cell[part] = d.argmin(axis=1)
+            dist[part] = d.min(axis=1)
+        return pd.DataFrame({"cell": cell, "dist": dist})
 
     return nearest_pivot
 
@@ -123,13 +134,15 @@ def _visit_udf(cells: _Cells, metric: str, k: int):
 
     @F.pandas_udf("array<int>")
     def cells_to_visit(vectors: pd.Series) -> pd.Series:
-        d = distances(np.stack(vectors.to_numpy()), pivots, metric)
-        upper = (d[:, :, None] + nearest[None, :, :]).reshape(len(d), -1)
-        bound = np.partition(upper, k - 1, axis=1)[:, k - 1]
-        best = np.maximum(d - high[None, :], low[None, :] - d)
-        best = np.maximum(best, (d - d.min(axis=1)[:, None]) / 2)
-        visit = best <= (bound * (1 + slack) + slack)[:, None]
-        return pd.Series([np.flatnonzero(v).astype("int32") for v in visit])
+        x, visits = np.stack(vectors.to_numpy()), []
+        for part in _steps(len(x), len(pivots) * k):
+            d = distances(x[part], pivots, metric)
+            upper = (d[:, :, None] + nearest[None, :, :]).reshape(len(d), -1)
+            bound = np.partition(upper, k - 1, axis=1)[:, k - 1]
+            best = np.maximum(d - high[None, :], low[None, :] - d)
+            best = np.maximum(best, (d - d.min(axis=1)[:, None]) / 2)
+            visits += [np.flatnonzero(v).astype("int32") for v in best <= (bound * (1 + slack) + slack)[:, None]]
+        return pd.Series(visits)
 
     return cells_to_visit
 
@@ -156,7 +169,8 @@ def _merge_copies(train: DataFrame, row_id: str, label: str, k: int) -> DataFram
 def _plan_cells(distinct: DataFrame, metric: str, k: int) -> tuple[DataFrame, _Cells]:
     distinct = distinct.persist(StorageLevel.MEMORY_AND_DISK)
     count = distinct.count()
-    wanted = max(1, min(MAX_PIVOTS, math.isqrt(count)))
+    # The driver holds the pivots: the square root of the number of vectors.
+    wanted = max(1, math.isqrt(count))
     picked = distinct.select("__x").orderBy(F.xxhash64("__x"), "__x").limit(wanted).collect()
     pivots = np.array([r["__x"] for r in picked])
     placed = distinct.withColumn("__c", _cell_udf(pivots, metric)("__x")).select("__x", "members", "__c.*")
