@@ -25,6 +25,8 @@ ANCHORS = frozenset(
     """.split()
 )
 _WORDS = re.compile(r"\w+").findall
+#: Stretches of the id order per task, so that tasks get even shares.
+_STRETCHES = 4
 
 
 def signatures(text: str, chain: int = 2, anchors: frozenset[str] = ANCHORS) -> frozenset[int]:
@@ -59,11 +61,6 @@ def likeness(left: frozenset[int], right: frozenset[int], floor: float = 0.0) ->
     return found if found >= floor else 0.0
 
 
-def length_class(size: int, threshold: float) -> int:
-    """Partition of a set by its size: sets that reach ``threshold`` are in one class or in neighbouring ones."""
-    return int(np.floor(np.log(size) / -np.log(threshold) + 1e-9))
-
-
 def signature_sets(docs: DataFrame, chain: int = 2, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """(id, signatures array<long>, sorted) of every whole text; null counts as empty."""
     kind = docs.schema[id_column].dataType.simpleString()
@@ -129,8 +126,9 @@ def against_next(docs: DataFrame, chain: int = 2, id_column: str = "doc_id", tex
     kind = docs.schema[id_column].dataType.simpleString()
     rows = docs.select(F.col(id_column).cast("long").alias("id"), F.coalesce(F.col(text_column), F.lit("")).alias("text"))
     n = partitions(spark)
-    bounds = np.array(rows.select(F.percentile_approx("id", [i / n for i in range(1, n)], 20 * n)).first()[0] or [], np.int64) if n > 1 else np.array([], np.int64)
-    bounds = np.unique(bounds)
+    stretches = _STRETCHES * n
+    marks = rows.select(F.percentile_approx("id", [i / stretches for i in range(1, stretches)], 20 * stretches)).first()[0]
+    bounds = np.unique(np.array(marks or [], np.int64))
 
     def stretch_of(ids: pa.Array) -> np.ndarray:
         # stretch 0 has the largest ids; rows without an id are a stretch after all others
