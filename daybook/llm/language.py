@@ -121,7 +121,7 @@ def learn(labelled: DataFrame, dimensions: int = 1024, rows_per_language: int =
     chosen = rows.where(draw < share[F.col(lang_column)]).select(F.col(lang_column).alias("lang"), F.col(text_column).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, "text"):
+        for part in slices(batches, "text", 1 << 20, 256):
             grams, counts = _counted(texts_of(part))
             total = counts.sum(axis=1)
             langs = np.array(part.column(0).to_pylist(), object)
@@ -156,7 +156,7 @@ def with_language(docs: DataFrame, profiles: Profiles, text_column: str = "text"
     names = [*base.columns, lang_column, score_column]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, text_column):
+        for part in slices(batches, text_column, 1 << 20, 256):
             langs, scores = profiles.predict(texts_of(part, text_column))
             yield pa.RecordBatch.from_arrays([*part.columns, pa.array(langs), pa.array(scores)], names)
 

@@ -68,7 +68,7 @@ def pieces_of(docs: DataFrame, vocabulary: str, end_id: int, capacity: int, id_c
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = Pieces.of(vocabulary)
         closing = np.array([end_id], "<u4").tobytes()
-        for part in slices(batches, "text", 4 << 20, 2048):
+        for part in slices(batches, "text", 2 << 20, 1024):
             rows, starts, totals, parts = [], [], [], []
             for row, data in enumerate(tokens.encode(texts_of(part))):
                 ids = np.frombuffer(data + closing, "<u4").view(np.int32)

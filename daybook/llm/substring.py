@@ -23,7 +23,7 @@ _FAMILY = (
 )
 _CHUNK = 1 << 20
 #: Texts that are settled among themselves before they ask the rest of the corpus.
-SLICE_BYTES, SLICE_DOCUMENTS = 8 << 20, 4096
+SLICE_BYTES, SLICE_DOCUMENTS = 5 << 20, 2048
 
 
 def _mix(x: np.ndarray) -> np.ndarray:

@@ -40,6 +40,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, target_bytes: int = 4
         step = max(1, min(rows, target_bytes // per_row))
         for start in range(0, batch.num_rows, step):
             yield batch.slice(start, step)
+    pa.default_memory_pool().release_unused()  # a worker lives on for other tasks
 
 
 def texts_of(batch: pa.RecordBatch, column: str = "text") -> list[str]:

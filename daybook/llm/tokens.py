@@ -8,7 +8,7 @@ from itertools import chain
 from struct import pack
 
 #: Chunks kept per worker; beyond it the cache starts anew.
-CACHED = 600_000
+CACHED = 400_000
 _MARKS = frozenset(".,;:!?")
 
 
