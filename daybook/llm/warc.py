@@ -195,8 +195,11 @@ def read_records(archives: DataFrame) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = set()  # the rows of an archive are all in one task
         for batch in batches:
-            for index in batch.column(0).to_pylist():
+            found = [index for index in dict.fromkeys(batch.column(0).to_pylist()) if index not in seen]
+            seen.update(found)
+            for index in found:
                 store, place = _store(index)
                 with store.open_input_stream(place, compression=None) as lines, store.open_input_file(place.removesuffix(".idx")) as data:
                     held, size = [], 0
@@ -211,7 +214,7 @@ def read_records(archives: DataFrame) -> DataFrame:
                     if held:
                         yield _read_batch(held)
 
-    spread = archives.select("index").distinct().repartition(partitions(archives.sparkSession), "index")
+    spread = archives.select("index").repartition(partitions(archives.sparkSession), "index")
     return spread.mapInArrow(
         run, "page_id long, url string, record_type string, payload binary, payload_bytes long, payload_digest string, refers_to long"
     )
