@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from daybook.llm.tables import literal_rows
+
 # Equivalent spellings, after punctuation has become spaces.
 SPELLINGS = (
     ("licence", "license"),
@@ -116,7 +118,7 @@ def digest(text: Column) -> Column:
 
 def known_digests(spark: SparkSession, texts: tuple = LICENCES) -> DataFrame:
     """(digest, license) of (license, text) pairs; if two licences have one canonical text, the first name in order."""
-    table = spark.createDataFrame([*texts], "license string, text string")
+    table = literal_rows(spark, ["license", "text"], [*texts])
     return table.groupBy(digest(F.col("text")).alias("digest")).agg(F.min("license").alias("license"))
 
 

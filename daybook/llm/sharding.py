@@ -7,7 +7,7 @@ from bisect import bisect_right
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from daybook.llm.tables import written
+from daybook.llm.tables import literal_rows, written
 
 #: Rows of one bucket of an order, and how many buckets there are at most (then they hold more rows).
 _BUCKET = 20_000
@@ -46,7 +46,7 @@ class Steps:
                 at = bisect_right(self.begins, limit) - 1
                 rows.append((self.buckets[at], key, limit, self.begins[at]))
         if rows:
-            asked = self.table.sparkSession.createDataFrame(rows, "__bucket int, k long, upto long, begin0 long")
+            asked = literal_rows(self.table.sparkSession, ["__bucket", "k", "upto", "begin0"], rows)
             best = F.expr("array_max(filter(ends, e -> e <= upto))")
             answers = self.table.where(F.col("__bucket").isin(sorted({r[0] for r in rows}))).join(F.broadcast(asked), "__bucket")
             found |= {r[0]: r[1] for r in answers.select("k", F.coalesce(best, "begin0")).collect()}

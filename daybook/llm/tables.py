@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from daybook.session import new_folder
 
@@ -27,6 +28,16 @@ def written(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def literal_rows(spark: SparkSession, names: list[str], rows: list[tuple]) -> DataFrame:
+    """A few given rows as part of the plan itself; whole numbers are long."""
+
+    def column(name: str, value):
+        return (F.lit(value).cast("long") if isinstance(value, int) else F.lit(value)).alias(name)
+
+    structs = [F.struct(*map(column, names, row)) for row in rows]
+    return spark.range(1).select(F.inline(F.array(*structs)))
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
