@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -42,6 +43,14 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def _give_back() -> None:
+    """Return freed memory to the system: a worker lives on for other tasks and other operators."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # only some C libraries have it
+    if trim is not None:
+        trim(0)
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: str, target_bytes: int = 4 << 20, rows: int = SLICE_ROWS) -> Iterator[pa.RecordBatch]:
     """Cut incoming batches so that one slice holds about ``target_bytes`` of ``column``, one row at least."""
     for batch in batches:
@@ -51,7 +60,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, target_bytes: int = 4
         step = max(1, min(rows, target_bytes // per_row))
         for start in range(0, batch.num_rows, step):
             yield batch.slice(start, step)
-    pa.default_memory_pool().release_unused()  # a worker lives on for other tasks
+    _give_back()
 
 
 def texts_of(batch: pa.RecordBatch, column: str = "text") -> list[str]:
