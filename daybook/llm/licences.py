@@ -127,12 +127,13 @@ def scan(docs: DataFrame, licences: DataFrame | None = None, notices: DataFrame
 
     Entire texts, and entire lines that hold "licen", are looked up by the digest of their canonical form. Every document is
     returned; ``license`` and ``notices`` (names in order, joined by commas) are null where nothing matches, ``digest`` is
-    null for a null text only. The known tables (digest, license) are small and joined by Spark's own choice; nothing is
-    grouped by text, so copies make no hot group. Ids that repeat are told apart, identical rows give equal rows.
+    null for a null text only. The known tables (digest, license) are small; only documents with lines that may be notices
+    are grouped, so copies without one make no hot group. Ids that repeat are told apart, identical rows give equal rows.
     """
     spark = docs.sparkSession
-    licences = known_digests(spark) if licences is None else licences
-    notices = known_digests(spark, NOTICES) if notices is None else notices
+    # The fixed lists of this module are a few rows each; tables given by the caller are joined as Spark sees fit.
+    licences = F.broadcast(known_digests(spark)) if licences is None else licences
+    notices = F.broadcast(known_digests(spark, NOTICES)) if notices is None else notices
     text = F.col(text_column)
     rows = docs.select(
         F.col(id_column).alias("doc_id"),
