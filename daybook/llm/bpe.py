@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import re
 from collections.abc import Iterator
 from functools import cache
 from heapq import heappop, heappush
+from struct import pack
 
 import numpy as np
 import pyarrow as pa
@@ -16,8 +18,8 @@ from pyspark.sql import functions as F
 
 from daybook.llm.tables import slices, texts_of
 
-#: Pre-tokens and chunks kept per worker; beyond it a cache starts anew.
-CACHED = 400_000
+#: Chunks kept per worker; beyond it the cache starts anew.
+CACHED = 700_000
 
 
 class RankQueue:
@@ -42,6 +44,18 @@ class RankQueue:
             self.top |= 1 << word
         self.low[word] |= 1 << (rank & 255)
 
+    def fill(self, ranks: list[int]) -> None:
+        """Push every position of an empty queue with its rank; -1 is none."""
+        buckets, low, top = self.buckets, self.low, 0
+        for position, rank in enumerate(ranks):
+            if rank >= 0:
+                bucket = buckets[rank]
+                if not bucket:
+                    low[rank >> 8] |= 1 << (rank & 255)
+                    top |= 1 << (rank >> 8)
+                bucket.append(position)  # rising positions are a heap
+        self.top = top
+
     def pop(self) -> tuple[int, int]:
         """Lowest rank and its leftmost position; (-1, -1) once empty."""
         top = self.top
@@ -61,6 +75,29 @@ class RankQueue:
         return rank, bucket.pop()
 
 
+class Chunks(dict):
+    """Ids of chunks that follow ``lead``, encoded when first asked for; bounded.
+
+    A chunk of several pre-tokens is put together from theirs, so a word with a mark costs no merges of its own.
+    """
+
+    def __init__(self, lead: str, pairs: BytePairs, most: int, others: Chunks | None = None):
+        self.lead, self.pairs, self.most = lead, pairs, most
+        self.others = self if others is None else others
+
+    def __missing__(self, chunk: str) -> bytes:
+        pieces = self.pairs.split(self.lead + chunk)
+        if len(pieces) > 1:
+            first, *rest = pieces
+            return self[first.removeprefix(self.lead)] + b"".join([self.others[piece] for piece in rest])
+        ids = self.pairs.pre_token(pieces[0]) if pieces else b""
+        if len(chunk) <= 64:
+            if len(self) >= self.most:
+                self.clear()
+            self[chunk] = ids
+        return ids
+
+
 class BytePairs:
     """Encoder and decoder for one rank file and split pattern."""
 
@@ -71,10 +108,11 @@ class BytePairs:
         self.decimals = {rank: str(rank) for rank in self.tokens}
         # White space as in the rank files' own library: the Unicode property, without the separators \x1c to \x1f.
         self.split = regex.compile(pattern.replace(r"\s", r"\p{White_Space}").replace(r"\S", r"\P{White_Space}")).findall
-        self.odd_space = regex.compile(r"[\p{White_Space}--[ \n]]|[ \n]{2}|^[ \n]|[ \n]$", regex.V1).search
-        self.known: dict[str, bytes] = {}
-        self.chunks: dict[str, bytes] = {}
+        # White space other than space and line feed.
+        self.odd_space = re.compile("[\t\x0b\x0c\r\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]").search
         self.queue = RankQueue(max(self.tokens) + 1)
+        self.line_start = Chunks("", self, CACHED // 2)
+        self.after_space = Chunks(" ", self, CACHED, self.line_start)
 
     @staticmethod
     @cache
@@ -88,9 +126,7 @@ class BytePairs:
         # rank of the pair that begins at each position
         current = [rank_of(piece[i : i + 2], -1) for i in range(n - 1)]
         current.append(-1)
-        for i, rank in enumerate(current):
-            if rank >= 0:
-                push(rank, i)
+        self.queue.fill(current)
         while True:
             rank, at = pop()
             if rank < 0:
@@ -116,25 +152,12 @@ class BytePairs:
             at = after[at]
         return ids
 
-    def _pre_token(self, text: str) -> bytes:
-        ids = self.known.get(text)
-        if ids is None:
-            piece = text.encode()
-            whole = self.ranks.get(piece)
-            ids = (whole.to_bytes(4, "little") if whole is not None else b"".join([i.to_bytes(4, "little") for i in self.merge(piece)]))
-            if len(piece) <= 64:
-                if len(self.known) >= CACHED:
-                    self.known.clear()
-                self.known[text] = ids
-        return ids
-
-    def _chunk(self, text: str) -> bytes:
-        ids = b"".join(map(self._pre_token, self.split(text)))
-        if len(text) <= 64:
-            if len(self.chunks) >= CACHED:
-                self.chunks.clear()
-            self.chunks[text] = ids
-        return ids
+    def pre_token(self, text: str) -> bytes:
+        """Ids of one pre-token as little-endian unsigned 32-bit numbers."""
+        piece = text.encode()
+        whole = self.ranks.get(piece)
+        ids = self.merge(piece) if whole is None else [whole]
+        return pack(f"<{len(ids)}I", *ids)
 
     def encode(self, text: str) -> bytes:
         """Ids of a whole text as little-endian unsigned 32-bit numbers.
@@ -144,16 +167,15 @@ class BytePairs:
         """
         if not text:
             return b""
-        if self.odd_space(text):
-            return self._chunk(text)
-        known, parts = self.chunks.get, []
+        if self.odd_space(text) or text[0] in " \n" or text[-1] in " \n" or any(two in text for two in ("  ", " \n", "\n ", "\n\n")):
+            return b"".join(map(self.line_start.__getitem__, self.split(text)))
+        parts, after_space, line_end = [], self.after_space.__getitem__, self.line_start["\n"]
         for line in text.split("\n"):
             first, *rest = line.split(" ")
-            if parts:
-                parts.append(self.chunks.get("\n") or self._chunk("\n"))
-            parts.append(known(first) or self._chunk(first))
-            parts += [known(c) or self._chunk(c) for c in map(" ".__add__, rest)]
-        return b"".join(parts)
+            parts.append(self.line_start[first])
+            parts += map(after_space, rest)
+            parts.append(line_end)
+        return b"".join(parts[:-1])
 
     def decode(self, ids: np.ndarray) -> bytes:
         """Bytes of ``ids``."""
