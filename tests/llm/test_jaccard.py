@@ -1,0 +1,56 @@
+import random
+
+import corpus_pipeline
+import pytest
+
+from daybook.llm import jaccard, simhash
+
+from .test_text_operators import brute_components
+
+
+def likeness(a, b):
+    return len(a & b) / len(a | b)
+
+
+def near_texts():
+    """Texts, and edits of them that reach from about 0.7 to 0.95 of their shingles."""
+    pick = random.Random(4)
+    word = lambda: f"w{pick.randrange(50_000)}"
+    rows = []
+    for n in range(60):
+        base = [word() for _ in range(pick.randrange(80, 400))]
+        rows.append((n, " ".join(base)))
+        copy = list(base)
+        for at in pick.sample(range(len(base)), max(1, round(len(base) * pick.uniform(0.008, 0.035)))):
+            copy[at] = word()
+        rows.append((100 + n, " ".join(copy)))
+    hub = [word() for _ in range(120)]
+    for n in range(80):  # a group of near copies, alike to one another or only through others
+        copy = list(hub)
+        for at in pick.sample(range(len(hub)), pick.randrange(1, 4)):
+            copy[at] = word()
+        rows.append((200 + n, " ".join(copy)))
+    return [*rows, (400, rows[0][1]), (401, ""), (402, None), (403, "one two"), (404, "One TWO")]
+
+
+def test_near_copies_against_exact_likeness(spark):
+    rows = near_texts()
+    sets = {i: frozenset(simhash.shingle_hashes(t or "", 5).tolist()) for i, t in rows}
+    pairs = [(a, b) for a in sets for b in sets if a < b and (sets[a] == sets[b] or likeness(sets[a], sets[b]) >= 0.8)]
+    edge = [likeness(sets[n], sets[100 + n]) for n in range(60)]
+    assert sum(0.8 <= x < 0.9 for x in edge) > 15 and sum(0.7 <= x < 0.8 for x in edge) > 5
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {r.id: r.component for r in jaccard.near_groups(docs).collect()}
+    assert got == brute_components(list(sets), pairs)
+    left = {r.doc_id for r in corpus_pipeline.drop_near_copies(spark, docs, "").collect()}
+    assert left == {i for i, root in got.items() if i == root}
+
+
+def test_bands_find_pairs_at_the_threshold():
+    pick = random.Random(5)
+    for _ in range(300):
+        base = [pick.getrandbits(64) for _ in range(200)]
+        a, b = base[:180], base[20:]  # likeness 0.8
+        a, b = (jaccard.band_keys(jaccard.np.array(sorted(x), jaccard.np.uint64)) for x in (a, b))
+        assert set(a.tolist()) & set(b.tolist())
+    assert likeness(set(base[:180]), set(base[20:])) == pytest.approx(0.8)
