@@ -107,15 +107,17 @@ class Profiles:
 def learn(labelled: DataFrame, dimensions: int = 1024, rows_per_language: int = 4000, text_column: str = "text", lang_column: str = "lang", id_column: str = "doc_id") -> Profiles:
     """Prototypes from rows with a language and a text.
 
-    At most about ``rows_per_language`` rows of each language are read, chosen by a hash of id and language, which holds
+    At most about ``rows_per_language`` rows of each language are read, chosen by a hash of id, language and text, which holds
     a language that makes up a third of all rows to the same bound. Every row weighs the same, however long. What comes
     back is a sum per (language, trigram). Rows without language, text or letter are left out; with no rows left there
     are no languages.
     """
     rows = labelled.where(F.col(lang_column).isNotNull() & F.col(text_column).isNotNull())
-    sizes = {r[0]: r[1] for r in rows.groupBy(lang_column).count().collect()}
-    draw = F.pmod(F.xxhash64(F.col(id_column), F.col(lang_column)), F.lit(1_000_000))
-    share = F.create_map(*[x for lang, n in sizes.items() for x in (F.lit(lang), F.lit(int(1e6 * min(1.0, rows_per_language / n)) + 1))]) if sizes else None
+    draw = F.pmod(F.xxhash64(F.col(id_column), F.col(lang_column), F.col(text_column)), F.lit(1_000_000))
+    sizes = rows.groupBy(lang_column).agg(F.count("*"), F.min(draw)).collect()
+    # the smallest draw of a language always counts, so that equal rows can't leave it without any
+    bounds = {lang: max(int(1e6 * min(1.0, rows_per_language / n)), least) + 1 for lang, n, least in sizes}
+    share = F.create_map(*[x for lang, bound in bounds.items() for x in (F.lit(lang), F.lit(bound))]) if bounds else None
     if share is None:
         return Profiles([], np.zeros((0, dimensions)))
     chosen = rows.where(draw < share[F.col(lang_column)]).select(F.col(lang_column).alias("lang"), F.col(text_column).alias("text"))

@@ -2,7 +2,7 @@ import random
 
 import corpus_pipeline
 
-from daybook.llm import simhash
+from daybook.llm import language, simhash
 
 from .test_text_operators import brute_components, brute_kept, check_packing, words_of
 
@@ -100,3 +100,20 @@ def test_texts_in_no_language_go_and_short_ones_stay(spark):
     rows += [(50, "Avec.", None, "s", 0), (51, "qzx wvk jjq xxz kqv " * 30, None, "s", 0)]
     left = corpus_pipeline.keep_known_languages(spark, spark.createDataFrame(rows, SCHEMA), "")
     assert {r.doc_id for r in left.collect()} == {*range(20), 50}
+
+
+def test_tables_without_labels_keep_texts_with_a_letter(spark):
+    rows = [(1, "the house on the hill " * 30, None, "s", 0), (2, "Дом на горе", None, "s", 0), (3, "123 !!", None, "s", 0), (4, None, None, "s", 0), (5, "", None, "s", 0)]
+    left = corpus_pipeline.keep_known_languages(spark, spark.createDataFrame(rows, SCHEMA), "")
+    assert {r.doc_id for r in left.collect()} == {1, 2}
+    rows.append((6, "456", "en", "s", 0))  # a label, but no letter to learn from
+    left = corpus_pipeline.keep_known_languages(spark, spark.createDataFrame(rows, SCHEMA), "")
+    assert {r.doc_id for r in left.collect()} == {1, 2}
+
+
+def test_languages_whose_rows_share_an_id_are_learned(spark):
+    texts = {"en": "the house of the man", "fr": "le chat de la maison", "de": "das Haus auf dem Berg", "es": "la casa de los montes"}
+    rows = [(None, f"{text} {i}", lang, "s", 0) for lang, text in texts.items() for i in range(400)]
+    rows += [(None, "il gatto della casa", "it", "s", 0)] * 400
+    docs = spark.createDataFrame(rows, SCHEMA)
+    assert language.learn(docs, 64, rows_per_language=40).names == [*sorted(texts), "it"]
