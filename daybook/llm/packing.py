@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from daybook.llm.tables import slices, texts_of
+from daybook.llm.tables import slices
 from daybook.llm.tokens import Pieces
 
 #: Pieces of one length that are numbered together.
@@ -58,32 +58,37 @@ def plan_windows(counts: dict[int, int], capacity: int) -> list[tuple[int, dict[
     return plan
 
 
-def pieces_of(docs: DataFrame, vocabulary: str, end_id: int, capacity: int, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+def pieces_of(
+    docs: DataFrame, vocabulary: str, end_id: int, capacity: int, id_column: str = "doc_id", text_column: str = "text",
+    view: tuple[Callable[[pa.RecordBatch], pa.RecordBatch], str] | None = None,
+) -> DataFrame:
     """(id, start, length, ids array<int>, doc_tokens): the ids of each whole text, then ``end_id``, cut every ``capacity`` ids.
 
-    A null or empty text has the end id alone.
+    A null or empty text has the end id alone, rows that repeat an id or a whole row have their own pieces, an empty
+    table has none; other columns are not read. ``view`` (a function of such batches, the schema of what it returns)
+    says what leaves the task instead, so that ids that are only digested need not.
     """
     kind = docs.schema[id_column].dataType.simpleString()
+    shape, schema = view or (lambda batch: batch, f"id {kind}, start long, length long, ids array<int>, doc_tokens long")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = Pieces.of(vocabulary)
-        closing = np.array([end_id], "<u4").tobytes()
-        for part in slices(batches, "text", 2 << 20, 1024):
-            rows, starts, totals, parts = [], [], [], []
-            for row, data in enumerate(tokens.encode(texts_of(part))):
-                ids = np.frombuffer(data + closing, "<u4").view(np.int32)
-                for start in range(0, len(ids), capacity):
-                    rows.append(row), starts.append(start), totals.append(len(ids)), parts.append(ids[start : start + capacity])
-            lengths = [len(p) for p in parts]
-            lists = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *lengths]), pa.int32()), pa.array(np.concatenate(parts)))
-            yield pa.RecordBatch.from_arrays(
-                [part.column(0).take(pa.array(rows)), pa.array(starts, pa.int64()), pa.array(lengths, pa.int64()), lists, pa.array(totals, pa.int64())],
-                ["id", "start", "length", "ids", "doc_tokens"],
-            )
-
-    return docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text")).mapInArrow(
-        run, f"id {kind}, start long, length long, ids array<int>, doc_tokens long"
-    )
+        for part in slices(batches, "text", 4 << 20, 4096):
+            yield shape(_cut(part.column(0), *tokens.ids(part.column(1)), end_id, capacity))
+
+    return docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text")).mapInArrow(run, schema)
+
+
+def _cut(keys: pa.Array, ids: np.ndarray, bounds: np.ndarray, end_id: int, capacity: int) -> pa.RecordBatch:
+    totals = np.diff(bounds) + 1
+    closed = np.insert(ids, bounds[1:], end_id)
+    pieces = -(-totals // capacity)
+    row = np.repeat(np.arange(len(totals)), pieces)
+    start = (np.arange(len(row)) - np.repeat(np.cumsum(pieces) - pieces, pieces)) * capacity
+    length = np.minimum(capacity, totals[row] - start)
+    lists = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(length)], pa.int32()), pa.array(closed.astype(np.int32, copy=False)))
+    columns = [keys.take(pa.array(row)), pa.array(start, pa.int64()), pa.array(length, pa.int64()), lists, pa.array(totals[row], pa.int64())]
+    return pa.RecordBatch.from_arrays(columns, ["id", "start", "length", "ids", "doc_tokens"])
 
 
 def pack(pieces: DataFrame, capacity: int) -> DataFrame:

@@ -23,20 +23,16 @@ def op1_packing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def packed_pieces(docs: DataFrame, vocabulary: str) -> DataFrame:
-    pieces = packing.pieces_of(docs, vocabulary, END_ID, CAPACITY)
-
-    def digested(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids = batch.column(3)
-            bounds, flat = ids.offsets.to_numpy(), ids.values.to_numpy().astype("<u4")
-            sums = [zlib.crc32(flat[a:b].tobytes()) for a, b in zip(bounds, bounds[1:])]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), batch.column(2), pa.array(sums, pa.int64()), batch.column(4)],
-                ["id", "start", "length", "ids_crc32", "doc_tokens"],
-            )
-
-    kind = pieces.schema["id"].dataType.simpleString()
-    rows = written(pieces.mapInArrow(digested, f"id {kind}, start long, length long, ids_crc32 long, doc_tokens long"), "pieces")
+    """Pieces with a checksum of their ids, placed in sequences."""
+
+    def digested(batch: pa.RecordBatch) -> pa.RecordBatch:
+        bounds, flat = batch.column(3).offsets.to_numpy().tolist(), batch.column(3).values.to_numpy().astype("<u4").data
+        sums = [zlib.crc32(flat[a:b]) for a, b in zip(bounds, bounds[1:])]
+        return batch.set_column(3, "ids_crc32", pa.array(sums, pa.int64()))
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    view = (digested, f"id {kind}, start long, length long, ids_crc32 long, doc_tokens long")
+    rows = written(packing.pieces_of(docs, vocabulary, END_ID, CAPACITY, view=view), "pieces")
     return packing.pack(rows, CAPACITY).withColumnRenamed("id", "doc_id")
 
 
