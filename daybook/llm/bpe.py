@@ -5,7 +5,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import cache
 from heapq import heappop, heappush
 from struct import pack
@@ -44,18 +44,6 @@ class RankQueue:
             self.top |= 1 << word
         self.low[word] |= 1 << (rank & 255)
 
-    def fill(self, ranks: list[int]) -> None:
-        """Push every position of an empty queue with its rank; -1 is none."""
-        buckets, low, top = self.buckets, self.low, 0
-        for position, rank in enumerate(ranks):
-            if rank >= 0:
-                bucket = buckets[rank]
-                if not bucket:
-                    low[rank >> 8] |= 1 << (rank & 255)
-                    top |= 1 << (rank >> 8)
-                bucket.append(position)  # rising positions are a heap
-        self.top = top
-
     def pop(self) -> tuple[int, int]:
         """Lowest rank and its leftmost position; (-1, -1) once empty."""
         top = self.top
@@ -120,32 +108,60 @@ class BytePairs:
         return BytePairs(path, pattern)
 
     def merge(self, piece: bytes) -> list[int]:
-        """Ids of one pre-token: the pair of lowest rank is merged first, of equal ones the leftmost."""
-        rank_of, push, pop, n = self.ranks.get, self.queue.push, self.queue.pop, len(piece)
+        """Ids of one pre-token: the pair of lowest rank is merged first, of equal ones the leftmost.
+
+        The steps of ``RankQueue`` are written out here on its buckets and words, as a call per step costs as much as the step.
+        """
+        rank_of, buckets, low, n = self.ranks.get, self.queue.buckets, self.queue.low, len(piece)
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
         # rank of the pair that begins at each position
         current = [rank_of(piece[i : i + 2], -1) for i in range(n - 1)]
         current.append(-1)
-        self.queue.fill(current)
-        while True:
-            rank, at = pop()
-            if rank < 0:
-                break
+        top = 0
+        for at, rank in enumerate(current):
+            if rank >= 0:
+                bucket = buckets[rank]
+                if not bucket:
+                    word = rank >> 8
+                    low[word] |= 1 << (rank & 255)
+                    top |= 1 << word
+                bucket.append(at)  # rising positions are a heap
+        while top:
+            word = (top & -top).bit_length() - 1
+            bits = low[word]
+            lowest = bits & -bits
+            rank = (word << 8) + lowest.bit_length() - 1
+            bucket = buckets[rank]
+            if len(bucket) > 1:
+                at = heappop(bucket)
+            else:
+                at = bucket.pop()
+                low[word] = bits = bits ^ lowest
+                if not bits:
+                    top &= top - 1
             if current[at] != rank:
                 continue  # stale: one of the pair has been merged since
             gone = after[at]
             end = after[at] = after[gone]
             current[gone] = current[at] = -1
+            left = before[at]
             if end < n:
                 before[end] = at
-                rank = current[at] = rank_of(piece[at : after[end]], -1)
-                if rank >= 0:
-                    push(rank, at)
-            left = before[at]
-            if left >= 0:
-                rank = current[left] = rank_of(piece[left:end], -1)
+                changed = ((at, piece[at : after[end]]), (left, piece[left:end])) if left >= 0 else ((at, piece[at : after[end]]),)
+            else:
+                changed = ((left, piece[left:end]),) if left >= 0 else ()
+            for at, pair in changed:
+                rank = current[at] = rank_of(pair, -1)
                 if rank >= 0:
-                    push(rank, left)
+                    bucket = buckets[rank]
+                    if bucket:
+                        heappush(bucket, at)
+                    else:
+                        bucket.append(at)
+                        word = rank >> 8
+                        if not low[word]:
+                            top |= 1 << word
+                        low[word] |= 1 << (rank & 255)
         ranks, ids, at = self.ranks, [], 0
         while at < n:
             ids.append(ranks[piece[at : after[at]]])
@@ -182,18 +198,26 @@ class BytePairs:
         return b"".join(map(self.tokens.__getitem__, ids.tolist()))
 
 
-def encoded(docs: DataFrame, ranks: str, pattern: str, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """(id, ids array<int>): the ids of every whole text; none for a null or empty one. Other columns are not read."""
+def encoded(
+    docs: DataFrame, ranks: str, pattern: str, id_column: str = "doc_id", text_column: str = "text",
+    view: tuple[Callable[[pa.RecordBatch], pa.RecordBatch], str] | None = None,
+) -> DataFrame:
+    """(id, ids array<int>): the ids of every whole text; none for a null or empty one. Other columns are not read.
+
+    Every row gives one row, also where ids or whole rows repeat; an empty table gives none. ``view`` (a function of
+    such batches, the schema of what it returns) says what leaves the task instead.
+    """
     kind = docs.schema[id_column].dataType.simpleString()
+    shape, schema = view or (lambda batch: batch, f"id {kind}, ids array<int>")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pairs = BytePairs.of(ranks, pattern)
         for part in slices(batches, "text"):
             found = [np.frombuffer(pairs.encode(t), "<u4").view(np.int32) for t in texts_of(part)]
             ends = pa.array(np.cumsum([0, *map(len, found)]), pa.int32())
-            yield pa.RecordBatch.from_arrays([part.column(0), pa.ListArray.from_arrays(ends, pa.array(np.concatenate(found)))], ["id", "ids"])
+            yield shape(pa.RecordBatch.from_arrays([part.column(0), pa.ListArray.from_arrays(ends, pa.array(np.concatenate(found)))], ["id", "ids"]))
 
-    return docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text")).mapInArrow(run, f"id {kind}, ids array<int>")
+    return docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text")).mapInArrow(run, schema)
 
 
 def decoded(ids: DataFrame, ranks: str, pattern: str) -> DataFrame:
@@ -210,21 +234,30 @@ def decoded(ids: DataFrame, ranks: str, pattern: str) -> DataFrame:
     return ids.select("id", F.coalesce("ids", F.array().cast("array<int>")).alias("ids")).mapInArrow(run, f"id {kind}, ids array<int>, bytes binary")
 
 
+def digest_view(id_type: str, ranks: str, pattern: str) -> tuple[Callable[[pa.RecordBatch], pa.RecordBatch], str]:
+    """``view`` of ``encoded``: (id, n_tokens, ids_sha256, decoded_sha256), digests of the decimal ids joined by commas and
+    of the bytes that the ids decode to."""
+
+    def digested(batch: pa.RecordBatch) -> pa.RecordBatch:
+        pairs = BytePairs.of(ranks, pattern)
+        bounds, flat = batch.column(1).offsets.to_numpy(), batch.column(1).values.to_numpy()
+        rows = [flat[a:b].tolist() for a, b in zip(bounds, bounds[1:])]
+        listed = [hashlib.sha256(",".join(map(pairs.decimals.__getitem__, row)).encode()).hexdigest() for row in rows]
+        back = [hashlib.sha256(b"".join(map(pairs.tokens.__getitem__, row))).hexdigest() for row in rows]
+        return pa.RecordBatch.from_arrays(
+            [batch.column(0), pa.array(map(len, rows), pa.int64()), pa.array(listed, pa.string()), pa.array(back, pa.string())],
+            ["id", "n_tokens", "ids_sha256", "decoded_sha256"],
+        )
+
+    return digested, f"id {id_type}, n_tokens long, ids_sha256 string, decoded_sha256 string"
+
+
 def digests(ids: DataFrame, ranks: str, pattern: str) -> DataFrame:
-    """(id, n_tokens, ids_sha256, decoded_sha256) of ``encoded`` rows: of the decimal ids joined by commas, and of the
-    bytes that they decode to. Ids are decoded where they are digested, so their bytes never leave the task."""
-    kind = ids.schema["id"].dataType.simpleString()
+    """``digest_view`` of rows (id, ids array<int>) that were encoded before; null ids count as none."""
+    shape, schema = digest_view(ids.schema["id"].dataType.simpleString(), ranks, pattern)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pairs = BytePairs.of(ranks, pattern)
         for part in slices(batches, "ids"):
-            bounds, flat = part.column(1).offsets.to_numpy(), part.column(1).values.to_numpy()
-            rows = [flat[a:b].tolist() for a, b in zip(bounds, bounds[1:])]
-            listed = [hashlib.sha256(",".join(map(pairs.decimals.__getitem__, row)).encode()).hexdigest() for row in rows]
-            back = [hashlib.sha256(b"".join(map(pairs.tokens.__getitem__, row))).hexdigest() for row in rows]
-            yield pa.RecordBatch.from_arrays(
-                [part.column(0), pa.array(map(len, rows), pa.int64()), pa.array(listed, pa.string()), pa.array(back, pa.string())],
-                ["id", "n_tokens", "ids_sha256", "decoded_sha256"],
-            )
-
-    return ids.mapInArrow(run, f"id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")
+            yield shape(part)
+
+    return ids.select("id", F.coalesce("ids", F.array().cast("array<int>")).alias("ids")).mapInArrow(run, schema)

@@ -38,8 +38,9 @@ def packed_pieces(docs: DataFrame, vocabulary: str) -> DataFrame:
 
 def op2_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     ranks, pattern = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
-    ids = bpe.encoded(read_table(spark, folder, "documents"), ranks, pattern)
-    return bpe.digests(ids, ranks, pattern).withColumnRenamed("id", "doc_id")
+    docs = read_table(spark, folder, "documents")
+    view = bpe.digest_view(docs.schema["doc_id"].dataType.simpleString(), ranks, pattern)
+    return bpe.encoded(docs, ranks, pattern, view=view).withColumnRenamed("id", "doc_id")
 
 
 def op3_warc(spark: SparkSession, folder: str) -> DataFrame:
