@@ -73,4 +73,76 @@ SELECT d.doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(coalesce(n_removed,
 FROM d LEFT JOIN kept USING (doc_id)
 """
 
-ORACLES = {"op3_warc": _WARC, "op4_license_scan": _LICENSE_SCAN, "op7_topk": _TOPK, "op8_substring_dedup": _SUBSTRING}
+_LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+
+_LEXICAL = rf"""
+WITH t AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(text, {_LOWER}), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM documents
+), tf AS (SELECT doc_id, term, count(*) AS tf FROM t GROUP BY ALL
+), n AS (SELECT doc_id, CAST(sum(tf) AS BIGINT) AS n FROM tf GROUP BY ALL
+), c AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS terms FROM n
+), w AS (
+  SELECT term, CAST(floor(1000 * ln((2 * any_value(docs) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM tf, c GROUP BY term
+), m AS (SELECT doc_id, 25 + (75 * n * docs) // terms AS m FROM n, c
+), i AS (
+  SELECT item_id, unnest(regexp_extract_all(translate(text, {_LOWER}), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark
+), s AS (
+  SELECT item_id, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS BIGINT) AS score
+  FROM i JOIN tf USING (term) JOIN w USING (term) JOIN m USING (doc_id) GROUP BY ALL
+), r AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM s WHERE score > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM r WHERE rank <= 10
+"""
+
+_SPELLING = rf"""
+WITH RECURSIVE crc AS (
+  SELECT [list_reduce(range(8), lambda c, i: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END, b) FOR b IN range(256)] AS crc
+), t AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(text, {_LOWER}), '[A-Za-z\x{{C0}}-\x{{FF}}]+')) AS run FROM documents
+), d AS (SELECT coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run AS line, run, count(*) AS n FROM t GROUP BY ALL
+), bytes AS (
+  SELECT run, n, flatten([CASE WHEN unicode(c) < 128 THEN [CAST(unicode(c) AS BIGINT)] ELSE [192 + (unicode(c) >> 6), 128 + (unicode(c) & 63)] END
+    FOR c IN string_split(line, '')]) AS b FROM d
+), h AS (
+  SELECT run, n, xor(4294967295, list_reduce(b, lambda c, x: xor(crc[1 + (xor(c, x) & 255)], c >> 8), CAST(4294967295 AS BIGINT))) AS h FROM bytes, crc
+), changed AS (
+  SELECT CASE WHEN h % 199 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, n FROM h
+), words AS (
+  SELECT word, CAST(sum(n) AS BIGINT) AS n FROM changed WHERE length(word) >= 6 GROUP BY word HAVING sum(n) >= 5
+), places AS (SELECT word, unnest(range(1, length(word) + 1)) AS place FROM words
+), less AS (SELECT word, place, substr(word, 1, place - 1) || substr(word, place + 1) AS part FROM places
+), near AS (
+  SELECT l.word, w.word AS other FROM less l JOIN words w ON l.part = w.word
+  UNION SELECT w.word, l.word FROM less l JOIN words w ON l.part = w.word
+  UNION SELECT l.word, r.word FROM less l JOIN less r ON l.place = r.place AND l.part = r.part AND l.word <> r.word
+), best AS (
+  SELECT near.word, other, n, row_number() OVER (PARTITION BY near.word ORDER BY n DESC, other) AS nth, count(*) OVER (PARTITION BY near.word) AS n_near
+  FROM near JOIN words ON words.word = other
+), forms AS (
+  SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN b.n >= 5 * w.n THEN other END AS form, CASE WHEN b.n >= 5 * w.n THEN b.n END AS form_n
+  FROM words w LEFT JOIN (SELECT * FROM best WHERE nth = 1) b ON b.word = w.word
+), steps AS (
+  SELECT word, form AS root FROM forms WHERE form IS NOT NULL
+  UNION ALL SELECT steps.word, forms.form FROM steps JOIN forms ON steps.root = forms.word WHERE forms.form IS NOT NULL
+), last AS (SELECT word, root FROM steps WHERE root NOT IN (SELECT word FROM forms WHERE form IS NOT NULL))
+SELECT forms.word, form, coalesce(root, forms.word) AS root, n, CAST(n_near AS BIGINT) AS n_near, form_n FROM forms LEFT JOIN last ON last.word = forms.word
+"""
+
+_NGRAM_JOIN = rf"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, [w FOR w IN regexp_split_to_array(translate(coalesce(text, ''), {_LOWER}), '[\x20\x09-\x0D]+') IF w <> ''] AS words FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, unnest([array_to_string(list_slice(words, i, i + 3), ' ') FOR i IN range(1, greatest(2, len(words) - 2))]) AS gram FROM d WHERE len(words) > 0
+), n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+), p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared FROM s a JOIN s b USING (gram) WHERE a.doc_id <> b.doc_id GROUP BY ALL
+), links AS (
+  SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * shared >= 85 * (x.n + y.n - shared)
+), reached AS (
+  SELECT doc_id AS a, doc_id AS b FROM d UNION SELECT reached.a, links.b FROM reached JOIN links ON links.a = reached.b
+), c AS (SELECT a AS doc_id, min(b) AS component_id FROM reached GROUP BY a)
+SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, component_id FROM c LEFT JOIN n USING (doc_id)
+"""
+
+ORACLES = {
+    "op3_warc": _WARC, "op4_license_scan": _LICENSE_SCAN, "op7_topk": _TOPK, "op8_substring_dedup": _SUBSTRING, "op11_lexical_search": _LEXICAL,
+    "op12_spelling_variants": _SPELLING, "op13_ngram_join": _NGRAM_JOIN,
+}

@@ -3,14 +3,13 @@
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
 
 import pyarrow as pa
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daybook.llm import bpe, language, licences, packing, sharding, simhash, spotsigs, substring, topk, warc
+from daybook.llm import bpe, language, lexical, licences, ngram_join, packing, sharding, simhash, spelling, spotsigs, substring, topk, warc
 from daybook.llm.check_sql import ORACLES as ORACLES
 from daybook.llm.tables import read_table, written
 
@@ -85,6 +84,20 @@ def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_lexical_search(spark: SparkSession, folder: str) -> DataFrame:
+    rows = lexical.top_documents(read_table(spark, folder, "documents"), read_table(spark, folder, "benchmark"), 10)
+    return rows.select(F.col("item").alias("item_id"), "rank", F.col("doc").alias("doc_id"), "score")
+
+
+def op12_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.variants(read_table(spark, folder, "documents"))
+
+
+def op13_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
+    rows = ngram_join.linked(read_table(spark, folder, "documents"))
+    return rows.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"))
+
+
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     from corpus_pipeline import run
 
@@ -95,6 +108,6 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_packing, op2_byte_bpe, op3_warc, op4_license_scan, op5_spotsigs, op6_language_id, op7_topk, op8_substring_dedup,
-        op9_sharding, op10_simhash, pipeline,
+        op9_sharding, op10_simhash, op11_lexical_search, op12_spelling_variants, op13_ngram_join, pipeline,
     )
 }
