@@ -43,6 +43,14 @@ def argmax_class(scores: Sequence[str]) -> str:
     return case([(f"({s}) = {top}", str(k)) for k, s in enumerate(scores)])
 
 
+def likeliest_class(probabilities: Sequence[str]) -> str:
+    """Expression text: the class of largest probability, the lowest on ties.
+
+    Probabilities are compared to 9 digits: sums of doubles that mean the same can differ in the last bits.
+    """
+    return argmax_class([f"round({p}, 9)" for p in probabilities])
+
+
 def softmax(scores: Sequence[str]) -> list[str]:
     """Expression texts: class probabilities, shifted by the largest score before ``exp``."""
     top = f"greatest({', '.join(scores)})" if len(scores) > 1 else scores[0]

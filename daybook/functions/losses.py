@@ -50,14 +50,15 @@ def newton_leaf(g: str, h: str, lam: str = "1D") -> str:
 
 
 def squared_gain(nl: str, sl: str, n: str, s: str) -> str:
-    """Drop of the mean squared error; the sum of squares cancels out of the difference."""
-    left, right = f"try_divide({sl} * {sl}, {nl})", f"try_divide(({s} - {sl}) * ({s} - {sl}), {n} - {nl})"
-    return f"(({left} + {right} - {s} * {s} / {n}) / {n})"
+    """Drop of the mean squared error, by the difference of the sides' means: an offset of the target cancels out first."""
+    left, right = f"try_divide({sl}, {nl})", f"try_divide({s} - {sl}, {n} - {nl})"
+    return f"({nl} * ({n} - {nl}) / ({n} * {n}) * pow({left} - {right}, 2))"
 
 
 def squared_size(nl: str, sl: str, n: str, s: str) -> str:
-    """The same for the drop of the mean squared error."""
-    return f"((try_divide({sl} * {sl}, {nl}) + try_divide(({s} - {sl}) * ({s} - {sl}), {n} - {nl})) / {n})"
+    """The drop that means of this size would give by a difference in their eleventh digit, over the share that counts."""
+    left, right = f"try_divide({sl}, {nl})", f"try_divide({s} - {sl}, {n} - {nl})"
+    return f"(1E-10D * {nl} * ({n} - {nl}) / ({n} * {n}) * pow(abs({left}) + abs({right}), 2))"
 
 
 def gini_gain(left: Sequence[str], total: Sequence[str]) -> str:

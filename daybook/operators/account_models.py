@@ -15,7 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daybook.functions.classes import argmax_class
+from daybook.functions.classes import argmax_class, likeliest_class
 from daybook.functions.losses import HESSIAN_FLOOR, newton_leaf
 from daybook.functions.text import case, name, number
 from daybook.operators.boosting import BoostParams
@@ -161,4 +161,4 @@ def _scores(frame: DataFrame, params: BoostParams, classes: bool) -> DataFrame:
     wide = _probabilities(frame).groupBy("account_id", "day", "part").agg(
         *[F.expr(f"max(IF(tree = {k}, p, NULL))").alias(n) for k, n in enumerate(names)]
     )
-    return wide.withColumn("pred", F.expr(f"IF(p0 IS NULL, NULL, {argmax_class(names)})"))
+    return wide.withColumn("pred", F.expr(f"IF(p0 IS NULL, NULL, {likeliest_class(names)})"))

@@ -15,7 +15,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daybook.functions.classes import argmax_class, softmax
+from daybook.functions.classes import likeliest_class, softmax
 from daybook.functions.losses import relu
 from daybook.functions.text import name, number
 
@@ -57,7 +57,7 @@ class DenseNet:
     def predict(self, rows: DataFrame, features: Sequence[str]) -> DataFrame:
         outputs = [f"o{j}" for j in range(self.weights[-1].shape[1])]
         scored = self.forward(rows, features)
-        pred = F.expr(argmax_class(outputs)) if self.task == "class" else F.col("o0")
+        pred = F.expr(likeliest_class(outputs)) if self.task == "class" else F.col("o0")
         return scored.withColumn("pred", pred)
 
 

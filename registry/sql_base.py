@@ -106,10 +106,6 @@ def _gini(counts: list[str], n: str) -> str:
     return "(1 - (" + " + ".join(f"{c} * {c}" for c in counts) + f") / ({n} * {n}))"
 
 
-def _variance(n: str, s: str, q: str) -> str:
-    return f"({q} / {n} - ({s} / {n}) * ({s} / {n}))"
-
-
 STATS = {"gini": ("n", "c0", "c1", "c2"), "mse": ("n", "s", "q"), "newton": ("n", "g", "h")}
 
 
@@ -124,10 +120,8 @@ def gain_sql(kind: str, lam: float = 1.0, gamma: float = 0.0) -> str:
             f" - ({right['n']} / t_n) * {_gini([right[c] for c in names], right['n'])}"
         )
     if kind == "mse":
-        return (
-            f"{_variance('t_n', 't_s', 't_q')} - (l_n / t_n) * {_variance('l_n', 'l_s', 'l_q')}"
-            f" - ({right['n']} / t_n) * {_variance(right['n'], right['s'], right['q'])}"
-        )
+        # The drop of the variance, written with the difference of the sides' means so that an offset cancels out first.
+        return f"(l_n * {right['n']} / (t_n * t_n)) * pow(l_s / l_n - {right['s']} / {right['n']}, 2)"
     return (
         f"0.5 * (l_g * l_g / (l_h + {lam}) + {right['g']} * {right['g']} / ({right['h']} + {lam})"
         f" - t_g * t_g / (t_h + {lam})) - {gamma}"
@@ -140,7 +134,7 @@ def size_sql(kind: str, lam: float = 1.0) -> str:
     if kind == "gini":
         return "1"
     if kind == "mse":
-        return f"(l_s * l_s / l_n + {right['s']} * {right['s']} / {right['n']}) / t_n"
+        return f"1e-10 * (l_n * {right['n']} / (t_n * t_n)) * pow(abs(l_s / l_n) + abs({right['s']} / {right['n']}), 2)"
     return f"0.5 * (l_g * l_g / (l_h + {lam}) + {right['g']} * {right['g']} / ({right['h']} + {lam}))"
 
 
@@ -392,11 +386,12 @@ def amount_scores(prefix: str, rounds: int) -> str:
 
 
 def class_scores(prefix: str, rounds: int) -> str:
-    """Probabilities to 6 digits, and the class of the largest (lowest on ties)."""
+    """Probabilities to 6 digits, and the class of the largest (lowest on ties, compared to 9 digits)."""
+    r = [f"round(p{k}, 9)" for k in range(3)]
     probabilities = ", ".join(f"max(CASE WHEN tree % 3 = {k} THEN p END) AS p{k}" for k in range(3))
     return (
         f"SELECT account_id, day, part, round(p0, 6) AS p0, round(p1, 6) AS p1, round(p2, 6) AS p2, "
-        f"CASE WHEN p0 IS NULL THEN NULL WHEN p0 >= p1 AND p0 >= p2 THEN 0 WHEN p1 >= p2 THEN 1 ELSE 2 END AS pred FROM ("
+        f"CASE WHEN p0 IS NULL THEN NULL WHEN {r[0]} >= {r[1]} AND {r[0]} >= {r[2]} THEN 0 WHEN {r[1]} >= {r[2]} THEN 1 ELSE 2 END AS pred FROM ("
         f"SELECT account_id, day, part, {probabilities} FROM (SELECT s.account_id, s.day, r.part, s.tree, exp(s.f - top) "
         f"/ sum(exp(s.f - top)) OVER (PARTITION BY s.account_id, s.day) AS p FROM (SELECT *, max(f) OVER "
         f"(PARTITION BY account_id, day) AS top FROM {prefix}_f{rounds}) s "

@@ -23,9 +23,8 @@ def node_gain(kind, left, right, lam, gamma):
         n = len(whole)
         return impurity(whole) - len(left) / n * impurity(left) - len(right) / n * impurity(right), 1.0
     if kind == "mse":
-        whole = np.concatenate([left, right])
-        n = len(whole)
-        return whole.var() - len(left) / n * left.var() - len(right) / n * right.var(), (left.sum() ** 2 / len(left) + right.sum() ** 2 / len(right)) / n
+        share, a, b = len(left) * len(right) / (len(left) + len(right)) ** 2, left.mean(), right.mean()
+        return share * (a - b) ** 2, 1e-10 * share * (abs(a) + abs(b)) ** 2
 
     def score(part):
         return part[:, 0].sum() ** 2 / (part[:, 1].sum() + lam)

@@ -5,6 +5,7 @@ import pytest
 from brute import boost, depth_tree, softmax
 from pyspark.sql import functions as F
 
+from daybook.functions.classes import likeliest_class
 from daybook.operators.boosting import BoostParams, fit_boosted
 from daybook.operators.sampling import Goss
 from daybook.operators.single_tree import forest_classify, tree_classify, tree_regress
@@ -68,6 +69,21 @@ def test_boosting_equals_numpy(frame, params):
         assert np.allclose(want[:, 0], predicted(frame, scored, ["pred"])[:, 0], atol=1e-9)
 
 
+def test_cuts_beside_an_offset(spark):
+    """A small difference far from zero is a cut, whatever else the target holds; rounding of equal values is none."""
+    values = [0.0] + [1 - 2e-7] * 50 + [1.0] * 50
+    rows = spark.createDataFrame([(float(i), v) for i, v in enumerate(values)], "x double, y double")
+    tree = tree_regress(rows, ["x"], max_depth=2).trees[0]
+    assert tree.nodes[1].threshold == 0.0 and tree.nodes[3].threshold == 50.0
+    equal = spark.range(1000).selectExpr("double(id) AS x", "1e9 + 0.1D AS y").repartition(7)
+    assert tree_regress(equal, ["x"]).trees[0].nodes[1].is_leaf
+
+
+def test_equal_probabilities_name_the_lowest_class(spark):
+    rows = spark.createDataFrame([(0.1 + 0.2, 0.3, 0.1), (0.3, 0.1 + 0.2, 0.1), (0.2, 0.3, 0.3 + 1e-8)], "p0 double, p1 double, p2 double")
+    assert [r[0] for r in rows.selectExpr(likeliest_class(["p0", "p1", "p2"])).collect()] == [0, 0, 2]
+
+
 def test_written_rounds_do_not_change_the_fit(frame):
     """Seven rounds cross a write of the frame; the error never rises and the scores match NumPy."""
     x, train, _, y = arrays(frame)

@@ -7,8 +7,8 @@ from registry.compare import compare, duck
 
 QUERIES = entry.queries()
 ORACLES = entry.oracle_sql()
-# Long: the comparison is tested on a small frame in test_fits.py, the sweep has check SQL.
-SLOW = {"compare_models", "sweep_leaves"}
+# Long: the comparison is tested on a small frame in test_fits.py.
+SLOW = {"compare_models"}
 
 
 @pytest.fixture(scope="module")
