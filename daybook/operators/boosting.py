@@ -16,7 +16,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daybook.functions.classes import argmax_class, softmax
+from daybook.functions.classes import likeliest_class, softmax
 from daybook.functions.losses import softmax_gradient, squared_gradient
 from daybook.functions.text import name, number
 from daybook.operators.grower import Grower, Plan
@@ -72,6 +72,21 @@ class BoostedModel:
         ]
         return model_table(spark, rows)
 
+    def sums_table(self, spark) -> DataFrame:
+        """The run as a sum of trees: the start score is round 0, leaf values carry the learning rate.
+
+        ``ensemble.predict_from_table`` needs nothing else.
+        """
+        starts = [(self.name, 0, k, 1, True, None, None, None, None, self.start) for k in range(self.params.outputs)]
+        rate = self.params.learning_rate
+        rows = [
+            (*r[:-1], None if r[-1] is None else rate * r[-1])
+            for number, group in enumerate(self.trees, start=1)
+            for cls, tree in enumerate(group)
+            for r in tree.rows(self.features, self.name, number, cls)
+        ]
+        return model_table(spark, starts + rows)
+
     def score(self, rows: DataFrame, names: Sequence[str], rounds: int | None = None) -> DataFrame:
         """Adds the raw scores: start + learning rate times the sum of the trees.
 
@@ -94,7 +109,7 @@ class BoostedModel:
         probabilities = [f"p{k}" for k in range(len(names))]
         scored = self.score(rows, names, rounds)
         scored = scored.selectExpr("*", *[f"{e} AS {p}" for e, p in zip(softmax(names), probabilities)])
-        return scored.withColumn("pred", F.expr(argmax_class(probabilities))).drop(*names)
+        return scored.withColumn("pred", F.expr(likeliest_class(probabilities))).drop(*names)
 
 
 def fit_boosted(
@@ -243,7 +258,7 @@ def _curve(frame, active, columns, goal, number):
         if params.task == "amount":
             metrics[name] = F.avg(F.pow(F.col(goal) - F.col(columns[name][0]), F.lit(2)))
         else:
-            metrics[name] = F.expr(f"avg(double(({argmax_class(columns[name])}) = {goal}))")
+            metrics[name] = F.expr(f"avg(double(({likeliest_class(softmax(columns[name]))}) = {goal}))")
     row = frame.agg(*[m.alias(f"m{i}") for i, m in enumerate(metrics.values())]).first()
     label = "mse" if next(iter(active.values())).task == "amount" else "accuracy"
     return [(name, number, label, float(row[f"m{i}"])) for i, name in enumerate(metrics)]

@@ -113,6 +113,10 @@ class Grower:
         rows = self._node_rows(plans, nodes)
         return rows.selectExpr("tree", "node", "posexplode_outer(__inputs) AS (feature, value)", *stats)
 
+    def _find(self, plans: Sequence[Plan], trees: Sequence[Tree], ids: dict[int, set[int]]) -> dict[tuple[int, int], dict]:
+        """The best cut of each node of ``ids``, with the node's totals; ``gain`` is null where no cut is allowed."""
+        return self._search(plans, {t: trees[t].leaf_id(self.features, nodes) for t, nodes in ids.items()})
+
     def _search(self, plans: Sequence[Plan], nodes: dict[int, str]) -> dict[tuple[int, int], dict]:
         criterion = criterion_of(self.kind, plans, self.n_classes)
         cells = self._cells(plans, nodes, criterion.stats)
@@ -155,8 +159,7 @@ class Grower:
         frontier = {t: {1} for t in range(len(plans))}
         depth = 0
         while frontier:
-            nodes = {t: trees[t].leaf_id(self.features, ids) for t, ids in frontier.items()}
-            found = self._search(plans, nodes)
+            found = self._find(plans, trees, frontier)
             following: dict[int, set[int]] = {}
             for (t, node_id), cut in found.items():
                 self._set_totals(trees[t], node_id, cut)
@@ -183,8 +186,7 @@ class Grower:
         created = [1] * len(plans)
         pending = {t: {1} for t in range(len(plans))}
         while pending:
-            nodes = {t: full[t].leaf_id(self.features, ids) for t, ids in pending.items()}
-            found = self._search(plans, nodes)
+            found = self._find(plans, full, pending)
             for t, ids in pending.items():
                 searched[t] |= ids
             for (t, node_id), cut in sorted(found.items(), key=lambda item: item[0]):

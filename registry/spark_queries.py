@@ -19,7 +19,9 @@ from daybook.operators import sampling as S
 from daybook.operators import score as Z
 from daybook.operators import single_tree as T
 from daybook.operators import splits as P
+from daybook.operators.binned import fit_binned
 from daybook.operators.boosting import BoostParams, fit_boosted
+from daybook.operators.ensemble import predict_from_table
 from daybook.operators.sampling import Goss
 from daybook.operators.trees import Node, Tree
 from daybook.plans import compare as C
@@ -547,6 +549,56 @@ def sweep_leaves(spark, folder):
     return _released(frame, result.select("task", "model", "metric", *r6("value")))
 
 
+# --- long fits on binned features ------------------------------------------------------------------------
+
+#: A bin per distinct value as far as that goes; beyond it bins of equal numbers of rows.
+BINS = 4096
+
+
+def _binned(spark, folder, params, table=events):
+    """Fitted on bins, written as a model table, read back and applied."""
+    frame = model_frame(table(spark, folder))
+    model = fit_binned(frame.train, X, {"m": params}, max_bins=BINS)[0]["m"]
+    kept = cut_lineage(model.sums_table(spark)).rows
+    scored = predict_from_table(frame.rows, kept, X, params.task)
+    values = ["pred"] if params.task == "amount" else ["p0", "p1", "p2"]
+    label = [] if params.task == "amount" else ["pred"]
+    return _released(frame, scored.select("account_id", "day", "part", *r6(*values), *label))
+
+
+def gb_regress_binned(spark, folder):
+    return _binned(spark, folder, _short(OWN_R["boosted"], rounds=30))
+
+
+def gb_classify_binned(spark, folder):
+    return _binned(spark, folder, _short(OWN_C["boosted"], rounds=15))
+
+
+def newton_regress_binned(spark, folder):
+    return _binned(spark, folder, _short(OWN_R["newton"], rounds=40, gamma=0.0))
+
+
+def newton_classify_binned(spark, folder):
+    return _binned(spark, folder, _short(OWN_C["newton"], rounds=25))
+
+
+def oblivious_regress_binned(spark, folder):
+    return _binned(spark, folder, _short(OWN_R["oblivious"], rounds=30))
+
+
+def oblivious_classify_binned(spark, folder):
+    return _binned(spark, folder, _short(OWN_C["oblivious"], rounds=15))
+
+
+def leafwise_regress_binned(spark, folder):
+    """The library run's settings, which sample no rows."""
+    return _binned(spark, folder, _short(presets.LIBRARY_REGRESSORS["leafwise"], rounds=6))
+
+
+def predict_from_table_query(spark, folder):
+    return _binned(spark, folder, _short(OWN_R["newton"], rounds=40, gamma=0.0), orders)
+
+
 # --- one model per account -------------------------------------------------------------------------------
 
 
@@ -868,6 +920,14 @@ QUERIES = {
     "newton_regress": newton_regress,
     "newton_classify": newton_classify,
     "ensemble_scores": ensemble_scores,
+    "predict_from_table": predict_from_table_query,
+    "gb_regress_binned": gb_regress_binned,
+    "gb_classify_binned": gb_classify_binned,
+    "newton_regress_binned": newton_regress_binned,
+    "newton_classify_binned": newton_classify_binned,
+    "oblivious_regress_binned": oblivious_regress_binned,
+    "oblivious_classify_binned": oblivious_classify_binned,
+    "leafwise_regress_binned": leafwise_regress_binned,
     "leafwise_tree": leafwise_tree,
     "leafwise_regress": leafwise_regress,
     "leafwise_classify": leafwise_classify,
