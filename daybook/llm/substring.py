@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -13,15 +15,12 @@ from pyspark.sql import types as T
 
 from daybook.llm.tables import partitions, slices
 
-_SPACE = np.zeros(256, bool)
-_SPACE[[9, 10, 11, 12, 13, 32]] = True
-_SEEDS = np.random.default_rng(20).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-#: Two sets of odd multipliers: two independent 64-bit hashes of a window.
+#: Two seeds for words and two sets of odd multipliers: two independent 64-bit hashes of a window.
+_WORD_SEEDS = (0, 0x2545F4914F6CDD1D)
 _FAMILY = (
     (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB),
     (0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93),
 )
-_CHUNK = 1 << 20
 #: Texts that are settled among themselves before they ask the rest of the corpus.
 SLICE_BYTES, SLICE_DOCUMENTS = 5 << 20, 2048
 
@@ -31,30 +30,10 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(29))
 
 
-def word_hashes(data: bytes) -> np.ndarray:
-    """64-bit hash of each word of ``data``; words are runs without space, tab, line feed, VT, FF or CR."""
-    parts, at = [], 0
-    while at < len(data):
-        end = min(len(data), at + _CHUNK)
-        while end < len(data) and not _SPACE[data[end]]:  # cut between words
-            end += 1
-        raw = np.frombuffer(data, np.uint8, end - at, at)
-        inside = ~_SPACE[raw]
-        first = inside.copy()
-        first[1:] &= ~inside[:-1]
-        starts = np.flatnonzero(first)
-        if len(starts):
-            begin = np.zeros(len(raw), np.int64)
-            begin[starts] = np.diff(starts, prepend=0)
-            offset = np.arange(len(raw)) - np.cumsum(begin)
-            top = int(offset[inside].max()) + 1
-            powers = np.full(top, 0x100000001B3, np.uint64)
-            powers[0] = 1
-            powers = np.cumprod(powers, dtype=np.uint64)
-            value = np.where(inside, _SEEDS[raw] * powers[np.clip(offset, 0, top - 1)], np.uint64(0))
-            parts.append(_mix(np.add.reduceat(value, starts)))
-        at = end
-    return np.concatenate(parts) if parts else np.empty(0, np.uint64)
+def word_hashes(data: bytes, family: int = 0) -> np.ndarray:
+    """XXH3 of each word of ``data``, with the family's seed; words are runs without space, tab, line feed, VT, FF or CR."""
+    words = data.split()
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, words, repeat(_WORD_SEEDS[family])), np.uint64, len(words))
 
 
 def _join(left: np.ndarray, right: np.ndarray, odd: tuple[int, int, int]) -> np.ndarray:
@@ -87,12 +66,22 @@ def _sliding(values: np.ndarray, width: int, best) -> np.ndarray:
 class _Slice:
     """The words of some documents in a row; windows that would cross a document are left out."""
 
-    def __init__(self, words: list[np.ndarray]):
+    def __init__(self, texts: list[bytes]):
+        words = [word_hashes(text) for text in texts]
+        self.texts = texts
         self.lengths = np.array([len(w) for w in words], np.int64)
         self.starts = np.cumsum(self.lengths) - self.lengths
         self.words = np.concatenate(words) if words else np.empty(0, np.uint64)
         self.doc = np.repeat(np.arange(len(words)), self.lengths)
 
+    def second_words(self, docs: np.ndarray) -> np.ndarray:
+        """Words by the other family's hash; only those of ``docs`` are set."""
+        words = np.zeros(len(self.words), np.uint64)
+        for doc in docs.tolist():
+            start = self.starts[doc]
+            words[start : start + self.lengths[doc]] = word_hashes(self.texts[doc], 1)
+        return words
+
     def whole(self, length: int) -> np.ndarray:
         """Which windows of ``length`` words lie in one document."""
         n = max(0, len(self.words) - length + 1)
@@ -146,7 +135,7 @@ def repeated_samples(docs: DataFrame, length: int, window: int, id_column: str,
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "text", SLICE_BYTES, SLICE_DOCUMENTS):
-            piece = _Slice([word_hashes((t or "").encode()) for t in part.column(2).to_pylist()])
+            piece = _Slice([(t or "").encode() for t in part.column(2).to_pylist()])
             hashes, _, sampled = piece.samples(length, window)
             at = np.flatnonzero(sampled)
             if not len(at):
@@ -245,7 +234,7 @@ def _counts(hashes: np.ndarray, docs: np.ndarray, pairs: np.ndarray) -> np.ndarr
 
 
 def _candidates(part: pa.RecordBatch, length: int, window: int) -> tuple[_Slice, np.ndarray]:
-    piece = _Slice([word_hashes(data) for data in _unpacked(part.column(2))])
+    piece = _Slice(_unpacked(part.column(2)))
     _, least, _ = piece.samples(length, window)
     alive = part.column(3).flatten().to_numpy(zero_copy_only=False).view(np.uint64)
     return piece, np.flatnonzero(np.isin(least, alive) & piece.whole(window)[: len(least)])
@@ -254,7 +243,8 @@ def _candidates(part: pa.RecordBatch, length: int, window: int) -> tuple[_Slice,
 def later_windows(packed: DataFrame, alive: DataFrame, length: int, window: int, id_column: str) -> DataFrame:
     """(doc, tie, starts array<int>, spans array<int>): windows of full length whose words also start earlier.
 
-    Order: id (none: last), tie, start. Windows are compared by 128 bits. Of equal windows in a slice all but the first
+    Order: id (none: last), tie, start. Windows are compared by two 64-bit hashes that start from differently seeded
+    XXH3 of their words. Of equal windows in a slice all but the first
     are known to be later and come as spans of words (begin, end, begin, end, ...); only the first asks the rest of the
     corpus, so a passage that many documents share has a row per slice.
     """
@@ -266,8 +256,9 @@ def later_windows(packed: DataFrame, alive: DataFrame, length: int, window: int,
             piece, at = _candidates(part, length, window)
             if not len(at):
                 continue
-            one, two = window_hashes(piece.words, window)[at], window_hashes(piece.words, window, 1)[at]
             owner = piece.doc[at]
+            one = window_hashes(piece.words, window)[at]
+            two = window_hashes(piece.second_words(np.unique(owner)), window, 1)[at]
             start = at - piece.starts[owner]
             rank = _order_of(part)[owner]
             order = np.lexsort((start, rank, two, one))
@@ -330,19 +321,24 @@ def covered(n_words: int, begins: np.ndarray, ends: np.ndarray) -> np.ndarray:
     return np.cumsum(edge[:-1]) > 0
 
 
-def without_repeats(docs: DataFrame, window: int = 20, doublings: int = 1, keep_layout: bool = False, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """``docs`` plus ``n_words``, ``n_removed`` and the text that is left: its words joined by one space.
+def without_repeats(
+    docs: DataFrame, window: int = 20, doublings: int = 2, keep_layout: bool = False, id_column: str = "doc_id", text_column: str = "text",
+    counts: tuple[str, str] = ("n_words", "n_removed"),
+) -> DataFrame:
+    """``docs`` plus ``counts`` and the text that is left: its words joined by one space. Columns named so are replaced.
 
     A word goes if a window of ``window`` words that covers it also starts earlier in the corpus: in a document of
     smaller id, or earlier in its own. Windows are judged on the input. Levels: windows of ``window / 2**doublings`` words
     are sampled and counted; those that repeat alone are extended to twice the length, until ``window`` is reached.
 
-    ``keep_layout`` leaves texts that lose nothing as they are. Null and empty texts have no words. Documents without an id come after all others; rows that repeat an id are told
-    apart by a text hash, identical rows count as one document and get equal results. Other columns are kept.
+    ``keep_layout`` leaves texts that lose nothing as they are. Null and empty texts have no words. Documents without an
+    id come after all others; rows that repeat an id are told apart by a text hash, identical rows count as one document
+    and get equal results. Other columns are kept.
     """
     if doublings < 1 or window % (1 << doublings):
         raise ValueError("window must be divisible by 2**doublings, with one doubling at least")
     length = window >> doublings
+    docs = docs.drop(*counts)
     packed = packed_documents(docs, id_column, text_column)
     alive = repeated_samples(docs, length, window, id_column, text_column)
     while 2 * length < window:
@@ -351,7 +347,7 @@ def without_repeats(docs: DataFrame, window: int = 20, doublings: int = 1, keep_
     joined = _with_lists(packed, later_windows(packed, alive, length, window, id_column), id_column, "left")
     schema = T.StructType(
         [T.StructField(f.name, T.StringType() if f.name == text_column else f.dataType) for f in docs.schema]
-        + [T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType())]
+        + [T.StructField(name, T.LongType()) for name in counts]
     )
     names = [f.name for f in docs.schema]
     ready = joined.select(*[F.col(f"`{n}`") if n != text_column else F.col("__blob") for n in names], "__starts", "__spans")

@@ -366,6 +366,17 @@ def test_repeats_of_few_words(spark, seed):
         assert got[i] == b" ".join(w for n, w in enumerate(words_of(text)) if n not in gone[i, 0]).decode()
 
 
+def test_words_that_a_polynomial_takes_for_equal(spark):
+    one = "a"
+    for _ in range(10):
+        one += one.translate({97: "b", 98: "a"})
+    other = one.translate({97: "b", 98: "a"})
+    same = " ".join(f"word{i}" for i in range(19))
+    docs = spark.createDataFrame([(1, f"{same} {one}", 5), (2, f"{same} {other}", 6), (3, f"{same} {one}", 7)], "doc_id long, text string, n_words int")
+    got = {r.doc_id: (r.n_words, r.n_removed) for r in substring.without_repeats(docs).collect()}
+    assert got == {1: (20, 0), 2: (20, 0), 3: (20, 20)}
+
+
 def test_word_hashes_follow_words():
     data = "a bb  ccc\td\n\x0be\x0cf\rg é".encode()
     assert len(substring.word_hashes(data)) == len(data.split())
