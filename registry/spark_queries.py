@@ -243,7 +243,7 @@ def target_encode_pooled(spark, folder):
 
 
 def bag_sample(spark, folder):
-    train = events(spark, folder).filter("part = 'train'")
+    train = cut_lineage(events(spark, folder).filter("part = 'train'").select(*KEYS)).rows
     return S.bag_sample(train, 6, KEYS).select("tree", "account_id", "day")
 
 
@@ -251,8 +251,7 @@ def goss_sample(spark, folder):
     train = model_frame(events(spark, folder))
     mean = float(train.train.agg(F.avg("y")).first()[0])
     sample = S.goss_sample(train.train, f"({mean!r}D - y)", KEYS, seed="42-1-0")
-    train.release()
-    return sample.select("account_id", "day", "weight")
+    return _released(train, sample.select("account_id", "day", "weight"))
 
 
 # --- scores and losses -----------------------------------------------------------------------------------

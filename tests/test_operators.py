@@ -1,6 +1,7 @@
 """Sampling, neighbours, nets, streams and lineage on small data."""
 
 import hashlib
+import math
 
 import numpy as np
 import pytest
@@ -8,7 +9,8 @@ from pyspark.sql import functions as F
 
 from daybook.operators.dense import DenseNet, fit_dense, gradient_sums
 from daybook.operators.knn import knn_by_account, knn_pooled
-from daybook.operators.sampling import Goss, Order, bag_samples, first_rows, goss_sample
+from daybook.operators import sampling
+from daybook.operators.sampling import Goss, Order, bag_samples, by_hash, first_rows, goss_sample, goss_weights
 from daybook.session import cut_lineage, shared_folder
 from daybook.streaming.daily import CLOSED_DAY_SCHEMA, stream_lags
 from registry.spark_queries import daily_events
@@ -41,6 +43,35 @@ def test_first_rows_several_orders_and_filter(spark):
     assert rows.filter(picks["none"]).count() == 0
 
 
+@pytest.mark.parametrize("values,accuracy", [(100_000, 10_000), (40, 10_000), (40, 10)])
+def test_first_rows_in_buckets_and_from_narrow_bands(spark, monkeypatch, values, accuracy):
+    """Bands of many values are cut into buckets; bands that miss the row are widened; unknown numbers of rows; nulls."""
+    monkeypatch.setattr(sampling, "_VALUES", values)
+    monkeypatch.setattr(sampling, "_ACCURACY", accuracy)
+    data = [(i, None if i % 50 == 7 else math.exp((i * 7919) % 5000 / 200)) for i in range(5000)]
+    rows = spark.createDataFrame(data, "k long, v double").repartition(5)
+    known = sorted((r for r in data if r[1] is not None), key=lambda r: r[1])
+    for want in (1, 2, 2500, 4899, 4900, 4901):
+        found = first_rows(rows, {"a": Order(("v",), want), "b": Order(("-v",), want, rows=5000), "c": by_hash("s", ["k"], want, "k < 3000")})
+        got = {key: {r["k"] for r in rows.filter(f).filter("v IS NOT NULL").select("k").collect()} for key, f in found.items()}
+        assert got["a"] == {r[0] for r in known[:want]}
+        assert got["b"] == {r[0] for r in known[::-1][:want]}
+        ranked = sorted(range(3000), key=lambda k: hashlib.md5(f"s-{k}".encode()).hexdigest())
+        assert got["c"] == {k for k in ranked[:want] if k % 50 != 7}
+
+
+def test_samples_take_few_passes(spark, monkeypatch):
+    passes = []
+    monkeypatch.setattr(sampling, "_counted", lambda df, waiting, f=sampling._counted: passes.append("count") or f(df, waiting))
+    monkeypatch.setattr(sampling, "_place_bands", lambda df, waiting, f=sampling._place_bands: passes.append("place") or f(df, waiting))
+    rows = spark.range(20_000).selectExpr("id", "sin(id) AS g")
+    bag_samples(rows, 5, ["id"], count=20_000)
+    assert passes == ["place", "count"]  # placing hash bands reads nothing
+    passes.clear()
+    goss_weights(rows, {"a": "g", "b": "cos(id)"}, ["id"], Goss(), {"a": "1", "b": "2"}, count=20_000)
+    assert passes == ["place", "count"] * 2
+
+
 @pytest.mark.parametrize("n", [3, 10, 500])
 def test_goss_sizes(spark, n):
     rows = spark.range(n).selectExpr("id", "sin(id) AS g")
