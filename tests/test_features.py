@@ -128,6 +128,29 @@ def test_pooled_encoding_is_one_series(spark, folder):
         counts[r.dow] = counts.get(r.dow, 0) + 1
 
 
+@pytest.mark.parametrize("few", [0, 200_000])
+def test_pooled_encoding_does_not_depend_on_ranges(spark, monkeypatch, few):
+    """Any number of ranges, a category that holds all rows, null categories and labels; totals broadcast or joined."""
+    monkeypatch.setattr(E, "_FEW", few)
+    rows = [(i % 40, dt.date(2024, 1, 1 + i // 40), None if i % 5 == 0 else i % 3, "all", None if i % 11 == 0 else i % 7) for i in range(800)]
+    train = spark.createDataFrame(rows, "account_id long, day date, dow int, kind string, cls int").repartition(5)
+    local = train.withColumn("slot", E.day_slot(F.col("account_id"))).toPandas().sort_values(["day", "slot", "account_id"])
+    mean, want = local["cls"].mean(), {}
+    for c in ("dow", "kind"):
+        seen = {}
+        for r in local.itertuples():
+            key = None if c == "dow" and r.dow != r.dow else getattr(r, c)
+            s, k = seen.get(key, (0.0, 0))
+            want.setdefault((r.account_id, r.day), []).append((s + 0.5 * mean) / (k + 0.5))
+            seen[key] = (s + (0.0 if r.cls != r.cls else r.cls), k + 1)
+    for pieces in (1, 3, 16):
+        got = E.ordered_target_encode_pooled(train, ["dow", "kind"], "cls", pieces=pieces)
+        assert got.columns == [*train.columns, "dow_enc", "kind_enc"]
+        for r in got.collect():
+            assert [r.dow_enc, r.kind_enc] == pytest.approx(want[r.account_id, r.day])
+    assert E.ordered_target_encode_pooled(train.limit(0), ["dow"], "cls").count() == 0
+
+
 def test_unseen_category_gets_the_mean(spark):
     train = spark.createDataFrame([(0, 2), (0, 1), (1, 0)], "dow int, cls int")
     got = E.target_encode(spark.createDataFrame([(5,)], "dow int"), train, ["dow"], "cls").first()
