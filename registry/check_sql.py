@@ -620,6 +620,59 @@ O["linear_by_gradient"] = query(
     f"SELECT account_id, day, part, round({_LINEAR_OUT}, 6) AS pred FROM frame CROSS JOIN w_2",
 )
 
+O["loss_curve"] = query(
+    [
+        *FRAME,
+        "w_0 AS (SELECT " + ", ".join(f"CAST(0 AS DOUBLE) AS w{i}" for i in range(6)) + ", CAST(0 AS DOUBLE) AS b)",
+        *[
+            f"w_{s} AS MATERIALIZED (SELECT {_LINEAR_STEP} FROM (SELECT *, {_LINEAR_OUT} - y AS e FROM frame CROSS JOIN w_{s - 1} "
+            f"WHERE part = 'train') GROUP BY {_WEIGHTS})"
+            for s in (1, 2, 3)
+        ],
+    ],
+    " UNION ALL ".join(
+        f"SELECT {s + 1} AS epoch, round(sum(pow({_LINEAR_OUT} - y, 2)), 6) AS loss FROM frame CROSS JOIN w_{s} WHERE part = 'train'" for s in range(4)
+    ),
+)
+O["logistic_gradient"] = query(
+    ["c AS (SELECT CAST(unnest(range(3)) AS INTEGER) AS class)", f"f AS (SELECT unnest([{', '.join(repr(f) for f in (*FEATURES, 'bias'))}]) AS feature)"],
+    "SELECT class, feature, CAST(0 AS DOUBLE) AS total FROM c CROSS JOIN f",
+)
+
+
+def least_squares_ctes() -> list[str]:
+    """``beta``: weights b0..b5 by elimination in the normal equations of centred columns; columns without a pivot get 0."""
+    columns = [*(f"x{i}" for i in range(6)), "y"]
+    means = ", ".join(f"avg({c}) AS m_{c}" for c in columns)
+    sums = ", ".join(
+        f"sum(({a} - m_{a}) * ({b} - m_{b})) AS a0_{i}_{j}" for i, a in enumerate(columns[:6]) for j, b in enumerate(columns)
+    )
+    ctes = [
+        *FRAME, f"mu AS MATERIALIZED (SELECT {means} FROM frame WHERE part = 'train')",
+        f"s0 AS MATERIALIZED (SELECT {sums}, {', '.join(f'any_value(m_{c}) AS m_{c}' for c in columns)} FROM frame CROSS JOIN mu WHERE part = 'train')",
+    ]
+    for k in range(6):
+        has = f"a{k}_{k}_{k} > 1e-10 * a0_{k}_{k}"
+        cells = ", ".join(
+            f"CASE WHEN {has} THEN a{k}_{i}_{j} - a{k}_{i}_{k} * a{k}_{k}_{j} / a{k}_{k}_{k} ELSE a{k}_{i}_{j} END AS a{k + 1}_{i}_{j}"
+            for i in range(k + 1, 6) for j in range(7) if j > k
+        )
+        ctes.append(f"s{k + 1} AS MATERIALIZED (SELECT *{', ' + cells if cells else ''} FROM s{k})")
+    last = "s6"
+    for k in reversed(range(6)):
+        rest = "".join(f" - a{k}_{k}_{j} * b{j}" for j in range(k + 1, 6))
+        ctes.append(
+            f"t{k} AS MATERIALIZED (SELECT *, CASE WHEN a{k}_{k}_{k} > 1e-10 * a0_{k}_{k} THEN (a{k}_{k}_6{rest}) / a{k}_{k}_{k} ELSE 0 END AS b{k} FROM {last})"
+        )
+        last = f"t{k}"
+    return ctes
+
+
+O["linear_regress"] = query(
+    least_squares_ctes(),
+    "SELECT account_id, day, part, round(m_y + " + " + ".join(f"b{i} * (x{i} - m_x{i})" for i in range(6)) + ", 6) AS pred FROM frame CROSS JOIN t0",
+)
+
 # --- evaluation ------------------------------------------------------------------------------------------
 
 TREE2 = [*FRAME, tree_rows("gini"), *grow_depth("t", "r", "gini", 2)]
@@ -677,6 +730,12 @@ O["prediction_sample"] = query(
     f"SELECT f.account_id, f.day, o.value = f.cls AS hit, {named('f.cls', LABELS)} AS actual, "
     f"{named('o.value', LABELS)} AS predicted FROM {JOINED} WHERE f.part = 'test' ORDER BY f.day, f.account_id LIMIT 5",
 )
+O["probability_sample"] = query(
+    [*FRAME, *boost_ctes("class", rounds=3, kind="newton", growth="depth", rate=0.01, depth=3, lam=2.0, gamma=0.5)],
+    f"SELECT f.account_id, f.day, s.pred = f.cls AS hit, {named('f.cls', LABELS)} AS actual, {named('s.pred', LABELS)} AS predicted, s.p0, s.p1, s.p2 "
+    f"FROM ({class_scores('m', 3)}) s JOIN frame f ON f.account_id = s.account_id AND f.day = s.day "
+    "WHERE f.part = 'test' ORDER BY f.day, f.account_id LIMIT 5",
+)
 O["amount_sample"] = query(
     [*FRAME, *TREE2_AMOUNT],
     f"SELECT f.account_id, f.day, round(o.value * {SPAN} + (SELECT amount_lo FROM bounds), 6) AS predicted, "

@@ -668,10 +668,25 @@ def logistic_classify(spark, folder):
     return _library(spark, folder, L.logistic_classify)
 
 
+def logistic_gradient(spark, folder):
+    """The penalised gradient at the fitted weights, summed by columns: zero."""
+    frame = model_frame(events(spark, folder))
+    model = L.logistic_classify(frame.train, X)
+    sums = L.logistic_gradient(frame.train, model)
+    return _released(frame, sums.select("class", "feature", (F.round("total", 6) + 0.0).alias("total")))
+
+
 def perceptron_classify(spark, folder):
     return _library(spark, folder, L.perceptron_classify)
 
 
+def perceptron_regress(spark, folder):
+    """The net for amounts by quasi-Newton steps with a hold-out stop, at most 25 steps."""
+    frame = model_frame(events(spark, folder))
+    net = N.perceptron_regress(frame.train, X, KEYS, iterations=25)
+    return _released(frame, net.predict(frame.rows, X).select("account_id", "day", "part", *r6("pred")))
+
+
 def _net(layers, task):
     """A small net with fixed weights."""
     import numpy as np
@@ -718,6 +733,16 @@ def linear_by_gradient(spark, folder):
     return _released(frame, net.predict(frame.rows, X).select("account_id", "day", "part", *r6("pred")))
 
 
+def loss_curve(spark, folder):
+    """Total train loss per epoch of the linear model by gradient from zero weights."""
+    import numpy as np
+
+    frame = model_frame(events(spark, folder))
+    net = N.DenseNet([np.zeros((6, 1))], [np.zeros(1)], "amount")
+    net = N.linear_by_gradient(frame.train, X, epochs=4, net=net)
+    return _released(frame, net.loss_table(spark).select("epoch", *r6("loss")))
+
+
 # --- evaluation ------------------------------------------------------------------------------------------
 
 
@@ -803,6 +828,12 @@ def prediction_sample(spark, folder):
     return _released(frame, V.prediction_sample(scored, DEFAULT_LABELS))
 
 
+def probability_sample(spark, folder):
+    """The first test days with the class probabilities of a boosted model."""
+    frame, scored = _boost(spark, folder, _short(OWN_C["newton"], rounds=3))
+    return _released(frame, V.prediction_sample(scored, DEFAULT_LABELS, r6("p0", "p1", "p2")))
+
+
 def amount_sample(spark, folder):
     frame = model_frame(events(spark, folder))
     scored = T.tree_regress(frame.train, X, max_depth=2).predict(frame.rows)
@@ -956,6 +987,9 @@ QUERIES = {
     "dense_net_classify": dense_net_classify,
     "dense_net_regress": dense_net_regress,
     "linear_by_gradient": linear_by_gradient,
+    "loss_curve": loss_curve,
+    "logistic_gradient": logistic_gradient,
+    "perceptron_regress": perceptron_regress,
     "accuracy": accuracy,
     "rmse_units": rmse_units,
     "baseline_metrics": baseline_metrics,
@@ -965,6 +999,7 @@ QUERIES = {
     "tree_library": tree_library,
     "compare_models": compare_models,
     "prediction_sample": prediction_sample,
+    "probability_sample": probability_sample,
     "amount_sample": amount_sample,
     "score_new_days": score_new_days,
     "score_new_days_encoded": score_new_days_encoded,
