@@ -7,8 +7,11 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from daybook.operators.binned import fit_binned
 from daybook.operators.boosting import BoostParams, fit_boosted
-from daybook.operators.dense import dense_net_classify, dense_net_regress
+from daybook.operators.daily import truncate_features
+from daybook.operators.dense import dense_net_classify, dense_net_regress, linear_by_gradient, perceptron_by_classes, perceptron_regress
+from daybook.operators.ensemble import predict_from_table
 from daybook.operators.evaluate import run_comparison
 from daybook.operators.knn import knn_by_account
 from daybook.operators.linear import (
@@ -20,17 +23,22 @@ from daybook.operators.linear import (
     perceptron_classify,
 )
 from daybook.operators.single_tree import forest_classify, tree_classify, tree_regress
-from daybook.plans.model_frame import KEYS, ModelFrame
+from daybook.plans.model_frame import KEYS, ModelFrame, encoded_frame
 from daybook.plans.presets import (
     KNN_NEIGHBOURS,
     LIBRARY_CLASSIFIERS,
     LIBRARY_FOREST,
+    LIBRARY_NETS,
+    LIBRARY_REGRESSORS,
     OWN_CLASSIFIERS,
     OWN_FOREST,
     OWN_REGRESSORS,
     TREE_DEPTH,
 )
+from daybook.session import cut_lineage
 
+#: Bins per feature of the library runs.
+BINS = 4096
 METRICS_SCHEMA = "task string, model string, metric string, value double"
 
 
@@ -102,24 +110,45 @@ def sweep(
     return spark.createDataFrame(table, METRICS_SCHEMA)
 
 
+CLASS_MODELS = ("neighbours", "tree", "forest", "logistic", "dense", "boosted", "newton", "leafwise", "oblivious")
+AMOUNT_MODELS = ("linear", "tree", "forest", "dense", "boosted", "newton", "leafwise", "oblivious")
+
+
+def truncated_frame(table: DataFrame, label: str) -> ModelFrame:
+    """The frame of the library's category run: features cut to whole numbers, weekday and month encoded by ``label``."""
+    return encoded_frame(truncate_features(table), label)
+
+
 def own_against_library(
     spark: SparkSession,
     frame: ModelFrame,
-    models: Sequence[str] = ("neighbours", "tree", "forest", "dense", "boosted", "newton", "leafwise", "oblivious"),
+    models: Sequence[str] | None = None,
     rounds: int | None = None,
     epochs: int | None = None,
 ) -> DataFrame:
-    """Test accuracy of own and library runs side by side, one row per model."""
+    """Test accuracy (classes) and error in units (amounts) of own and library runs side by side, one row per task and model.
+
+    A model that has only a library run has a null as its own one. ``models`` names those of both tasks to be run. The
+    library's boosted classes by categories are fitted on whole numbers with encoded categories.
+    """
     train, rows, features = frame.train, frame.rows, frame.features
     limit = {} if epochs is None else {"epochs": epochs}
     steps = {} if epochs is None else {"iterations": epochs}
-    depth = LIBRARY_FOREST["max_depth"]
 
     def boosted(presets, model):
         fitted, _ = fit_boosted(train, features, {model: _shorter(presets[model], rounds)}, KEYS)
         return fitted[model].predict(rows)
 
-    fits = {
+    def binned(presets, model, used=frame):
+        fitted, _ = fit_binned(used.train, features, {model: _shorter(presets[model], rounds)}, max_bins=BINS)
+        return predict_from_table(used.rows, fitted[model].sums_table(spark), features, presets[model].task)
+
+    def by_categories():
+        used = truncated_frame(frame.kept, "cls")
+        kept = cut_lineage(used.rows)
+        return binned(LIBRARY_CLASSIFIERS, "oblivious", ModelFrame(kept.rows, used.bounds, used.features, used.kept))
+
+    class_fits = {
         "neighbours": (
             lambda: knn_by_account(rows, features, KNN_NEIGHBOURS, "manhattan"),
             lambda: knn_by_account(rows, features, KNN_NEIGHBOURS, "euclidean"),
@@ -131,22 +160,49 @@ def own_against_library(
         "forest": (
             lambda: forest_classify(train, features, KEYS, **OWN_FOREST).predict(rows),
             lambda: library_forest_classify(
-                train, features, n_trees=LIBRARY_FOREST["n_trees"], max_depth=depth
+                train, features, n_trees=LIBRARY_FOREST["n_trees"], max_depth=LIBRARY_FOREST["max_depth"]
             ).predict(rows),
         ),
+        "logistic": (None, lambda: logistic_classify(train, features).predict(rows)),
         "dense": (
             lambda: dense_net_classify(train, features, **limit).predict(rows, features),
-            lambda: perceptron_classify(train, features, **steps).predict(rows),
+            lambda: perceptron_by_classes(train, features, KEYS, hidden=LIBRARY_NETS["class"], **steps).predict(rows, features),
         ),
         **{
-            model: (lambda m=model: boosted(OWN_CLASSIFIERS, m), lambda m=model: boosted(LIBRARY_CLASSIFIERS, m))
+            model: (lambda m=model: boosted(OWN_CLASSIFIERS, m), lambda m=model: binned(LIBRARY_CLASSIFIERS, m))
             for model in OWN_CLASSIFIERS
         },
     }
+    class_fits["oblivious"] = (class_fits["oblivious"][0], by_categories)
+    amount_fits = {
+        "linear": (
+            lambda: linear_by_gradient(train, features, **limit).predict(rows, features),
+            lambda: linear_regress(train, features).predict(rows),
+        ),
+        "tree": (
+            lambda: tree_regress(train, features, max_depth=TREE_DEPTH).predict(rows),
+            lambda: library_tree(train, features, as_class=False, max_depth=TREE_DEPTH).predict(rows),
+        ),
+        "forest": (None, lambda: forest_regress(train, features).predict(rows)),
+        "dense": (
+            lambda: dense_net_regress(train, features, **limit).predict(rows, features),
+            lambda: perceptron_regress(train, features, KEYS, hidden=LIBRARY_NETS["amount"], **steps).predict(rows, features),
+        ),
+        **{
+            model: (lambda m=model: boosted(OWN_REGRESSORS, m), lambda m=model: binned(LIBRARY_REGRESSORS, m))
+            for model in OWN_REGRESSORS
+        },
+    }
     results = [
-        ("class", model, "accuracy", run, test_accuracy(fit()))
-        for model in models
+        (task, model, metric, run, measure(fit()))
+        for task, metric, names, fits, measure in (
+            ("class", "accuracy", CLASS_MODELS, class_fits, test_accuracy),
+            ("amount", "rmse", AMOUNT_MODELS, amount_fits, lambda predictions: test_rmse(predictions, frame)),
+        )
+        for model in names
+        if models is None or model in models
         for run, fit in zip(("own", "library"), fits[model])
+        if fit is not None
     ]
     metrics = spark.createDataFrame(results, "task string, model string, metric string, run string, value double")
     return run_comparison(metrics, ["own", "library"])

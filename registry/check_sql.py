@@ -393,13 +393,13 @@ O["ensemble_scores"] = boosted(
 )
 # The same with many rounds, fitted on binned features and applied from the written model table.
 O["predict_from_table"] = boosted("amount", 40, FRAME_ORDERS, kind="newton", growth="depth", rate=0.05, depth=3, lam=1.0, gamma=0.0)
-O["gb_regress_binned"] = boosted("amount", 30, kind="mse", growth="depth", rate=0.05, depth=3, cut="observed")
-O["gb_classify_binned"] = boosted("class", 15, kind="mse", growth="depth", rate=0.01, depth=4, cut="observed")
-O["newton_regress_binned"] = boosted("amount", 40, kind="newton", growth="depth", rate=0.05, depth=3, lam=1.0, gamma=0.0)
-O["newton_classify_binned"] = boosted("class", 25, kind="newton", growth="depth", rate=0.01, depth=3, lam=2.0, gamma=0.5)
-O["oblivious_regress_binned"] = boosted("amount", 30, kind="newton", growth="level", rate=0.05, depth=4, lam=3.0)
-O["oblivious_classify_binned"] = boosted("class", 15, kind="newton", growth="level", rate=0.01, depth=4, lam=10.0)
-O["leafwise_regress_binned"] = boosted("amount", 6, kind="newton", growth="leaf", rate=0.05, lam=0.0, leaves=15, min_rows=20)
+O["gb_regress_binned"] = boosted("amount", 20, kind="mse", growth="depth", rate=0.05, depth=3, cut="observed")
+O["gb_classify_binned"] = boosted("class", 10, kind="mse", growth="depth", rate=0.01, depth=4, cut="observed")
+O["newton_regress_binned"] = boosted("amount", 20, kind="newton", growth="depth", rate=0.05, depth=3, lam=1.0, gamma=0.0)
+O["newton_classify_binned"] = boosted("class", 20, kind="newton", growth="depth", rate=0.01, depth=3, lam=2.0, gamma=0.5)
+O["oblivious_regress_binned"] = boosted("amount", 20, kind="newton", growth="level", rate=0.05, depth=4, lam=3.0)
+O["oblivious_classify_binned"] = boosted("class", 10, kind="newton", growth="level", rate=0.01, depth=4, lam=10.0)
+O["leafwise_regress_binned"] = boosted("amount", 4, kind="newton", growth="leaf", rate=0.05, lam=0.0, leaves=15, min_rows=20)
 
 
 def accuracy_of(prefix: str, rounds: int, name: str) -> str:

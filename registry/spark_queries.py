@@ -566,32 +566,32 @@ def _binned(spark, folder, params, table=events):
 
 
 def gb_regress_binned(spark, folder):
-    return _binned(spark, folder, _short(OWN_R["boosted"], rounds=30))
+    return _binned(spark, folder, _short(OWN_R["boosted"], rounds=20))
 
 
 def gb_classify_binned(spark, folder):
-    return _binned(spark, folder, _short(OWN_C["boosted"], rounds=15))
+    return _binned(spark, folder, _short(OWN_C["boosted"], rounds=10))
 
 
 def newton_regress_binned(spark, folder):
-    return _binned(spark, folder, _short(OWN_R["newton"], rounds=40, gamma=0.0))
+    return _binned(spark, folder, _short(OWN_R["newton"], rounds=20, gamma=0.0))
 
 
 def newton_classify_binned(spark, folder):
-    return _binned(spark, folder, _short(OWN_C["newton"], rounds=25))
+    return _binned(spark, folder, _short(OWN_C["newton"], rounds=20))
 
 
 def oblivious_regress_binned(spark, folder):
-    return _binned(spark, folder, _short(OWN_R["oblivious"], rounds=30))
+    return _binned(spark, folder, _short(OWN_R["oblivious"], rounds=20))
 
 
 def oblivious_classify_binned(spark, folder):
-    return _binned(spark, folder, _short(OWN_C["oblivious"], rounds=15))
+    return _binned(spark, folder, _short(OWN_C["oblivious"], rounds=10))
 
 
 def leafwise_regress_binned(spark, folder):
     """The library run's settings, which sample no rows."""
-    return _binned(spark, folder, _short(presets.LIBRARY_REGRESSORS["leafwise"], rounds=6))
+    return _binned(spark, folder, _short(presets.LIBRARY_REGRESSORS["leafwise"], rounds=4))
 
 
 def predict_from_table_query(spark, folder):

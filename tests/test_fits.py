@@ -10,6 +10,7 @@ from daybook.operators.boosting import BoostParams, fit_boosted
 from daybook.operators.sampling import Goss
 from daybook.operators.single_tree import forest_classify, tree_classify, tree_regress
 from daybook.operators.splits import Ranges, best_split, class_stats, gini_criterion, plan_ranges
+from daybook.plans.compare import truncated_frame
 from daybook.plans.model_frame import KEYS, model_frame
 from registry.spark_queries import X, events
 
@@ -188,11 +189,22 @@ def test_pure_and_gainless_nodes(spark):
 
 
 def test_all_models_own_against_library(spark, frame):
-    from daybook.plans.compare import own_against_library
+    from daybook.plans.compare import AMOUNT_MODELS, CLASS_MODELS, own_against_library
 
-    table = own_against_library(spark, frame, rounds=1, epochs=2).collect()
-    assert len(table) == 8
-    assert all(0.0 <= r["own"] <= 1.0 and 0.0 <= r["library"] <= 1.0 for r in table)
+    table = {(r["task"], r["model"]): r for r in own_against_library(spark, frame, rounds=1, epochs=2).collect()}
+    assert set(table) == {("class", m) for m in CLASS_MODELS} | {("amount", m) for m in AMOUNT_MODELS}
+    assert {key for key, r in table.items() if r["own"] is None} == {("class", "logistic"), ("amount", "forest")}
+    assert all(r["library"] is not None for r in table.values())
+    for (task, _), r in table.items():
+        values = [v for v in (r["own"], r["library"]) if v is not None]
+        assert all(0.0 <= v <= 1.0 for v in values) if task == "class" else all(v > 0.0 for v in values)
+
+
+def test_truncated_frame_encodes_whole_numbers(spark, frame):
+    made = truncated_frame(frame.kept, "cls")
+    rows = made.rows.toPandas()
+    assert (rows["prev1"] % 1 == 0).all() and rows["dow"].nunique() > 7 and len(rows) == len(frame.local)
+    made.release()
 
 
 def test_small_gains_beside_an_outlier(spark):
