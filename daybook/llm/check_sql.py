@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from daybook.llm.licences import COPYRIGHT_LINE, LICENCES, NOTICES, PUNCTUATION, SPELLINGS, UPPER
+from daybook.llm.licence_digests import DIGESTS
+from daybook.llm.licences import COPYRIGHT_LINE, COPYRIGHT_PART, LICENCES, NOTICES, PUNCTUATION, SPELLINGS, UPPER
 
 
 def _text(value: str) -> str:
@@ -11,6 +12,7 @@ def _text(value: str) -> str:
 
 def _canonical(column: str) -> str:
     x = f"translate({column}, '{UPPER}', '{UPPER.lower()}')"
+    x = f"regexp_replace({x}, {_text(COPYRIGHT_PART)}, '\\2', 'g')"
     x = f"regexp_replace({x}, {_text(COPYRIGHT_LINE)}, chr(10), 'g')"
     x = f"regexp_replace({x}, {_text(PUNCTUATION)}, ' ', 'g')"
     for other, usual in SPELLINGS:
@@ -24,7 +26,7 @@ def _known(texts) -> str:
 
 
 _LICENSE_SCAN = f"""
-WITH licences AS ({_known(LICENCES)}), notices AS ({_known(NOTICES)}),
+WITH licences AS ({_known(LICENCES)} UNION ALL SELECT * FROM (VALUES {", ".join(f"('{d}', '{n}')" for n, d in DIGESTS)}) AS t(digest, license)), notices AS ({_known(NOTICES)}),
 docs AS (SELECT doc_id, text, sha256({_canonical("text")}) AS digest FROM documents),
 lines AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents),
 named AS (

@@ -3,6 +3,7 @@ import hashlib
 import random
 import zlib
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -71,6 +72,36 @@ def test_broken_archive_is_an_error(spark):
 # licences
 
 
+def test_known_forms_of_licences(spark):
+    mit = licences._MIT
+    texts = [
+        (1, "SPDX-License-Identifier: Apache-2.0", None, "Apache-2.0"), (2, "# SPDX-License-Identifier: GPL-2.0-or-later\ncode", None, "GPL-2.0"),
+        (3, "MIT License\n\nCopyright The Foo Authors\n\n" + mit, "MIT", None), (4, "Copyright (c) 2020 Foo, Bar. " + mit, "MIT", None),
+        (5, "The MIT License (MIT) Copyright 2020 Foo " + mit, "MIT", None), (6, "Copyright Foo, Inc.\n" + licences._ZLIB, "Zlib", None),
+        (7, 'x\n * Licensed under the Apache License, Version 2.0 (the "License");\n * you may not use', None, "Apache-2.0"),
+        (8, "This project is licensed under the GNU Affero General Public License, version 3.", None, "AGPL-3.0"),
+        (9, licences._BOOST.upper(), "BSL-1.0", None), (10, licences._UNLICENSE + "https://unlicense.org", "Unlicense", None),
+        (11, "the copyright notice of the foo project\n" + mit, None, None), (12, "word " * 250_000, None, None),
+    ]
+    docs = spark.createDataFrame([(i, t) for i, t, _, _ in texts], "doc_id long, text string")
+    got = {r.doc_id: (r.license, r.notices) for r in licences.scan(docs).collect()}
+    assert got == {i: (whole, notice) for i, _, whole, notice in texts}
+    # lines of the texts themselves that begin with the word stay
+    wrapped = mit.replace("copyright notice", "\ncopyright notice").replace("COPYRIGHT HOLDERS", "\nCOPYRIGHT HOLDERS")
+    assert licences.scan(spark.createDataFrame([(1, wrapped)], "doc_id long, text string")).first().license == "MIT"
+
+
+def test_whole_texts_as_systems_ship_them(spark):
+    folder = Path("/usr/share/common-licenses")
+    shipped = {"Apache-2.0": "Apache-2.0", "GPL-3": "GPL-3.0", "GPL-2": "GPL-2.0", "LGPL-2.1": "LGPL-2.1", "MPL-2.0": "MPL-2.0", "CC0-1.0": "CC0-1.0"}
+    if not all((folder / f).exists() for f in shipped):
+        pytest.skip("no licence texts here")
+    texts = [((folder / f).read_text(encoding="utf-8"), name) for f, name in shipped.items()]
+    rows = [(i, "\n".join(f"  {line}" for line in t.replace("license", "licence").splitlines())) for i, (t, _) in enumerate(texts)]
+    found = {r.doc_id: r.license for r in licences.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert found == {i: name for i, (_, name) in enumerate(texts)}
+
+
 def test_licence_scan(spark, rough, nothing):
     mit = "The MIT License (MIT)\n\nCopyright (c) 2019 A. Body\n\n" + licences._MIT.replace(". ", ".\n\n").replace("sublicense", "sublicence")
     docs = spark.createDataFrame(
