@@ -109,6 +109,53 @@ def stream_lags(closed_days: DataFrame) -> DataFrame:
     )
 
 
+_DAY_MS = 86_400_000
+_WAITING = "last double, before double, days array<long>, amounts array<double>, counts array<long>"
+
+
+def _in_order():
+    def lag_days(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        """Days of one account that the watermark has passed, in date order; the others wait in the state."""
+        last, before, days, amounts, counts = state.get if state.exists else (None, None, [], [], [])
+        waiting = list(zip(days, amounts, counts))
+        bound = state.getCurrentWatermarkMs() // _DAY_MS  # days before this one are complete
+        for batch in batches:
+            for day, amount, n in zip(batch["number"].tolist(), batch["amount"].tolist(), batch["n"].tolist()):
+                if day >= bound:  # an older one comes later than was allowed
+                    waiting.append((int(day), float(amount), int(n)))
+        waiting.sort()
+        out = []
+        while waiting and waiting[0][0] < bound:
+            day, amount, n = waiting.pop(0)
+            out.append((key[0], day, amount, n, last, before))
+            last, before = amount, last
+        state.update((last, before, *[list(x) for x in (zip(*waiting) if waiting else ([], [], []))]))
+        if waiting:
+            state.setTimeoutTimestamp(max((waiting[0][0] + 1) * _DAY_MS, state.getCurrentWatermarkMs() + 1))
+        frame = pd.DataFrame(out, columns=["account_id", "number", "amount", "n", "prev1", "prev2"])
+        yield frame.astype({"prev1": "float64", "prev2": "float64"})
+
+    return lag_days
+
+
+def stream_lags_in_order(closed_days: DataFrame, late_days: int = 7) -> DataFrame:
+    """Adds the account's two previous daily amounts, whatever order the days come in.
+
+    A day waits in the account's state until days that are ``late_days`` younger have been seen (the watermark), and then
+    leaves in date order, when its account has new rows or by a timer. A day that comes later than that is left out. The
+    state of an account is two amounts and the days that wait, at most about ``late_days`` and those of one batch.
+    """
+    timed = closed_days.select(
+        "account_id", F.unix_date("day").cast("long").alias("number"), "amount", "n",
+        F.timestamp_seconds(F.unix_date("day").cast("long") * 86400).alias("at"),
+    ).withWatermark("at", f"{late_days} days")
+    lagged = timed.groupBy("account_id").applyInPandasWithState(
+        _in_order(), "account_id long, number long, amount double, n long, prev1 double, prev2 double", _WAITING, "append",
+        GroupStateTimeout.EventTimeTimeout,
+    )
+    return lagged.select("account_id", F.date_from_unix_date(F.col("number").cast("int")).alias("day"), "amount", "n", "prev1", "prev2")
+
+
 def stream_daily_spend(
     spark: SparkSession, folder: str, delay: str = "1 day", target: str | None = None, progress: str | None = None
 ) -> DataFrame:
@@ -117,10 +164,19 @@ def stream_daily_spend(
     return with_calendar(spark.read.schema(CLOSED_DAY_SCHEMA).parquet(target))
 
 
-def stream_lag_features(spark: SparkSession, folder: str, delay: str = "1 day") -> DataFrame:
-    """Run both streams and return closed days with complete lags."""
-    days = run_to_folder(daily_totals(events_stream(spark, folder), delay), "daily")
+def stream_lag_features(
+    spark: SparkSession, folder: str, delay: str = "1 day", places: tuple[str, str, str, str] | None = None, late_days: int | None = None
+) -> DataFrame:
+    """Run both streams and return closed days with complete lags.
+
+    ``places`` are target and progress folders of the daily and of the lag stream: with the same ones the next call goes
+    on where the last one ended. With ``late_days`` days may come in any order and leave once that many younger days are
+    there; without it, each batch of closed days is taken to be younger than those before.
+    """
+    daily_at, lags_at = (places[:2], places[2:]) if places else ((None, None), (None, None))
+    days = run_to_folder(daily_totals(events_stream(spark, folder), delay), "daily", *daily_at)
     stream = spark.readStream.schema(CLOSED_DAY_SCHEMA).parquet(days)
-    target = run_to_folder(stream_lags(stream), "lags")
+    lagged = stream_lags(stream) if late_days is None else stream_lags_in_order(stream, late_days)
+    target = run_to_folder(lagged, "lags", *lags_at)
     lagged = spark.read.schema(LAGGED_DAY_SCHEMA).parquet(target).dropna(subset=["prev1", "prev2"])
     return with_calendar(lagged)

@@ -791,5 +791,11 @@ O["stream_lag_features"] = query(
     """SELECT * FROM (SELECT account_id, day, amount, n, lag(amount, 1) OVER (PARTITION BY account_id ORDER BY day) AS prev1,
   lag(amount, 2) OVER (PARTITION BY account_id ORDER BY day) AS prev2 FROM closed) WHERE prev1 IS NOT NULL AND prev2 IS NOT NULL""",
 )
+O["stream_lags_in_order"] = query(
+    [STATEMENT["events"], DAILY, CLOSED],
+    """SELECT * FROM (SELECT account_id, day, amount, n, lag(amount, 1) OVER (PARTITION BY account_id ORDER BY day) AS prev1,
+  lag(amount, 2) OVER (PARTITION BY account_id ORDER BY day) AS prev2 FROM closed)
+WHERE prev1 IS NOT NULL AND prev2 IS NOT NULL AND day < (SELECT max(day) - 7 FROM closed)""",
+)
 
 ORACLES = O

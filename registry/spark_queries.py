@@ -892,6 +892,12 @@ def stream_lag_features(spark, folder):
     return stream.stream_lag_features(spark, folder).select("account_id", "day", "amount", "n", "prev1", "prev2")
 
 
+def stream_lags_in_order(spark, folder):
+    """Days wait until seven younger ones have been seen, so that late ones get their place."""
+    lagged = stream.stream_lag_features(spark, folder, late_days=7)
+    return lagged.select("account_id", "day", "amount", "n", "prev1", "prev2")
+
+
 QUERIES = {
     "scan_statement": scan_statement,
     "scan_statement_csv": scan_statement_csv,
@@ -1005,4 +1011,5 @@ QUERIES = {
     "score_new_days_encoded": score_new_days_encoded,
     "stream_daily_spend": stream_daily_spend,
     "stream_lag_features": stream_lag_features,
+    "stream_lags_in_order": stream_lags_in_order,
 }

@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+from datetime import timedelta
 
 import numpy as np
 import pytest
@@ -12,7 +13,7 @@ from daybook.operators.knn import knn_by_account, knn_pooled
 from daybook.operators import sampling
 from daybook.operators.sampling import Goss, Order, bag_samples, by_hash, first_rows, goss_sample, goss_weights
 from daybook.session import cut_lineage, shared_folder
-from daybook.streaming.daily import CLOSED_DAY_SCHEMA, stream_lags
+from daybook.streaming.daily import CLOSED_DAY_SCHEMA, LAGGED_DAY_SCHEMA, run_to_folder, stream_lag_features, stream_lags, stream_lags_in_order
 from registry.spark_queries import daily_events
 
 
@@ -187,6 +188,50 @@ def test_stream_state_carries_over_batches(spark, folder, tmp_path):
     assert got.count() == want.count() and got.exceptAll(want).count() == 0
 
 
+def test_late_days_get_their_place(spark, folder, tmp_path):
+    """Days shuffled over files that come one at a time, in two runs, give the lags of the batch operator."""
+    from daybook.operators.daily import lag_features
+
+    days = daily_events(spark, folder).select("account_id", "day", "amount", "n")
+    source, target, progress = (str(tmp_path / name) for name in ("closed", "out", "progress"))
+    number = F.datediff("day", F.lit("2024-01-01").cast("date")) + F.pmod(F.xxhash64("account_id", "day"), F.lit(5))
+    part = F.floor(number / 3)  # a file holds days up to four days late
+    rows = days.withColumn("part", part).cache()
+    parts = sorted(r[0] for r in rows.select("part").distinct().collect())
+    assert len(parts) > 8
+
+    def arrive(some):
+        for p in some:
+            rows.filter(F.col("part") == p).drop("part").coalesce(1).write.mode("append").parquet(source)
+
+    def run():
+        stream = spark.readStream.schema(CLOSED_DAY_SCHEMA).option("maxFilesPerTrigger", 1).parquet(source)
+        run_to_folder(stream_lags_in_order(stream, 7), "lags", target, progress)
+
+    arrive(parts[:5])
+    run()
+    first = spark.read.schema(LAGGED_DAY_SCHEMA).parquet(target).count()
+    arrive(parts[5:])
+    run()
+    got = spark.read.schema(LAGGED_DAY_SCHEMA).parquet(target)
+    rows.unpersist()
+    bound = days.agg(F.max("day")).first()[0] - timedelta(days=7)
+    want = lag_features(days).filter(F.col("day") < F.lit(bound)).select("account_id", "day", "prev1", "prev2")
+    complete = got.dropna().select("account_id", "day", "prev1", "prev2")
+    assert 0 < first < got.count() and got.filter(F.col("day") >= F.lit(bound)).isEmpty()
+    assert complete.count() == want.count() and complete.exceptAll(want).isEmpty()
+    # a day that is older than what has left already is not taken in
+    days.limit(1).withColumn("day", F.lit("2023-01-01").cast("date")).coalesce(1).write.mode("append").parquet(source)
+    run()
+    assert spark.read.schema(LAGGED_DAY_SCHEMA).parquet(target).count() == got.count()
+
+
+def test_lag_stream_goes_on(spark, folder, tmp_path):
+    places = tuple(str(tmp_path / name) for name in ("d", "dp", "l", "lp"))
+    once = stream_lag_features(spark, folder, places=places).count()
+    assert once > 0 and stream_lag_features(spark, folder, places=places).count() == once
+
+
 def test_written_frames(spark):
     written = cut_lineage(spark.range(10))
     assert written.path.startswith(shared_folder(spark)) and written.rows.count() == 10
