@@ -30,10 +30,14 @@ from daybook.operators.trees import Tree
 
 @dataclass
 class Plan:
-    """How one tree is to grow: its row statistics and the rows it sees (as expression text), and its limits."""
+    """How one tree is to grow: its row statistics and the rows it sees (as expression text), and its limits.
+
+    ``only`` are the positions of the features that it may split on.
+    """
 
     stats: dict[str, str]
     where: str | None = None
+    only: tuple[int, ...] | None = None
     max_depth: int = 3
     num_leaves: int = 15
     min_rows: int = 1
@@ -111,7 +115,11 @@ class Grower:
 
     def _cells(self, plans: Sequence[Plan], nodes: dict[int, str], stats: Sequence[str]) -> DataFrame:
         rows = self._node_rows(plans, nodes)
-        return rows.selectExpr("tree", "node", "posexplode_outer(__inputs) AS (feature, value)", *stats)
+        cells = rows.selectExpr("tree", "node", "posexplode_outer(__inputs) AS (feature, value)", *stats)
+        if all(plans[t].only is None for t in nodes):
+            return cells
+        masks = [(f"tree = {t}", f"feature IN ({', '.join(map(str, plans[t].only))})") for t in nodes if plans[t].only is not None]
+        return cells.filter(case(masks, "TRUE"))
 
     def _find(self, plans: Sequence[Plan], trees: Sequence[Tree], ids: dict[int, set[int]]) -> dict[tuple[int, int], dict]:
         """The best cut of each node of ``ids``, with the node's totals; ``gain`` is null where no cut is allowed."""
@@ -272,11 +280,12 @@ class Grower:
         found = {r["tree"]: r.asDict() for r in best}
         if not found or not wide:
             return {t: c for t, c in found.items() if c["next_value"] is not None}
-        # The cut lies halfway to the next value among all train rows: one reduction for all trees.
+        # The cut lies halfway to the next value among the tree's rows: one reduction for all trees.
         above = []
         for t, c in found.items():
-            column = name(self.features[c["feature"]])
-            above.append(F.expr(f"min({case([(f'{column} > {number(c["value"])}', column)])})").alias(f"t{t}"))
+            column, seen = name(self.features[c["feature"]]), plans[t].where
+            higher = f"{column} > {number(c['value'])}" + (f" AND ({seen})" if seen else "")
+            above.append(F.expr(f"min({case([(higher, column)])})").alias(f"t{t}"))
         row = self.rows.agg(*above).first()
         for t, cut in found.items():
             cut["next_value"] = row[f"t{t}"]

@@ -73,7 +73,8 @@ def forest_classify(
 ) -> TreeModel:
     """Trees on exact-size samples without replacement, all grown in the same jobs, hard vote.
 
-    Every tree uses all features unless ``feature_fraction`` is below 1; then it draws its own subset.
+    Every tree uses all features unless ``feature_fraction`` is below 1; then it draws its own subset, and the trees
+    still share every job.
     """
     picks = bag_samples(train, n_trees, keys, share, seed)
     used = [name(c) for c in dict.fromkeys((*features, label))]
@@ -82,31 +83,19 @@ def forest_classify(
     )
     try:
         ranges = plan_ranges(frame, features)
+        subsets = [None if feature_fraction >= 1.0 else _feature_subset(features, feature_fraction, f"{seed}-{t}") for t in range(n_trees)]
         plans = [
-            Plan(class_stats(label, n_classes), f"in_{t}", max_depth=max_depth) for t in range(n_trees)
+            Plan(class_stats(label, n_classes), f"in_{t}", only, max_depth=max_depth) for t, only in enumerate(subsets)
         ]
-        if feature_fraction >= 1.0:
-            trees = Grower(frame, features, "gini", "observed", ranges, n_classes).by_depth(plans)
-        else:
-            trees = []
-            for t, plan in enumerate(plans):
-                subset = _feature_subset(features, feature_fraction, f"{seed}-{t}")
-                chosen = [features[i] for i in subset]
-                grown = Grower(frame, chosen, "gini", "observed", None, n_classes)
-                grown.ranges = type(ranges)(tuple(ranges.edges[i] for i in subset))
-                tree = grown.by_depth([plan])[0]
-                for node in tree.nodes.values():
-                    if not node.is_leaf:
-                        node.feature = subset[node.feature]
-                trees.append(tree)
+        trees = Grower(frame, features, "gini", "observed", ranges, n_classes).by_depth(plans)
     finally:
         frame.unpersist()
     return TreeModel("forest", tuple(features), trees, "class", n_classes)
 
 
-def _feature_subset(features: Sequence[str], fraction: float, seed: str) -> list[int]:
+def _feature_subset(features: Sequence[str], fraction: float, seed: str) -> tuple[int, ...]:
     import hashlib
 
     size = max(1, int(len(features) * fraction))
     order = sorted(range(len(features)), key=lambda i: hashlib.md5(f"{seed}-{features[i]}".encode()).hexdigest())
-    return sorted(order[:size])
+    return tuple(sorted(order[:size]))

@@ -131,6 +131,23 @@ def test_forest_shape_and_subset(frame):
         assert len({node.feature for node in tree.nodes.values() if not node.is_leaf}) <= 2
 
 
+def test_trees_with_their_own_features_share_jobs(frame, monkeypatch):
+    """One search per level for all trees; each tree is the one that grows on its features alone."""
+    from daybook.operators.grower import Grower
+    from daybook.operators.single_tree import _feature_subset
+
+    searches = []
+    monkeypatch.setattr(Grower, "_search", lambda self, plans, nodes, f=Grower._search: searches.append(len(nodes)) or f(self, plans, nodes))
+    model = forest_classify(frame.train, X, KEYS, n_trees=3, max_depth=2, feature_fraction=0.5)
+    assert searches[0] == 3 and len(searches) <= 2
+    subsets = [_feature_subset(X, 0.5, f"13-{t}") for t in range(3)]
+    assert len(set(subsets)) > 1
+    for t, (tree, only) in enumerate(zip(model.trees, subsets)):
+        assert {node.feature for node in tree.nodes.values() if not node.is_leaf} <= set(only)
+        alone = forest_classify(frame.train, [X[i] for i in only], KEYS, n_trees=t + 1, max_depth=2).trees[t]
+        assert [(i, n.threshold, n.value) for i, n in sorted(alone.nodes.items())] == [(i, n.threshold, n.value) for i, n in sorted(tree.nodes.items())]
+
+
 def test_partitioning_does_not_matter(spark, frame):
     params = BoostParams(rounds=1, learning_rate=0.1, max_depth=2)
     tables = []
