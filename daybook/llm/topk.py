@@ -42,8 +42,13 @@ def _matrix(lists) -> np.ndarray:
 
 
 def _products(left: np.ndarray, right: np.ndarray) -> np.ndarray:
-    """Exact inner products; by floating point where no sum can leave the whole numbers it holds."""
-    top = float(np.abs(left).max(initial=0)) * float(np.abs(right).max(initial=0)) * left.shape[1]
+    """Exact inner products; by floating point where no sum can leave the whole numbers it holds.
+
+    Products that could leave 64 bits are refused.
+    """
+    top = float(np.abs(left.astype(np.float64)).max(initial=0)) * float(np.abs(right.astype(np.float64)).max(initial=0)) * left.shape[1]
+    if top >= 2.0**62:
+        raise ValueError("components are too large: a score could leave 64-bit whole numbers")
     if top < _EXACT:
         return (left.astype(np.float64) @ right.T.astype(np.float64)).astype(np.int64)
     return left @ right.T
@@ -113,7 +118,8 @@ def top_products(rows: DataFrame, is_query, k: int, scale: float = 64.0, id_colu
     Vectors are dealt out by ranges of their ids; a group of blocks and a group of queries meet in a task, so each group
     is sent once per group of the other side and none is held whole. A first round scores each query in the one group that its own id
     lies in and gives it a floor; then the other groups are searched above it. ``is_query`` is a condition on ``id``.
-    Rows that share an id are the query's own and no candidates of it. Fewer rows than ``k``: all of them.
+    Rows that share an id are the query's own and no candidates of it. Fewer rows than ``k``: all of them. Vectors whose
+    scores could leave 64 bits raise an error.
     """
     vectors = whole_vectors(rows, scale, id_column, vector_column)
     docs, n_docs = _grouped(vectors, BLOCK * GROUP_BLOCKS, "d")

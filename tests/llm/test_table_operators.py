@@ -69,6 +69,15 @@ def test_broken_archive_is_an_error(spark):
         warc.normalise(spark.createDataFrame([(f"{folder}/x.warc.gz",)], "path string"), folder).collect()
 
 
+def test_scores_beyond_64_bits_are_refused():
+    large = np.full((1, 3), 1 << 32)
+    with pytest.raises(ValueError):
+        topk._products(large, large)
+    with pytest.raises(ValueError):
+        topk._products(np.full((1, 1), np.iinfo(np.int64).min), large[:, :1])
+    assert topk._products(large, large // 64).tolist() == [[3 * (1 << 58)]]
+
+
 # licences
 
 
