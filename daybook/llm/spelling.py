@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -14,30 +13,32 @@ from pyspark.sql import functions as F
 
 from daybook.llm.tables import partitions, slices, texts_of, written
 
-_RUNS = re.compile("[A-Za-zÀ-ÿ]+").findall
-_SMALL = {c: c + 32 for c in range(65, 91)}
-#: Letters are dealt to groups by code point modulo this; a word is arranged by its counts of the groups in turn.
-GROUPS = 13
+#: Bytes of a text in Latin-1: A to Z become small, what is no letter of a run becomes a space. Other characters are "?".
+_FOLD = bytes(c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or c >= 192 else 32 for c in range(256))
+#: Letters are dealt to groups by code point; a word is arranged by its counts of the groups in turn.
+GROUPS, _STEP = 13, 5
 #: Groups whose counts say which part of the trie a word is in.
-_HEAD = 5
+_HEAD = 8
 #: Different words that a task counts before it hands them on.
 _COUNTED = 200_000
 
 
-def runs_of(text: str, doc: str, every: int) -> Counter:
-    """How often each run of letters occurs, A to Z lower-cased; where ``every`` divides the CRC-32 of ``<doc>:<run>`` the run lacks one letter."""
-    found = Counter(run.translate(_SMALL) for run in _RUNS(text))
+def runs_of(text: str, doc: str, least_letters: int, every: int) -> dict[bytes, int]:
+    """How often each run of ``least_letters`` or more occurs, in Latin-1 with A to Z lower-cased; where ``every`` divides the
+    CRC-32 of ``<doc>:<run>`` in UTF-8 the run lacks one letter."""
+    found = Counter([run for run in text.encode("latin-1", "replace").translate(_FOLD).split() if len(run) >= least_letters])
     if not every:
         return found
     start = zlib.crc32(f"{doc}:".encode())
-    changed = Counter()
-    for run, n in found.items():
-        h = zlib.crc32(run.encode(), start)
+    lacking = []
+    for run in found:
+        h = zlib.crc32(run if run.isascii() else run.decode("latin-1").encode(), start)
         if h % every == 0:
-            at = h % len(run)
-            run = run[:at] + run[at + 1 :]
-        changed[run] += n
-    return changed
+            lacking.append((run, h % len(run)))
+    for less, n in [(run[:at] + run[at + 1 :], found.pop(run)) for run, at in lacking]:
+        if len(less) >= least_letters:
+            found[less] = found.get(less, 0) + n
+    return found
 
 
 def word_counts(docs: DataFrame, least_letters: int, least_count: int, every: int, id_column: str, text_column: str) -> DataFrame:
@@ -48,16 +49,17 @@ def word_counts(docs: DataFrame, least_letters: int, least_count: int, every: in
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows() -> pa.RecordBatch:
-            batch = pa.RecordBatch.from_arrays([pa.array(total.keys(), pa.string()), pa.array(total.values(), pa.int64())], ["word", "n"])
+            names = pa.array([word.decode("latin-1") for word in total], pa.string())
+            batch = pa.RecordBatch.from_arrays([names, pa.array(total.values(), pa.int64())], ["word", "n"])
             total.clear()
             return batch
 
-        total: Counter = Counter()
+        total: dict[bytes, int] = {}
+        known = total.get
         for part in slices(batches, "text"):
             for doc, text in zip(part.column(0).to_pylist(), texts_of(part)):
-                for word, n in runs_of(text, doc or "", every).items():
-                    if len(word) >= least_letters:
-                        total[word] += n
+                for word, n in runs_of(text, doc or "", least_letters, every).items():
+                    total[word] = known(word, 0) + n
             if len(total) >= _COUNTED:
                 yield rows()
         yield rows()
@@ -71,7 +73,7 @@ def group_counts(words: list[str]) -> np.ndarray:
     """A row of letter-group counts per word."""
     points = np.frombuffer("".join(words).encode("utf-32-le"), "<u4")
     owner = np.repeat(np.arange(len(words)), [len(w) for w in words])
-    flat = np.bincount(owner * GROUPS + points % GROUPS, minlength=len(words) * GROUPS)
+    flat = np.bincount(owner * GROUPS + points * _STEP % GROUPS, minlength=len(words) * GROUPS)
     return np.minimum(flat, 255).astype(np.uint8).reshape(len(words), GROUPS)
 
 
@@ -177,7 +179,10 @@ def near_words(words: DataFrame) -> DataFrame:
         key, trie = None, _Trie()
         ns, totals, best = [], [], []  # of the words at rest in the part
         for batch in batches:
+            if not batch.num_rows:
+                continue
             asking, asked, found = [], [], []
+            batch = batch.filter(pa.array(_met(batch.column(0).to_numpy(), batch.column(1).to_numpy(zero_copy_only=False), key)))
             for k, rests, budget, word, n, tail in zip(*(column.to_pylist() for column in batch.columns)):
                 if k != key:
                     yield rows(trie.words, totals, best)
@@ -203,6 +208,16 @@ def near_words(words: DataFrame) -> DataFrame:
     return parts.mapInArrow(met, "word string, near long, down long, form string")
 
 
+def _met(keys: np.ndarray, rests: np.ndarray, open_key: int | None) -> np.ndarray:
+    """Which rows are in a part where a word rests and another row is; the parts at both ends of a batch may go on."""
+    starts = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
+    sizes = np.diff(np.r_[starts, len(keys)])
+    kept = rests[starts] & (sizes > 1)
+    kept[-1] = kept[-1] or rests[starts[-1]]
+    kept[0] = kept[0] or keys[0] == open_key
+    return np.repeat(kept, sizes)
+
+
 def roots(forms: DataFrame) -> DataFrame:
     """(word, root): follows (word, form: not null) to the last; a form's n is larger, so there are no rings.
 
