@@ -5,6 +5,8 @@ from __future__ import annotations
 import zlib
 from collections import Counter
 from collections.abc import Iterator
+from itertools import compress, count
+from operator import ne
 
 import numpy as np
 import pyarrow as pa
@@ -83,7 +85,7 @@ def one_apart(a: str, b: str) -> bool:
         a, b = b, a
     if len(b) - len(a) > 1 or a == b:
         return False
-    at = next((i for i, (x, y) in enumerate(zip(a, b)) if x != y), len(a))
+    at = next(compress(count(), map(ne, a, b)), len(a))
     return a[at + (len(a) == len(b)) :] == b[at + 1 :]
 
 
@@ -119,25 +121,28 @@ class _Trie:
         node.setdefault(counts[-1], []).append(len(self.words))
         self.words.append(word)
 
-    def near(self, word: str, counts: bytes, surplus: int, deficit: int) -> Iterator[int]:
+    def near(self, word: str, counts: bytes, surplus: int, deficit: int) -> list[int]:
         """Numbers of the words one apart from ``word``; a count may be one higher and another one lower on the way."""
-        words, last = self.words, len(counts) - 1
+        words, last, found = self.words, len(counts) - 1, []
         stack = [(self.root, 0, surplus, deficit)]
         while stack:
             node, level, more, less = stack.pop()
             count = counts[level]
-            for change, next_more, next_less in ((0, more, less), (1, more - 1, less), (-1, more, less - 1)):
-                if next_more < 0 or next_less < 0:
-                    continue
-                child = node.get(count + change)
-                if child is None:
+            for held, child in node.items():
+                change = held - count
+                if change == 0:
+                    left = (more, less)
+                elif change == 1 and more:
+                    left = (0, less)
+                elif change == -1 and less:
+                    left = (more, 0)
+                else:
                     continue
                 if level < last:
-                    stack.append((child, level + 1, next_more, next_less))
+                    stack.append((child, level + 1, *left))
                 else:
-                    for number in child:
-                        if one_apart(word, words[number]):
-                            yield number
+                    found += [number for number in child if one_apart(word, words[number])]
+        return found
 
 
 def near_words(words: DataFrame) -> DataFrame:
@@ -189,7 +194,7 @@ def near_words(words: DataFrame) -> DataFrame:
                     key, trie, ns, totals, best = k, _Trie(), [], [], []
                 if not rests and not ns:
                     continue
-                hits = list(trie.near(word, tail, budget >> 1, budget & 1))
+                hits = trie.near(word, tail, budget >> 1, budget & 1)
                 for hit in hits:
                     totals[hit] += 1
                     if best[hit] is None or (-n, word) < best[hit]:
