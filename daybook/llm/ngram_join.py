@@ -8,6 +8,7 @@ from itertools import repeat
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -16,9 +17,12 @@ from daybook.llm.tables import partitions, slices, texts_of, written
 
 _LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 _ODD = tuple(np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
-#: N-grams that are known to be frequent, at most; the order of all others is their hash. Any order gives the same links.
-MOST_FREQUENT = 1 << 18
-_FREQUENT = np.uint64(1 << 63)
+#: N-grams of smaller hash come first, by the number of sets that hold them; a quarter of all, as a prefix is a sixth.
+_COUNTED = np.uint64(1 << 62)
+#: Linked sets share an n-gram more in their prefixes for each so many that they have.
+_PER_SHARED = 50
+#: Words of 64 bits in a set's bitmap; bit ``i`` says whether an odd number of n-grams have ``i`` as their hash's last bits.
+_MAP = tuple(f"map{i}" for i in range(4))
 #: Halvings of the suffix filter.
 _DEPTH = 3
 
@@ -46,45 +50,14 @@ def gram_hashes(text: str, words: int) -> np.ndarray:
     return np.unique(total)
 
 
-class Order:
-    """A total order of n-grams with the rare ones first: those not known to be frequent by hash, then the others by
-    rising frequency. Ranks are unsigned numbers."""
-
-    def __init__(self, hashes: np.ndarray, counts: np.ndarray):
-        by_hash = np.argsort(hashes)
-        place = np.empty(len(hashes), np.uint64)
-        place[np.lexsort((hashes, counts))] = np.arange(len(hashes), dtype=np.uint64)
-        self.hashes, self.ranks = hashes[by_hash], place[by_hash] | _FREQUENT
-
-    def ranked(self, grams: np.ndarray) -> np.ndarray:
-        """Rising ranks of a set of n-grams."""
-        ranks = grams >> np.uint64(1)
-        if len(self.hashes):
-            at = np.minimum(np.searchsorted(self.hashes, grams), len(self.hashes) - 1)
-            ranks = np.where(self.hashes[at] == grams, self.ranks[at], ranks)
-        return np.unique(ranks)
-
-
-def rare_first(docs: DataFrame, words: int) -> Order:
-    """The order by the n-grams that repeat inside slices of the texts; of these the ``MOST_FREQUENT`` come to the driver.
-
-    What more documents share than there are slices repeats in one of them, so it is seen.
-    """
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, "text", 8 << 20, 8192):
-            found, counts = np.unique(np.concatenate([gram_hashes(text, words) for text in texts_of(part)]), return_counts=True)
-            often = counts > 1
-            yield pa.RecordBatch.from_arrays([pa.array(found[often].view(np.int64)), pa.array(counts[often])], ["gram", "n"])
-
-    sums = docs.select("text").mapInArrow(run, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
-    table = sums.orderBy(F.col("n").desc(), "gram").limit(MOST_FREQUENT).toArrow()
-    return Order(table.column(0).to_numpy().view(np.uint64), table.column(1).to_numpy())
+def shared_at_least(size):
+    """N-grams that a set of ``size`` must have in common with a linked one of this size or more, within the prefixes."""
+    return 1 + size // _PER_SHARED
 
 
 def prefix_length(size: int, threshold: int) -> int:
-    """So many of the first n-grams of two linked sets share one."""
-    return size - -(-threshold * size // 100) + 1 if size else 0
+    """N-grams of a set, the first in order, among which are ``shared_at_least`` of those that it shares with a linked set."""
+    return min(size, size - -(-threshold * size // 100) + shared_at_least(size)) if size else 0
 
 
 def least_overlap(a, b, threshold: int):
@@ -92,25 +65,56 @@ def least_overlap(a, b, threshold: int):
     return -(-threshold * (a + b) // (100 + threshold))
 
 
-def _sets(docs: DataFrame, words: int, order: Order, threshold: int, whole: bool) -> DataFrame:
-    """(id, n, key_a, key_b, ranks array<long>): size and digest of each set, and its prefix or all of it."""
+def bitmap(grams: np.ndarray) -> np.ndarray:
+    """The ``_MAP`` words of a set. Where two of them differ, an n-gram is in one set only."""
+    bits = 64 * len(_MAP)
+    odd = np.bincount((grams & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view("<u8")
+
+
+def _sets(docs: DataFrame, words: int, threshold: int) -> DataFrame:
+    """(id, n, key_a, key_b, counted, ``_MAP``, grams array<long>): size and digest of each set, its n-grams below ``_COUNTED`` and how
+    many they are; more, in the order of their hash, where a prefix needs them."""
     kind = docs.schema["id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "text"):
-            sets = [order.ranked(gram_hashes(text, words)) for text in texts_of(part)]
-            sizes = np.array([len(s) for s in sets], np.int64)
+            sets = [gram_hashes(text, words) for text in texts_of(part)]
+            counted = [int(np.searchsorted(s, _COUNTED)) for s in sets]
             digests = [(xxhash.xxh3_64_intdigest(s.data, 1), xxhash.xxh3_64_intdigest(s.data, 2)) for s in sets]
-            shown = sets if whole else [s[: prefix_length(len(s), threshold)] for s in sets]
+            shown = [s[: max(c, prefix_length(len(s), threshold))] for s, c in zip(sets, counted)]
             ends = pa.array(np.cumsum([0, *map(len, shown)]), pa.int32())
             flat = pa.array(np.concatenate(shown).view(np.int64))
             keys = np.array(digests, np.uint64).view(np.int64)
+            maps = np.stack([bitmap(s) for s in sets]).view(np.int64)
             yield pa.RecordBatch.from_arrays(
-                [part.column(0), pa.array(sizes), pa.array(keys[:, 0]), pa.array(keys[:, 1]), pa.ListArray.from_arrays(ends, flat)],
-                ["id", "n", "key_a", "key_b", "ranks"],
+                [part.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(keys[:, 0]), pa.array(keys[:, 1]),
+                 pa.array(counted, pa.int32()), *[pa.array(maps[:, i]) for i in range(len(_MAP))], pa.ListArray.from_arrays(ends, flat)],
+                ["id", "n", "key_a", "key_b", "counted", *_MAP, "grams"],
             )
 
-    return docs.mapInArrow(run, f"id {kind}, n long, key_a long, key_b long, ranks array<long>")
+    return docs.mapInArrow(run, f"id {kind}, n long, key_a long, key_b long, counted int, {', '.join(f'{m} long' for m in _MAP)}, grams array<long>")
+
+
+def _prefixes(nodes: DataFrame, threshold: int) -> DataFrame:
+    """(rank, node, n, most, left): the prefix n-grams of each node that other nodes hold, too.
+
+    Order: first the counted n-grams, those of fewest nodes first, then the others. N-grams of one node alone are never
+    sent on: how many come first follows from the rest. ``most`` of a node's n-grams up to this one can be shared, ``left``
+    come after it.
+    """
+    entries = nodes.select("node", F.col("n").cast("int").alias("n"), "counted", F.posexplode("grams").alias("pos", "rank"))
+    often = entries.withColumn("holders", F.count("*").over(Window.partitionBy("rank"))).where("holders > 1")
+    own = Window.partitionBy("node", "n", "counted")
+    first = own.orderBy("outside", F.when(F.col("outside"), 0).otherwise(F.col("holders")), F.when(F.col("outside"), F.col("pos")), "rank")
+    placed = often.withColumn("outside", F.expr("pos >= counted")).withColumns(
+        {"most": F.row_number().over(first), "inside": F.sum(F.expr("IF(outside, 0, 1)")).over(own)}
+    )
+    placed = placed.withColumn("place", F.expr("IF(outside, pos, counted - inside + most - 1)"))
+    at_least = f"1 + (({threshold} * n + 99) div 100) div {_PER_SHARED}"
+    length = f"n - ({threshold} * n + 99) div 100 + 1 + n div {_PER_SHARED}"
+    kept = placed.where(f"place < {length} AND most >= {at_least}")
+    return kept.select("rank", "node", F.col("n").cast("long").alias("n"), "most", F.expr("cast(n - place - 1 AS int)").alias("left"))
 
 
 def _runs(entries: DataFrame, emit, schema: str, order: list[str]) -> DataFrame:
@@ -149,10 +153,17 @@ def _pairs(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], ["a", "b"])
 
 
-def _possible(n_a, most_a, left_a, n_b, most_b, left_b, threshold: int):
-    """Length filter and positional filter: ``most`` n-grams of each side up to the shared one can be shared, ``left`` come after it."""
+def _possible(run: dict[str, np.ndarray], a, b, threshold: int) -> np.ndarray:
+    """Which pairs of rows pass the filters. Length and position: ``most`` n-grams of each side up to the shared one can be shared, ``left`` come
+    after it; a linked pair has a shared one at which ``most`` is what prefixes must share.
+    Bitmaps: every bit that differs stands for an n-gram of one side only."""
+    n_a, n_b = run["n"][a], run["n"][b]
     low, high = np.minimum(n_a, n_b), np.maximum(n_a, n_b)
-    return (100 * low >= threshold * high) & (np.minimum(most_a, most_b) + np.minimum(left_a, left_b) >= least_overlap(n_a, n_b, threshold))
+    most = np.minimum(run["most"][a], run["most"][b])
+    overlap = least_overlap(n_a, n_b, threshold)
+    ok = (100 * low >= threshold * high) & (most >= shared_at_least(low)) & (most + np.minimum(run["left"][a], run["left"][b]) >= overlap)
+    apart = sum(np.bitwise_count((run[m][a] ^ run[m][b]).view(np.uint64)).astype(np.int64) for m in _MAP)
+    return ok & (apart <= n_a + n_b - 2 * overlap)
 
 
 def _leaders(threshold: int):
@@ -168,10 +179,10 @@ def _leaders(threshold: int):
         member = np.repeat(starts - before, lengths) + np.arange(lengths.sum())
         group = np.repeat(np.arange(len(starts)), lengths)
         found_a, found_b = [], []
-        for keys in ((node, -(most + left)), (node, drawn)):
+        for keys in ((node, n - most - left), (node, drawn)):
             ordered = member[np.lexsort((*[k[member] for k in keys], group))]
             leader = ordered[before][group]
-            ok = (leader != member) & _possible(n[leader], most[leader], left[leader], n[member], most[member], left[member], threshold)
+            ok = (leader != member) & _possible(run, leader, member, threshold)
             found_a.append(node[leader[ok]]), found_b.append(node[member[ok]])
         yield _pairs(np.concatenate(found_a), np.concatenate(found_b))
 
@@ -201,7 +212,7 @@ def _others(threshold: int):
                     continue
                 at = np.arange(low, high)
                 ok = (group[at] != group[i]) & ((group[at] == large) | (at > i))
-                ok &= _possible(n[i], most[i], left[i], n[at], most[at], left[at], threshold)
+                ok &= _possible(run, s + i, s + at, threshold)
                 at = at[ok]
                 found_a.append(np.full(len(at), node[i])), found_b.append(node[at])
                 waiting += len(at)
@@ -239,22 +250,40 @@ def alike(a: np.ndarray, b: np.ndarray, threshold: int) -> bool:
     return int((a[np.minimum(at, len(a) - 1)] == b).sum()) >= need
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
+def _packed(docs: DataFrame) -> DataFrame:
+    """(id, blob): texts compressed, which are a third of the size of their sets."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        squeeze = zstandard.ZstdCompressor(level=3)
+        for part in slices(batches, "text"):
+            blobs = [squeeze.compress(text.encode()) for text in texts_of(part)]
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(blobs, pa.binary())], ["id", "blob"])
+
+    return docs.mapInArrow(run, f"id {docs.schema['id'].dataType.simpleString()}, blob binary")
+
+
+def _verified(pairs: DataFrame, texts: DataFrame, words: int, threshold: int) -> DataFrame:
     """The linked ones of distinct ``pairs`` (a, b), each judged once on its whole sets."""
-    with_b = pairs.join(sets.select(F.col("node").alias("b"), F.col("ranks").alias("set_b")), "b")
-    both = with_b.join(sets.select(F.col("node").alias("a"), F.col("ranks").alias("set_a")), "a")
+    with_b = pairs.join(texts.select(F.col("node").alias("b"), F.col("blob").alias("blob_b")), "b")
+    both = with_b.join(texts.select(F.col("node").alias("a"), F.col("blob").alias("blob_a")), "a")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, "set_a", 4 << 20, 4096):
-            cut = []
-            for name in ("set_a", "set_b"):
-                lists = part.column(part.schema.get_field_index(name))
-                bounds, flat = lists.offsets.to_numpy(), lists.values.to_numpy().view(np.uint64)
-                cut.append([flat[i:j] for i, j in zip(bounds, bounds[1:])])
-            linked = pa.array([alike(x, y, threshold) for x, y in zip(*cut)], pa.bool_())
-            yield part.select(["a", "b"]).filter(linked)
+        widen = zstandard.ZstdDecompressor()
+
+        def grams(blob: bytes) -> np.ndarray:
+            return gram_hashes(widen.decompress(blob).decode(), words)
 
-    return both.select("a", "b", "set_a", "set_b").mapInArrow(run, "a long, b long")
+        last, own = None, None
+        for part in slices(batches, "blob_b", 1 << 20, 4096):
+            linked = []
+            for a, b in zip(part.column(2).to_pylist(), part.column(3).to_pylist()):
+                if a != last:  # pairs of one node come in a row
+                    last, own = a, grams(a)
+                other = grams(b)
+                linked.append(len(own) > 0 and len(other) > 0 and alike(own, other, threshold))
+            yield part.select(["a", "b"]).filter(pa.array(linked, pa.bool_()))
+
+    return both.select("a", "b", "blob_a", "blob_b").mapInArrow(run, "a long, b long")
 
 
 def linked(docs: DataFrame, words: int = 4, threshold: int = 85, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -263,47 +292,39 @@ def linked(docs: DataFrame, words: int = 4, threshold: int = 85, id_column: str
     Words are lower-cased in A to Z; fewer than ``words`` are one n-gram, null and empty texts have none and are linked with
     nothing. Two documents link when 100 * intersection >= ``threshold`` * union.
 
-    Equal sets are one node. Two linked sets share an n-gram of their prefixes, so nodes meet in runs by prefix n-gram.
+    Equal sets are one node. Nodes meet in runs by the n-grams of their prefixes, rarest first: linked sets share some there.
     First each run's members are compared with two of them; then all pairs of a run that are still in different
     components and pass the filters. So a group of near copies gives pairs in proportion to its size, and no link between
     different components is left out. A row without an id takes no part and has no component; rows that repeat an id are
     one document that links what any of its texts links. Other columns are not read.
     """
     rows = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
-    order = rare_first(rows, words)
-    found = written(_sets(rows, words, order, threshold, whole=False), "prefixes")
+    found = written(_sets(rows, words, threshold), "sets")
     named = found.where("id IS NOT NULL AND n > 0")
-    nodes = named.groupBy("key_a", "key_b").agg(F.min("id").cast("long").alias("node"), F.first("n").alias("n"), F.first("ranks").alias("ranks"))
-    entries = nodes.select("node", "n", F.posexplode("ranks").alias("pos", "rank"))
-    # Only n-grams that another node has in its prefix count; ``most`` of them come up to this one.
-    often = entries.withColumn("__all", F.count("*").over(Window.partitionBy("rank"))).where(F.col("__all") > 1)
-    so_far = F.row_number().over(Window.partitionBy("node", "n").orderBy("pos"))
-    shared = written(often.select("rank", "node", "n", so_far.cast("int").alias("most"), (F.col("n") - F.col("pos") - 1).cast("int").alias("left")), "shared")
-    shape = "a long, b long"
-
-    first = written(_runs(shared, _leaders(threshold), shape, ["n"]).distinct(), "pairs")
-    involved = first.select(F.col("a").alias("id")).union(first.select("b")).distinct()
-
-    def sets_of(ids: DataFrame, purpose: str) -> DataFrame:
-        # Rows that repeat an id may hold other sets; each of them speaks for the node.
-        asked = rows.join(ids, "id", "left_semi")
-        sets = _sets(asked, words, order, threshold, whole=True).where("n > 0").dropDuplicates(["id", "key_a", "key_b"])
-        return written(sets.select(F.col("id").cast("long").alias("node"), "ranks"), purpose)
+    nodes = named.groupBy("key_a", "key_b").agg(
+        F.min("id").cast("long").alias("node"), *[F.first(c).alias(c) for c in ("n", "counted", *_MAP, "grams")]
+    )
+    maps = nodes.select("node", "n", *_MAP)
+    prefixes = written(_prefixes(nodes, threshold).join(maps, ["node", "n"]).select("rank", "node", "n", "most", "left", *_MAP), "prefixes")
+    # A few rows may repeat an id: each of their texts speaks for the node, equal ones once.
+    wanted = prefixes.select(F.col("node").alias("id")).distinct()
+    asked = _packed(rows.where("id IS NOT NULL")).join(wanted, "id", "left_semi")
+    texts = written(asked.groupBy("id", F.xxhash64("blob")).agg(F.first("blob").alias("blob")).select(F.col("id").cast("long").alias("node"), "blob"), "texts")
 
-    sets = sets_of(involved, "sets")
-    links = written(_verified(first, sets, threshold).distinct(), "links")
+    shape = "a long, b long"
+    first = written(_runs(prefixes, _leaders(threshold), shape, ["n"]).distinct(), "pairs")
+    links = written(_verified(first, texts, words, threshold).distinct(), "links")
     reached = components(links)
-    placed = shared.join(reached, "node", "left").select("rank", "node", "n", "most", "left", F.coalesce("root", "node").alias("root"))
-    second = written(_runs(placed, _others(threshold), shape, ["n"]).distinct(), "pairs")
-    missing = second.select(F.col("a").alias("id")).union(second.select("b")).distinct().join(involved, "id", "left_anti")
-    sets = sets.union(sets_of(missing, "sets"))
-    more = _verified(second, sets, threshold).distinct()
+    placed = prefixes.join(reached, "node", "left").select(*prefixes.columns, F.coalesce("root", "node").alias("root"))
+    second = _runs(placed, _others(threshold), shape, ["n"]).distinct().join(first, ["a", "b"], "left_anti")
+    more = _verified(second, texts, words, threshold).distinct()
+
+    classes = nodes.select("key_a", "key_b", "node")
     # A row that repeats the id of another set's node joins the two.
-    members = named.join(nodes.select("key_a", "key_b", "node"), ["key_a", "key_b"]).where("id <> node")
-    twice = members.join(nodes.select(F.col("node").alias("id")).distinct(), "id", "left_semi").select(F.col("id").cast("long").alias("a"), F.col("node").alias("b"))
+    members = named.join(classes, ["key_a", "key_b"]).where("id <> node")
+    twice = members.join(classes.select(F.col("node").alias("id")).distinct(), "id", "left_semi").select(F.col("id").cast("long").alias("a"), F.col("node").alias("b"))
     roots = components(links.union(more).union(twice))
-
-    labelled = nodes.join(roots, "node", "left").select("key_a", "key_b", F.coalesce("root", "node").alias("root"))
+    labelled = classes.join(roots, "node", "left").select("key_a", "key_b", F.coalesce("root", "node").alias("root"))
     joined = found.join(labelled, ["key_a", "key_b"], "left")
     component = F.expr("CASE WHEN id IS NOT NULL THEN coalesce(root, id) END")
     return joined.select("id", "n", component.alias("component"))

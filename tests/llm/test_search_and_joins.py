@@ -153,6 +153,12 @@ def test_one_apart_and_trie():
         assert sorted(trie.words[i] for i in trie.near(a, row, 1, 1)) == sorted(b for b in words if brute_near(a, b))
 
 
+def test_parts_of_a_batch_with_nothing_at_rest_are_left_out():
+    keys, rests = np.array([1, 1, 2, 3, 3, 4, 5, 5]), np.array([0, 0, 1, 1, 0, 1, 0, 0], bool)
+    assert spelling._met(keys, rests, 1).tolist() == [True, True, False, True, True, False, False, False]
+    assert spelling._met(keys[:6], rests[:6], None).tolist() == [False, False, False, True, True, True]
+
+
 def test_chains_of_forms_lead_to_the_last(spark):
     forms = spark.createDataFrame([(f"a{i:02}", f"a{i + 1:02}") for i in range(20)] + [("b", "c")], "word string, form string")
     got = {r.word: r.root for r in spelling.roots(forms).collect()}
@@ -236,18 +242,36 @@ def test_filters_lose_no_linked_pair():
         a, b = np.array(sorted(base), np.uint64), np.array(sorted(set(other)), np.uint64)
         x, y = set(a.tolist()), set(b.tolist())
         assert ngram_join.apart(a, b) <= len(x ^ y)
+        assert np.bitwise_count(ngram_join.bitmap(a) ^ ngram_join.bitmap(b)).sum() <= len(x ^ y)
         if not len(b):
             continue
         linked = 100 * len(x & y) >= 85 * len(x | y)
         assert ngram_join.alike(a, b, 85) == linked
-        if linked:
-            heads = [s[: ngram_join.prefix_length(len(s), 85)].tolist() for s in (a, b)]
-            assert set(heads[0]) & set(heads[1])
-
-
-def test_frequent_grams_come_last(spark):
-    rows = [(i, f"rare{i} text{i} of{i} its{i} own{i} the same four words") for i in range(50)]
-    order = ngram_join.rare_first(table(spark, rows, 2), 4)
-    ranks = order.ranked(ngram_join.gram_hashes(rows[0][1], 4))
-    assert len(ranks) == 6 and order.ranked(ngram_join.gram_hashes("THE same four words", 4))[0] == ranks[-1]
-    assert (ranks[:-1] < 1 << 63).all()
+        if linked:  # of the first in any order, as many are shared as prefixes must share
+            order = {g: i for i, g in enumerate(pick.sample(sorted(x | y), len(x | y)))}
+            heads = [set(sorted(z, key=order.get)[: ngram_join.prefix_length(len(z), 85)]) for z in (x, y)]
+            assert len(heads[0] & heads[1]) >= ngram_join.shared_at_least(min(len(x), len(y)))
+
+
+def test_prefixes_have_the_rarest_grams_first(spark):
+    """Positions and bounds beside the same by sorting whole sets."""
+    pick = random.Random(9)
+    pool = [pick.getrandbits(64) for _ in range(300)]
+    sets = [sorted(pick.sample(pool, pick.randrange(1, 120)) + [pick.getrandbits(64) for _ in range(pick.randrange(30))]) for _ in range(60)]
+    rows, holders = [], Counter()
+    for i, s in enumerate(sets):
+        counted = sum(g < int(ngram_join._COUNTED) for g in s)
+        shown = s[: max(counted, ngram_join.prefix_length(len(s), 85))]
+        holders.update(shown)
+        rows.append((i, len(s), counted, [g - (1 << 64) if g >> 63 else g for g in shown]))
+    got = {(r.node, r.rank % (1 << 64)): (r.most, r.left) for r in ngram_join._prefixes(spark.createDataFrame(rows, "node long, n long, counted int, grams array<long>"), 85).collect()}
+    expected = {}
+    for i, s in enumerate(sets):
+        counted = [g for g in s if g < int(ngram_join._COUNTED)]
+        order = sorted(counted, key=lambda g: (holders[g], g)) + [g for g in s if g >= int(ngram_join._COUNTED)]
+        most = 0
+        for place, g in enumerate(order[: ngram_join.prefix_length(len(s), 85)]):
+            most += holders[g] > 1
+            if holders[g] > 1 and most >= ngram_join.shared_at_least(-(-85 * len(s) // 100)):
+                expected[i, g] = (most, len(s) - place - 1)
+    assert got == expected
