@@ -136,3 +136,25 @@ def test_tables_that_do_not_fit(spark):
     with pytest.raises(ValueError):
         fit_binned(rows.withColumn("y", F.lit(1.0)).limit(0), ["a"], {"m": BoostParams("amount")})
     assert Codes((np.array([1.0]),), (np.array([1.0]),)).offsets.tolist() == [0, 2]
+
+
+def test_bins_of_many_values_hold_equal_shares_of_the_rows(spark):
+    n = 60_000
+    rows = spark.range(0, n, numPartitions=12).selectExpr(
+        f"double((id * 7919) % {n}) AS many", f"CASE WHEN id % 3 = 0 THEN double('NaN') WHEN id % 3 = 1 THEN double(id % {n // 2}) END AS gaps"
+    )
+    codes = plan_codes(rows, ["many", "gaps"], 50)
+    assert codes.high[0].tolist() == [n // 50 * (i + 1) - 1 for i in range(50)]
+    assert codes.low[0].tolist() == [n // 50 * i for i in range(50)]
+    assert len(codes.high[1]) == 50
+    assert (codes.high[1][:-1] < codes.low[1][1:]).all()
+
+
+def test_few_rows_are_read_by_few_tasks(spark):
+    from daybook.session import TASK_ROWS, few_tasks
+
+    rows = spark.range(0, 1000, numPartitions=40)
+    assert few_tasks(rows, 1000).rdd.getNumPartitions() == 1
+    assert few_tasks(rows, 3 * TASK_ROWS).rdd.getNumPartitions() == 3
+    assert few_tasks(rows, 100 * TASK_ROWS).rdd.getNumPartitions() == 40
+    assert few_tasks(rows, 0).count() == 1000
