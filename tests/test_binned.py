@@ -158,3 +158,13 @@ def test_few_rows_are_read_by_few_tasks(spark):
     assert few_tasks(rows, 3 * TASK_ROWS).rdd.getNumPartitions() == 3
     assert few_tasks(rows, 100 * TASK_ROWS).rdd.getNumPartitions() == 40
     assert few_tasks(rows, 0).count() == 1000
+
+
+def test_bins_of_an_earlier_fit_are_used_again(frame, monkeypatch):
+    from daybook.operators import binned
+
+    runs = {"m": BoostParams("amount", rounds=2, lam=1.0)}
+    planned = shape(fit_binned(frame.train, X, runs, max_bins=1000)[0]["m"])
+    codes = plan_codes(frame.train, X, 1000)
+    monkeypatch.setattr(binned, "plan_codes", None)
+    assert shape(fit_binned(frame.train, X, runs, codes=codes)[0]["m"]) == planned
