@@ -168,3 +168,22 @@ def test_bins_of_an_earlier_fit_are_used_again(frame, monkeypatch):
     codes = plan_codes(frame.train, X, 1000)
     monkeypatch.setattr(binned, "plan_codes", None)
     assert shape(fit_binned(frame.train, X, runs, codes=codes)[0]["m"]) == planned
+
+
+def test_account_fits_hold_few_rows_per_task(spark, monkeypatch):
+    from daybook.operators import account_models
+
+    rows = spark.range(0, 120).selectExpr(
+        "id % 12 AS account_id", "date_add(date'2024-01-01', int(id div 12)) AS day", "IF(id < 96, 'train', 'test') AS part",
+        "double(id % 5) AS x", "double(id % 7) AS y",
+    )
+    params = BoostParams("amount", rounds=2, max_depth=1)
+
+    def fitted():
+        return account_models.boost_by_account(rows, ["x"], params)
+
+    whole = sorted(fitted().collect())
+    monkeypatch.setattr(account_models, "TASK_ROWS", 20)
+    parts = fitted()
+    assert parts.rdd.getNumPartitions() == 6
+    assert sorted(parts.collect()) == whole and len(whole) == 120
