@@ -126,6 +126,37 @@ def test_pooled_neighbours_when_train_is_smaller_than_k(spark):
     assert knn_pooled(train, test, "x", "id", k=5).first()["pred"] == 1
 
 
+def test_pooled_neighbours_send_a_query_once_to_a_block(spark, tmp_path):
+    """Vectors without any structure reach every cell; a query goes to blocks, not to each of its cells."""
+    from daybook.operators.knn import _blocks, _plan_cells, _visit_udf
+
+    draw = np.random.default_rng(5)
+    rows = [(i, [float(v) for v in draw.normal(size=16)], i % 4, [(i % 4, i)]) for i in range(900)]
+    df = spark.createDataFrame(rows, "id long, __x array<double>, label int, members array<struct<label int, id long>>")
+    _, cells = _plan_cells(df.select("__x", "members"), "manhattan", 3)
+    assert len(cells.sizes) == 30
+    blocks = _blocks(cells.sizes, 450)
+    visits = df.limit(50).select(_visit_udf(cells, blocks, "manhattan", 3)("__x").alias("v")).collect()
+    assert {len(r["v"]["blocks"]) for r in visits} <= {1, 2, 3}
+    assert sum(len(r["v"]["blocks"]) for r in visits) > 50
+
+
+@pytest.mark.parametrize("metric", ["manhattan", "euclidean"])
+def test_pooled_neighbours_at_equal_and_large_distances(spark, metric):
+    """One-hot vectors are all equally far; numbers beyond 32 bits, and far from zero, are compared exactly."""
+    draw = np.random.default_rng(6)
+    hot = [list(np.eye(8)[i % 8] * (1 + i // 8)) for i in range(80)]
+    far = [list(1e6 + np.round(draw.normal(size=8), 3)) for _ in range(80)]
+    huge = [list(draw.normal(size=8) * 1e30) for _ in range(40)]
+    rows = [(i, [float(v) for v in x], int(draw.integers(0, 5))) for i, x in enumerate(hot + far + huge)]
+    df = spark.createDataFrame(rows, "id long, x array<double>, label int")
+    got = knn_pooled(df.filter("id % 3 <> 0"), df.filter("id % 3 = 0"), "x", "id", "label", 3, metric)
+    want = brute_neighbours(
+        [(i, np.array(x), c) for i, x, c in rows if i % 3], [(i, np.array(x)) for i, x, _ in rows if i % 3 == 0], 3, metric
+    )
+    assert {r["id"]: r["pred"] for r in got.collect()} == want
+
+
 def test_account_neighbours_tie_order(spark):
     """Equal distances: the lower label comes first; equal votes: the lower label wins."""
     rows = [(1, 1, "train", 0.0, 2), (1, 2, "train", 2.0, 1), (1, 3, "train", 2.0, 0), (1, 4, "test", 1.0, 0)]
