@@ -187,3 +187,26 @@ def test_account_fits_hold_few_rows_per_task(spark, monkeypatch):
     parts = fitted()
     assert parts.rdd.getNumPartitions() == 6
     assert sorted(parts.collect()) == whole and len(whole) == 120
+
+
+def test_ranged_levels_are_not_joined_and_equal_unranged_ones(spark):
+    """Range totals reach the rows of a range in windows: rows grouped by their tree are not shuffled for joins."""
+    import io
+    from contextlib import redirect_stdout
+
+    from daybook.operators.splits import BOUNDED, newton_criterion, oblivious_cuts, plan_ranges, unpivot_features
+
+    draw = np.random.default_rng(9)
+    rows = [(i % 2, int(draw.integers(0, 3)), float(draw.integers(0, 60)), float(draw.normal()), None if i % 50 == 0 else float(i % 7), 1.0) for i in range(800)]
+    df = spark.createDataFrame(rows, "tree int, node int, a double, b double, g double, h double")
+    cells = unpivot_features(df.where("g IS NOT NULL"), ["tree", "node"], ["a", "b"], {"n": "1D", "g": "g", "h": "h"})
+    ranges = plan_ranges(df, ["a", "b"], wide=20, pieces=8)
+    assert ranges.needed
+    for level_gain in ("sum", "owner"):
+        got, want = (oblivious_cuts(cells, ["tree"], "node", newton_criterion(), level_gain, r) for r in (ranges, BOUNDED))
+        want = {(r["tree"], r["feature"], r["value"]): r["gain"] for r in want.collect()}
+        assert {(r["tree"], r["feature"], r["value"]): pytest.approx(r["gain"], rel=1e-6, abs=1e-9) for r in got.collect()} == want
+        plan = io.StringIO()
+        with redirect_stdout(plan):
+            got.explain()
+        assert "Join" not in plan.getvalue()
