@@ -23,6 +23,8 @@ _COUNTED = np.uint64(1 << 62)
 _PER_SHARED = 50
 #: Words of 64 bits in a set's bitmap; bit ``i`` says whether an odd number of n-grams have ``i`` as their hash's last bits.
 _MAP = tuple(f"map{i}" for i in range(4))
+#: N-grams of a set's prefix that say in which run a pair is given.
+_MEETS = tuple(f"meets{i}" for i in range(4))
 #: Halvings of the suffix filter.
 _DEPTH = 3
 
@@ -189,19 +191,47 @@ def _leaders(threshold: int):
     return emit
 
 
+def _meetings(prefixes: DataFrame) -> DataFrame:
+    """(node, n, ``_MEETS``): the first n-grams, by hash, of each set's prefix at which any linked pair of it passes the filters; 0 for none.
+
+    Sets of equal size that share a node, as its id is repeated, have none: they can't be told apart.
+    """
+    own = F.expr("array_sort(collect_list(struct(rank < 0 AS high, rank, most)))").alias("own")
+    sets = prefixes.groupBy("node", "n").agg(own).withColumn("alone", F.expr("size(own) = size(array_distinct(own.rank))"))
+    sure = sets.withColumn("sure", F.expr(f"filter(own, x -> alone AND x.most >= 1 + n div {_PER_SHARED}).rank"))
+    return sure.select("node", "n", *[F.expr(f"coalesce(get(sure, {i}), 0L)").alias(m) for i, m in enumerate(_MEETS)])
+
+
+def _given_here(run: dict[str, np.ndarray], a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Whether pairs of rows of one run are given by it: by the smallest that both have among their ``_MEETS``, by all without such a one.
+
+    A linked pair passes the filters in that run, so one run is enough.
+    """
+    at = np.zeros(len(a), np.int64)
+    for x in (run[m][a] for m in _MEETS):
+        for y in (run[m][b] for m in _MEETS):
+            at = np.where((x == y) & (x != 0) & ((at == 0) | (x < at)), x, at)
+    return (at == 0) | (at == run["rank"][a])
+
+
 def _others(threshold: int):
-    """Pairs of each run that are in different components and pass the filters.
+    """Pairs of each run that are in different components, pass the filters and are given by this run.
 
     The members of the largest component of a run are not compared with one another; every other member is compared with
     the members whose size and remaining n-grams make a link possible.
     """
 
+    def given(run: dict[str, np.ndarray], found_a: list[np.ndarray], found_b: list[np.ndarray]) -> pa.RecordBatch:
+        a, b = np.concatenate(found_a), np.concatenate(found_b)
+        here = _given_here(run, a, b)
+        return _pairs(run["node"][a[here]], run["node"][b[here]])
+
     def emit(run: dict[str, np.ndarray], starts: np.ndarray, ends: np.ndarray) -> Iterator[pa.RecordBatch]:
         found_a, found_b, waiting = [], [], 0
         mixed = _mixed(run["root"], starts, ends)
         for s, e in zip(starts[mixed].tolist(), ends[mixed].tolist()):
             root = run["root"][s:e]
-            node, n, most, left = (run[c][s:e] for c in ("node", "n", "most", "left"))  # n rises
+            n, most, left = (run[c][s:e] for c in ("n", "most", "left"))  # n rises
             names, group, sizes = np.unique(root, return_inverse=True, return_counts=True)
             large = int(sizes.argmax())
             for i in np.flatnonzero(group != large).tolist():
@@ -214,13 +244,13 @@ def _others(threshold: int):
                 ok = (group[at] != group[i]) & ((group[at] == large) | (at > i))
                 ok &= _possible(run, s + i, s + at, threshold)
                 at = at[ok]
-                found_a.append(np.full(len(at), node[i])), found_b.append(node[at])
+                found_a.append(np.full(len(at), s + i)), found_b.append(s + at)
                 waiting += len(at)
             if waiting > 500_000:
-                yield _pairs(np.concatenate(found_a), np.concatenate(found_b))
+                yield given(run, found_a, found_b)
                 found_a, found_b, waiting = [], [], 0
         if found_a:
-            yield _pairs(np.concatenate(found_a), np.concatenate(found_b))
+            yield given(run, found_a, found_b)
 
     return emit
 
@@ -294,8 +324,8 @@ def linked(docs: DataFrame, words: int = 4, threshold: int = 85, id_column: str
 
     Equal sets are one node. Nodes meet in runs by the n-grams of their prefixes, rarest first: linked sets share some there.
     First each run's members are compared with two of them; then all pairs of a run that are still in different
-    components and pass the filters. So a group of near copies gives pairs in proportion to its size, and no link between
-    different components is left out. A row without an id takes no part and has no component; rows that repeat an id are
+    components and pass the filters, each from one of the runs that it is in. So a group of near copies gives pairs in
+    proportion to its size, and no link between different components is left out. A row without an id takes no part and has no component; rows that repeat an id are
     one document that links what any of its texts links. Other columns are not read.
     """
     rows = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
@@ -315,7 +345,8 @@ def linked(docs: DataFrame, words: int = 4, threshold: int = 85, id_column: str
     first = written(_runs(prefixes, _leaders(threshold), shape, ["n"]).distinct(), "pairs")
     links = written(_verified(first, texts, words, threshold).distinct(), "links")
     reached = components(links)
-    placed = prefixes.join(reached, "node", "left").select(*prefixes.columns, F.coalesce("root", "node").alias("root"))
+    own = _meetings(prefixes).join(reached, "node", "left").select("node", "n", *_MEETS, F.coalesce("root", "node").alias("root"))
+    placed = prefixes.join(own, ["node", "n"]).select(*prefixes.columns, *_MEETS, "root")
     second = _runs(placed, _others(threshold), shape, ["n"]).distinct().join(first, ["a", "b"], "left_anti")
     more = _verified(second, texts, words, threshold).distinct()
 

@@ -275,3 +275,26 @@ def test_prefixes_have_the_rarest_grams_first(spark):
             if holders[g] > 1 and most >= ngram_join.shared_at_least(-(-85 * len(s) // 100)):
                 expected[i, g] = (most, len(s) - place - 1)
     assert got == expected
+
+
+def test_a_pair_of_many_runs_is_given_by_one(spark, monkeypatch):
+    """Texts that share much of their prefixes without being linked meet in many runs; their pairs are made once, not once per run."""
+    pick = random.Random(10)
+    base = [f"w{pick.randrange(30_000)}" for _ in range(1200)]
+    rows = []
+    for n in range(40):  # 100 words of the same 1200 changed in a row
+        at = 29 * (n % 38)
+        rows.append((n, " ".join([*base[:at], *(f"own{n}-{i}" for i in range(100)), *base[at + 100 :]])))
+    rows += [(40, rows[3][1].replace("own3-5", "base")), (40, rows[9][1].replace("own9-5", "base"))]  # two texts of one id and size
+    made, runs = [], ngram_join._runs
+
+    def seen(entries, *rest):
+        out = runs(entries, *rest)
+        if "root" in entries.columns:
+            made.append((out.count(), out.distinct().count()))
+        return out
+
+    monkeypatch.setattr(ngram_join, "_runs", seen)
+    assert Counter(map(tuple, ngram_join.linked(table(spark, rows)).collect())) == brute_links(rows, 4, 85)
+    (every, distinct), = made
+    assert distinct > 100 and every <= 2 * distinct
