@@ -1,5 +1,7 @@
 """Binned fits beside the exact ones, and scoring from a model table."""
 
+import re
+
 import numpy as np
 import pytest
 from brute import boost, softmax
@@ -210,3 +212,18 @@ def test_ranged_levels_are_not_joined_and_equal_unranged_ones(spark):
         with redirect_stdout(plan):
             got.explain()
         assert "Join" not in plan.getvalue()
+
+
+def test_best_cut_of_a_level_does_not_regroup_values(frame, monkeypatch):
+    """The best of all nodes' cuts is taken in the tasks that hold them; they are not shuffled again by value."""
+    plans, kind = [], type(frame.train)
+    collect = kind.collect
+
+    def seen(self):
+        plans.append(self._jdf.queryExecution().executedPlan().toString())
+        return collect(self)
+
+    monkeypatch.setattr(kind, "collect", seen)
+    fit_boosted(frame.train, X, {"m": RUNS["owner"]}, KEYS)
+    assert len(plans) > RUNS["owner"].max_depth
+    assert not [p for p in plans if re.search(r"hashpartitioning\(tree#\d+, feature#\d+, value#\d+", p)]
