@@ -1,5 +1,7 @@
 """Fits against plain NumPy on a small fixture, and invariants of the model tables."""
 
+from dataclasses import replace
+
 import numpy as np
 import pytest
 from brute import boost, depth_tree, softmax
@@ -243,3 +245,21 @@ def test_model_comparison(spark, frame):
     }
     assert all(0.0 <= r["value"] <= 1.0 for r in table if r["task"] == "class")
     assert all(r["value"] >= 0.0 for r in table)
+
+
+def test_new_days_are_scored_by_whole_fits(spark, folder, monkeypatch):
+    """Both models of the query get all the rounds of their presets; here only the first of them are then run."""
+    from daybook.plans import presets
+    from registry import spark_queries
+
+    asked = {}
+
+    def few_rounds(train, features, runs, keys):
+        params = runs["m"]
+        asked[params.task] = params
+        return fit_boosted(train, features, {"m": replace(params, rounds=1)}, keys)
+
+    monkeypatch.setattr(spark_queries, "fit_boosted", few_rounds)
+    assert spark_queries.score_new_days_fitted(spark, folder).count() > 0
+    assert asked == {"class": presets.OWN_CLASSIFIERS["oblivious"], "amount": presets.OWN_REGRESSORS["oblivious"]}
+    assert asked["class"].rounds == 180 and asked["amount"].rounds == 100
