@@ -263,3 +263,39 @@ def test_new_days_are_scored_by_whole_fits(spark, folder, monkeypatch):
     assert spark_queries.score_new_days_fitted(spark, folder).count() > 0
     assert asked == {"class": presets.OWN_CLASSIFIERS["oblivious"], "amount": presets.OWN_REGRESSORS["oblivious"]}
     assert asked["class"].rounds == 180 and asked["amount"].rounds == 100
+
+
+@pytest.mark.parametrize("task", ["class", "amount"])
+def test_long_oblivious_fits_grow_the_trees_of_the_split_search(spark, monkeypatch, task):
+    """In one task and in many pieces, with values that span pieces, nulls, and scores written between rounds."""
+    from daybook.operators import levels
+
+    rng = np.random.default_rng(3)
+    a, b = rng.normal(size=300).round(2), rng.integers(0, 3, 300)
+    y = np.sin(3 * a) + b + rng.normal(size=300) / 4
+    rows = [(i // 3, i // 2, float(a[i]), float(b[i]), None if i % 11 == 0 else float(i * 7 % 60), float(y[i]), int(y[i] > 0) + int(y[i] > 1.5)) for i in range(300)]
+    train = spark.createDataFrame(rows, "account_id long, day int, a double, b double, c double, y double, cls int").repartition(3)
+    params = BoostParams(task, growth="oblivious", rounds=7, learning_rate=0.3, max_depth=3, lam=3.0)
+
+    def fitted():
+        return fit_boosted(train, ["a", "b", "c"], {"m": params}, KEYS)[0]["m"]
+
+    with monkeypatch.context() as patch:
+        patch.setattr(levels, "suits", lambda runs: False)
+        want = fitted()
+    alone = fitted()
+    monkeypatch.setattr(levels, "ALONE_ROWS", 0)
+    monkeypatch.setattr(levels, "PIECE_CELLS", 3 * 30)
+    monkeypatch.setattr(levels, "WRITE_EVERY", 3)
+    asked = []
+    ask = levels.Table._ask
+    monkeypatch.setattr(levels.Table, "_ask", lambda table, *rest, **only: asked.append(len(table.edges) if hasattr(table, "edges") else 0) or ask(table, *rest, **only))
+    pieces = fitted()
+    assert max(asked) > 20
+    for got in (alone, pieces):
+        assert [len(group) for group in got.trees] == [len(group) for group in want.trees]
+        for tree, other in zip((t for group in got.trees for t in group), (t for group in want.trees for t in group)):
+            own, others = (sorted(t.nodes.items()) for t in (tree, other))
+            assert [(i, n.feature, n.threshold) for i, n in own] == [(i, n.feature, n.threshold) for i, n in others]
+            assert [n.stats.get("n") for _, n in own if n.is_leaf] == [n.stats.get("n") for _, n in others if n.is_leaf]
+            assert np.allclose([n.value for _, n in own], [n.value for _, n in others], atol=1e-12)
